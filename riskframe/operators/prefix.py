@@ -11,6 +11,12 @@ slices, splitting a hot group over many tasks -- then:
    its offset with a tiny window,
 3. offsets are broadcast back and added.
 
+The sliced table feeds two branches (local sums, slice totals).  Range bounds
+come from sampling, and a recomputed branch may sample differently, so the
+sliced table is written once with a reliable ``checkpoint()`` into the shared
+checkpoint folder; both branches then read the same slice ids, and a lost
+executor only costs re-reading that table.
+
 Equal keys land in the same slice, so callers pre-aggregate to one row per
 ``(g, v)``: then "inclusive" means every row with a key at or before this one.
 """
@@ -22,6 +28,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskframe.session import cut_lineage
+
 _PID = "__slice"
 
 
@@ -47,6 +55,7 @@ def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[s
     n = _slices(df, slices)
     x = (df.repartitionByRange(n, *[F.col(g) for g in group_cols], *okeys)
            .withColumn(_PID, F.spark_partition_id()))
+    x = cut_lineage(x)
     w_local = (Window.partitionBy(_PID, *group_cols).orderBy(*okeys)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = x.select("*", *[F.sum(c).over(w_local).alias(f"__loc_{c}") for c in sum_cols])

@@ -6,7 +6,7 @@ import importlib
 
 from riskframe.plans.base import R
 
-_MODULES = ["clean"]
+_MODULES = ["clean", "split", "metrics"]
 
 
 def _load():
