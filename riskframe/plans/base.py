@@ -46,6 +46,8 @@ def r6(c):
 
 def sql_e(body, ctes=(), views=("E",)):
     """SQL body over E (and S) plus extra CTEs."""
+    if not views:
+        return ("with " + ",\n".join(ctes) + "\n" + body) if ctes else body
     s = with_views("", views)
     if ctes:
         s = s.rstrip() + ",\n" + ",\n".join(ctes) + "\n"
