@@ -11,3 +11,18 @@ def class_balance(df: DataFrame, label: str = "label") -> DataFrame:
     return df.agg(F.count_if(F.col(label) == 0).alias("n_neg"),
                   F.count_if(F.col(label) == 1).alias("n_pos")) \
              .withColumn("ratio", F.col("n_neg") / F.col("n_pos"))
+
+
+def pos_weight_grid(balance: DataFrame) -> DataFrame:
+    """ML2 grid: positive-class weights {1, r/2, r, 1.5 r} with r = n_neg / n_pos."""
+    r = F.col("ratio")
+    return balance.select(F.explode(F.array(
+        F.struct(F.lit("one").alias("option"), F.lit(1.0).alias("pos_weight")),
+        F.struct(F.lit("half_ratio").alias("option"), (r / 2).alias("pos_weight")),
+        F.struct(F.lit("ratio").alias("option"), r.alias("pos_weight")),
+        F.struct(F.lit("ratio_x1_5").alias("option"), (r * 1.5).alias("pos_weight")))).alias("g")).select("g.*")
+
+
+def weight_column(label: str, pos_weight: float) -> "F.Column":
+    """ML2: per-row weight for ``weightCol``: pos_weight for positives, 1 otherwise."""
+    return F.when(F.col(label) == 1, F.lit(float(pos_weight))).otherwise(F.lit(1.0))
