@@ -22,7 +22,7 @@ DRIFT_CUTOFF = "1998-01-01 00:00:00"   # reference side = admit_ts before this
 SCORE_LEVELS = 1000                    # distinct deterministic scores
 
 
-def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _side_tables(spark: SparkSession, sf_dir: str):
     li = (table(spark, sf_dir, "lineitem")
           .groupBy("l_orderkey")
           .agg(F.count(F.lit(1)).alias("n_items"),
@@ -34,14 +34,38 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
                F.sum(F.when(F.col("event_type") == "error", 1).otherwise(0)).alias("n_error"),
                F.sum(F.when(F.col("event_type") == "purchase", 1).otherwise(0)).alias("n_purchase")))
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    o = (table(spark, sf_dir, "orders")
-         .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority",
-                 "o_totalprice", "o_orderdate")
+    return li, ev, cust
+
+
+ORDER_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice",
+              "o_orderdate")
+
+
+def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li, ev, cust = _side_tables(spark, sf_dir)
+    o = (table(spark, sf_dir, "orders").select(*ORDER_COLS)
          .join(li, F.col("o_orderkey") == F.col("l_orderkey"), "left"))
     w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
     o = o.withColumn("next_ts", F.lead("o_orderdate").over(w))
     o = (o.join(cust, F.col("c_custkey") == F.col("o_custkey"), "inner")
           .join(ev, F.col("user_id") == F.col("o_custkey"), "left"))
+    return _columns(o, with_outcome=True)
+
+
+def encounter_features(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
+    """E without the outcome, for an arriving (possibly streaming) ``orders``
+    frame: stream-static joins to the per-order, per-customer and per-user
+    aggregates; the outcome needs the customer's next visit and is not known
+    at arrival."""
+    li, ev, cust = _side_tables(spark, sf_dir)
+    o = (orders.select(*ORDER_COLS)
+         .join(li, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+         .join(cust, F.col("c_custkey") == F.col("o_custkey"), "inner")
+         .join(ev, F.col("user_id") == F.col("o_custkey"), "left"))
+    return _columns(o, with_outcome=False)
+
+
+def _columns(o: DataFrame, with_outcome: bool) -> DataFrame:
     key = F.col("o_orderkey")
     ck = F.col("o_custkey")
     age_lo = ((ck % 10) * 10).cast("string")
@@ -69,9 +93,9 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("diag_2"),
         F.col("o_totalprice").alias("total_charge"),
         F.col("o_orderdate").alias("admit_ts"),
-        F.when(F.col("next_ts").isNull(), "NO")
-         .when(F.col("next_ts") < F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS"), "<30")
-         .otherwise(">30").alias("readmitted"),
+        *([F.when(F.col("next_ts").isNull(), "NO")
+           .when(F.col("next_ts") < F.col("o_orderdate") + F.expr("INTERVAL 30 DAYS"), "<30")
+           .otherwise(">30").alias("readmitted")] if with_outcome else []),
     )
 
 
