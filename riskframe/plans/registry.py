@@ -6,7 +6,7 @@ import importlib
 
 from riskframe.plans.base import R
 
-_MODULES = ["clean", "split", "metrics", "drift", "text", "features", "model", "explain", "stream"]
+_MODULES = ["clean", "split", "metrics", "drift", "text", "features", "model", "explain", "stream", "io"]
 
 
 def _load():
