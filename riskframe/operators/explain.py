@@ -142,6 +142,14 @@ def _walk(trees, X: np.ndarray):
     return contrib, bias
 
 
+def vector_slot_names(df: DataFrame, col: str = "features") -> list[str]:
+    """Names of an assembled vector's slots from its ML attribute metadata."""
+    meta = df.schema[col].metadata.get("ml_attr", {})
+    names = {a["idx"]: a["name"] for g in meta.get("attrs", {}).values() for a in g}
+    n = meta.get("num_attrs", len(names))
+    return [names.get(i, f"f{i}") for i in range(n)]
+
+
 def tree_contributions(df: DataFrame, trees, names: Sequence[str], key: str,
                        features: str = "features", k: int | None = TOP_CONTRIBUTIONS) -> DataFrame:
     """ML14 (trees) + TOP4: (key, rank, feature, contribution, bias) with the
@@ -155,6 +163,8 @@ def tree_contributions(df: DataFrame, trees, names: Sequence[str], key: str,
                 continue
             X = np.vstack(pdf["x"].to_numpy()).astype(float)
             X = np.nan_to_num(X, nan=0.0)
+            if X.shape[1] != len(names):
+                raise ValueError(f"{X.shape[1]} vector slots but {len(names)} names")
             c, bias = _walk(trees, X)
             order = np.lexsort((np.tile(np.arange(len(names)), (len(X), 1)), -np.abs(c)))
             kk = len(names) if k is None else min(k, len(names))

@@ -94,10 +94,8 @@ def _trees(spark, sf_dir):
     frame, model, _ = fitted(spark, sf_dir)
     path = ML.save_model(model.stages[-1], spark, "readmission_gbt_trees")
     trees = X.tree_tables(spark, path)
-    feats = model.transform(frame.limit(1))
-    meta = feats.schema["features"].metadata["ml_attr"]["attrs"]
-    names = {a["idx"]: a["name"] for g in meta.values() for a in g}
-    return frame, model, trees, [names[i] for i in range(len(names))]
+    names = X.vector_slot_names(model.transform(frame.limit(1)))
+    return frame, model, trees, names
 
 
 @R.add("tree_contributions", ["ML14", "TOP4"])
