@@ -67,6 +67,28 @@ def drop_sparse(df: DataFrame, threshold: float = SPARSE_SHARE) -> DataFrame:
     return df.drop(*sparse_columns(df, threshold))
 
 
+def null_share_map(df: DataFrame) -> dict[str, float]:
+    """One aggregate pass: column -> null share (one number per column)."""
+    row = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in df.columns]).first()
+    return {c: row[c] for c in df.columns}
+
+
+def clean_table(df: DataFrame, threshold: float = SPARSE_SHARE, fit: DataFrame | None = None) -> DataFrame:
+    """PRJ1 + AGG5 in one profile: a single null-share pass decides both which
+    columns are dropped (share > threshold) and which remaining columns need a
+    fitted fill; modes / medians are computed only for those columns."""
+    shares = null_share_map(fit if fit is not None else df)
+    keep = [c for c in df.columns if not (shares[c] is not None and shares[c] > threshold)]
+    out = df.select(*keep)
+    need = [c for c in keep if shares[c]]
+    if not need:
+        return out
+    src = (fit if fit is not None else df).select(*need)
+    strings = set(string_columns(src))
+    params = impute_params(src, [c for c in need if c in strings], [c for c in need if c not in strings])
+    return impute(out, params=params)
+
+
 def constant_columns(df: DataFrame, cols: Sequence[str] | None = None) -> list[str]:
     """PRJ2 test: at most one distinct non-null value <=> min == max (or all null).
     Exact, one pass, no shuffle of values."""
@@ -123,11 +145,9 @@ def medians(df: DataFrame, cols: Sequence[str], slices: int | None = None) -> Da
               .unpivot([], list(cols), "col_name", "value")
               .where(F.col("value").isNotNull() & ~F.isnan("value"))
               .groupBy("col_name", "value").agg(F.count(F.lit(1)).alias("n")))
-    cum = running_sum(vals, ["col_name"], ["value"], ["n"], slices=slices)
-    tot = vals.groupBy("col_name").agg(F.sum("n").alias("total"))
-    j = cum.join(F.broadcast(tot), "col_name")
-    lo = F.floor((F.col("total") + 1) / 2)
-    hi = F.ceil((F.col("total") + 1) / 2)
+    j = running_sum(vals, ["col_name"], ["value"], ["n"], slices=slices, totals=True)
+    lo = F.floor((F.col("tot_n") + 1) / 2)
+    hi = F.ceil((F.col("tot_n") + 1) / 2)
     return j.groupBy("col_name").agg(
         ((F.min(F.when(F.col("cum_n") >= lo, F.col("value"))) +
           F.min(F.when(F.col("cum_n") >= hi, F.col("value")))) / 2).alias("median"))

@@ -24,3 +24,14 @@ def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     it unchanged so the planner keeps a shuffle join."""
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that arrives in too few splits (one large row group, a
+    handful of files) over the cluster before CPU-heavy per-row work.  On a
+    big input with many splits this is a no-op: no shuffle is added."""
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)

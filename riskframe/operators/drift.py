@@ -64,9 +64,8 @@ def value_counts_by_side(long: DataFrame) -> DataFrame:
 def ecdf(long: DataFrame, slices: int | None = None) -> DataFrame:
     """WIN2: both empirical CDFs at every distinct value of every feature."""
     vc = value_counts_by_side(long)
-    cum = running_sum(vc, ["feature"], ["value"], ["n_ref", "n_cur"], slices=slices)
-    tot = vc.groupBy("feature").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))
-    j = cum.join(F.broadcast(tot), "feature")  # one row per feature
+    j = running_sum(vc, ["feature"], ["value"], ["n_ref", "n_cur"], slices=slices, totals=True)
+    j = j.withColumnRenamed("tot_n_ref", "tot_ref").withColumnRenamed("tot_n_cur", "tot_cur")
     return j.select("feature", "value", "n_ref", "n_cur", "tot_ref", "tot_cur",
                     F.try_divide(F.col("cum_n_ref"), F.col("tot_ref")).alias("cdf_ref"),
                     F.try_divide(F.col("cum_n_cur"), F.col("tot_cur")).alias("cdf_cur"))

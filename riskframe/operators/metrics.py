@@ -93,9 +93,8 @@ def curve_points(df: DataFrame, label: str, score: str, slices: int | None = Non
     """WIN1: one row per distinct score (descending thresholds): tp, fp at
     ``score >= threshold`` and tpr, fpr, precision, recall."""
     sc = score_counts(df, label, score)
-    tot = sc.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    cum = running_sum(sc, [], [score], ["pos", "neg"], descending=True, slices=slices)
-    j = attach(cum, tot)
+    j = running_sum(sc, [], [score], ["pos", "neg"], descending=True, slices=slices, totals=True)
+    j = j.withColumnRenamed("tot_pos", "P").withColumnRenamed("tot_neg", "N")
     return j.select(
         F.col(score).alias("threshold"),
         F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),

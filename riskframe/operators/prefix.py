@@ -28,6 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskframe.operators.common import attach
 from riskframe.session import cut_lineage
 
 _PID = "__slice"
@@ -41,14 +42,17 @@ def _slices(df: DataFrame, slices: int | None) -> int:
 
 def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                 sum_cols: Sequence[str], descending: bool = False, prefix: str = "cum_",
-                slices: int | None = None, bounded_groups: bool = True) -> DataFrame:
+                slices: int | None = None, bounded_groups: bool = True,
+                totals: bool = False) -> DataFrame:
     """Add ``{prefix}{c}`` = sum of ``c`` over rows of the same group ordered at or
     before this row (by ``order_cols``, ascending unless ``descending``).
 
     ``(group_cols, order_cols)`` must be unique per row.  ``bounded_groups``
     says the number of groups is small (features, classes, subgroups), which
     bounds the offset table by ``slices + groups`` rows and lets it broadcast;
-    otherwise the join is left to AQE's runtime size check.
+    otherwise the join is left to AQE's runtime size check.  ``totals`` also
+    adds ``tot_{c}``, the group total, taken from the small slice-totals table
+    (so callers need not recompute the input for it).
     """
     group_cols, order_cols, sum_cols = list(group_cols), list(order_cols), list(sum_cols)
     okeys = [F.col(c).desc() if descending else F.col(c).asc() for c in order_cols]
@@ -59,18 +63,24 @@ def running_sum(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[s
     w_local = (Window.partitionBy(_PID, *group_cols).orderBy(*okeys)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = x.select("*", *[F.sum(c).over(w_local).alias(f"__loc_{c}") for c in sum_cols])
-    totals = x.groupBy(_PID, *group_cols).agg(*[F.sum(c).alias(f"__tot_{c}") for c in sum_cols])
+    slice_tot = x.groupBy(_PID, *group_cols).agg(*[F.sum(c).alias(f"__tot_{c}") for c in sum_cols])
     w_off = (Window.partitionBy(*group_cols).orderBy(_PID)
              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(_PID, *group_cols,
+    offsets = slice_tot.select(_PID, *group_cols,
                             *[F.coalesce(F.sum(f"__tot_{c}").over(w_off), F.lit(0))
                               .alias(f"__off_{c}") for c in sum_cols])
+    extra = []
+    if totals:
+        gsum = [F.sum(f"__tot_{c}").alias(f"tot_{c}") for c in sum_cols]
+        gt = slice_tot.groupBy(*group_cols).agg(*gsum) if group_cols else slice_tot.agg(*gsum)
+        offsets = offsets.join(gt, group_cols, "inner") if group_cols else attach(offsets, gt)
+        extra = [F.col(f"tot_{c}") for c in sum_cols]
     if bounded_groups:
         offsets = F.broadcast(offsets)
     out = local.join(offsets, [_PID, *group_cols], "inner")
     return out.select(
         *[c for c in df.columns],
-        *[(F.col(f"__loc_{c}") + F.col(f"__off_{c}")).alias(f"{prefix}{c}") for c in sum_cols])
+        *[(F.col(f"__loc_{c}") + F.col(f"__off_{c}")).alias(f"{prefix}{c}") for c in sum_cols], *extra)
 
 
 def rank_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],

@@ -12,9 +12,7 @@ from riskframe.sources.encounters import encounters
 
 def clean_encounters(spark, sf_dir):
     """E -> sentinel nulls -> sparse drop -> mode/median fill (whole-table fit)."""
-    e = clean.sentinel_to_null(encounters(spark, sf_dir))
-    e = clean.drop_sparse(e)
-    return clean.impute(e)
+    return clean.clean_table(clean.sentinel_to_null(encounters(spark, sf_dir)))
 
 
 _MODE_PAYER = ("mode_payer as (select payer_code as v from E where payer_code <> '?' "
