@@ -92,3 +92,28 @@ def rank_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[s
     r = running_sum(df.withColumn(one, F.lit(1).cast("bigint")), group_cols, order_cols,
                     [one], prefix="__cum", slices=slices, bounded_groups=bounded_groups)
     return r.withColumnRenamed(f"__cum{one}", out).drop(one)
+
+
+def lead_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
+                value_col: str, out: str, slices: int | None = None) -> DataFrame:
+    """Skew-safe ``lead(value) over (partition by g order by o)`` for unique
+    ``(g, o)``: range slices on (g, o); a local lead inside each (slice, group);
+    the last row of a group in a slice takes the value of that group's first row
+    in the next slice holding it.  That boundary table has one row per (slice,
+    group), so even a group spread over every slice has at most ``slices`` rows
+    in its window."""
+    group_cols, order_cols = list(group_cols), list(order_cols)
+    n = _slices(df, slices)
+    okeys = [F.col(c).asc() for c in order_cols]
+    x = (df.repartitionByRange(n, *[F.col(g) for g in group_cols], *okeys)
+           .withColumn(_PID, F.spark_partition_id()))
+    x = cut_lineage(x)
+    w = Window.partitionBy(_PID, *group_cols).orderBy(*okeys)
+    local = x.select("*", F.lead(F.col(value_col)).over(w).alias("__lead"),
+                     F.lead(F.lit(1)).over(w).isNull().alias("__last"))
+    firsts = x.groupBy(_PID, *group_cols).agg(
+        F.min(F.struct(*[F.col(c) for c in order_cols], F.col(value_col).alias("__v"))).alias("__f"))
+    nxt = firsts.select(_PID, *group_cols, F.lead(F.col("__f.__v")).over(
+        Window.partitionBy(*group_cols).orderBy(_PID)).alias("__next"))
+    j = local.join(nxt, [_PID, *group_cols], "left")
+    return j.select(*df.columns, F.when(F.col("__last"), F.col("__next")).otherwise(F.col("__lead")).alias(out))

@@ -5,9 +5,10 @@ the same customer the return visit.  The DataFrame form is what queries use;
 ``E_SQL`` / ``S_SQL`` are the same definitions as text, for the SQL twins.
 
 Plan shape: lineitem is pre-aggregated per order (partial + final hash
-aggregate), joined to orders on the order key, then the ``lead`` window
-shuffles by customer; the customer and per-user event aggregates join on the
-same key, so Spark reuses that hash partitioning instead of shuffling again.
+aggregate) and joined to orders on the order key; the next visit comes from a
+skew-safe ``lead`` over range slices of (customer, date, order); the customer
+table and the per-user event aggregates are then joined on the customer key
+(AQE broadcasts them when small, sort-merge otherwise).
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from riskframe.operators.prefix import lead_within
 from riskframe.sources.tables import table
 
 # Fixed values shared with the SQL twin (FIXTURES.md section 3).
@@ -45,8 +47,9 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     li, ev, cust = _side_tables(spark, sf_dir)
     o = (table(spark, sf_dir, "orders").select(*ORDER_COLS)
          .join(li, F.col("o_orderkey") == F.col("l_orderkey"), "left"))
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    o = o.withColumn("next_ts", F.lead("o_orderdate").over(w))
+    # next visit of the same customer: a skew-safe lead (a customer with a third
+    # of all orders is spread over many tasks instead of one)
+    o = lead_within(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderdate", "next_ts")
     o = (o.join(cust, F.col("c_custkey") == F.col("o_custkey"), "inner")
           .join(ev, F.col("user_id") == F.col("o_custkey"), "left"))
     return _columns(o, with_outcome=True)

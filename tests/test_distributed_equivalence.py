@@ -65,3 +65,17 @@ def test_ks_statistic_matches_brute_force(spark):
     grid = np.unique(np.concatenate([a, b]))
     d = max(abs((a <= v).mean() - (b <= v).mean()) for v in grid)
     assert abs(got - d) < 1e-12
+
+
+def test_lead_within_matches_window_with_hot_key(spark):
+    from riskframe.operators.prefix import lead_within
+    rng = np.random.RandomState(5)
+    n = 3000
+    cust = np.where(rng.rand(n) < 0.4, 7, rng.randint(0, 50, n))
+    pdf = pd.DataFrame({"k": np.arange(n), "c": cust, "d": rng.randint(0, 300, n)})
+    df = spark.createDataFrame(pdf)
+    got = lead_within(df, ["c"], ["d", "k"], "d", "nd", slices=6)
+    ref = df.withColumn("rd", F.lead("d").over(Window.partitionBy("c").orderBy("d", "k")))
+    j = got.join(ref, "k")
+    assert j.count() == n
+    assert j.where("not (nd <=> rd)").count() == 0
