@@ -45,12 +45,13 @@ ORDER_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_
 
 def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     li, ev, cust = _side_tables(spark, sf_dir)
-    o = (table(spark, sf_dir, "orders").select(*ORDER_COLS)
-         .join(li, F.col("o_orderkey") == F.col("l_orderkey"), "left"))
     # next visit of the same customer: a skew-safe lead (a customer with a third
-    # of all orders is spread over many tasks instead of one)
-    o = lead_within(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderdate", "next_ts")
-    o = (o.join(cust, F.col("c_custkey") == F.col("o_custkey"), "inner")
+    # of all orders is spread over many tasks instead of one), on the order
+    # columns only, so the joins below stay prunable
+    o = lead_within(table(spark, sf_dir, "orders").select(*ORDER_COLS),
+                    ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_orderdate", "next_ts")
+    o = (o.join(li, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+          .join(cust, F.col("c_custkey") == F.col("o_custkey"), "inner")
           .join(ev, F.col("user_id") == F.col("o_custkey"), "left"))
     return _columns(o, with_outcome=True)
 
