@@ -26,3 +26,171 @@ def pos_weight_grid(balance: DataFrame) -> DataFrame:
 def weight_column(label: str, pos_weight: float) -> "F.Column":
     """ML2: per-row weight for ``weightCol``: pos_weight for positives, 1 otherwise."""
     return F.when(F.col(label) == 1, F.lit(float(pos_weight))).otherwise(F.lit(1.0))
+
+
+# ------------------------------------------------------------ k-NN, SMOTE ---
+KNN_K = 5            # fixed value: neighbours per minority row (library default)
+SMOTE_RATIO = 0.5    # fixed value: minority grown to 0.5 x majority
+SLICE_ROWS = 4096    # rows per slice; bounds the in-task distance block
+SEED = 42
+
+
+def _direction(d: int, seed: int = SEED):
+    import numpy as np
+    v = np.random.RandomState(seed).randn(d)
+    return v / np.linalg.norm(v)
+
+
+def _topk(d2, keys, k):
+    """Indices of the k smallest d2 (ties by key) -- every tie at the k-th
+    distance is considered before cutting."""
+    import numpy as np
+    if len(d2) <= k:
+        cand = np.arange(len(d2))
+    else:
+        kth = np.partition(d2, k - 1)[k - 1]
+        cand = np.nonzero(d2 <= kth)[0]
+    order = np.lexsort((keys[cand], d2[cand]))[:k]
+    return cand[order]
+
+
+def knn(points: DataFrame, key: str, features, k: int = KNN_K, slice_rows: int = SLICE_ROWS,
+        seed: int = SEED) -> DataFrame:
+    """JN5: exact k nearest other rows (Euclidean, ties by key) as
+    (key, nrank, nbr, dist), without emitting all pairs.
+
+    Rows are range-sliced on a projection u = w.x (|w| = 1, so |u_i - u_j| is
+    at most the distance).  Each slice finds every row's k nearest inside the
+    slice (NumPy in the task, block size bounded by ``slice_rows``); that k-th
+    distance r is a verified search radius: only slices whose u-range meets
+    [u - r, u + r] can hold closer rows, and the row is sent to those slices
+    alone.  Candidates are merged per row (at most k per slice visited).
+    A block of exact duplicates costs compute inside its slices, never rows."""
+    import numpy as np
+    import pandas as pd
+    from pyspark.sql import Window
+
+    from riskframe.session import cut_lineage
+
+    feats = list(features)
+    w = _direction(len(feats), seed)
+    u = sum(F.col(f).cast("double") * float(w[i]) for i, f in enumerate(feats))
+    base = points.select(F.col(key).cast("long").alias("key"),
+                         F.array(*[F.col(f).cast("double") for f in feats]).alias("x"), u.alias("u"))
+    n = base.count()
+    S = max(1, -(-n // slice_rows))
+    x = cut_lineage(base.repartitionByRange(S, "u", "key").withColumn("pid", F.spark_partition_id()))
+    bounds = sorted((r["pid"], r["lo"], r["hi"]) for r in
+                    x.groupBy("pid").agg(F.min("u").alias("lo"), F.max("u").alias("hi")).collect())
+
+    def local(it):
+        pdfs = [p for p in it if len(p)]
+        if not pdfs:
+            return
+        p = pd.concat(pdfs, ignore_index=True)
+        X = np.vstack(p["x"].to_numpy()).astype(float)
+        keys = p["key"].to_numpy()
+        out_k, out_n, out_d, r2 = [], [], [], np.full(len(p), np.inf)
+        for s in range(0, len(p), 512):
+            blk = ((X[s:s + 512, None, :] - X[None, :, :]) ** 2).sum(axis=2)
+            for i in range(blk.shape[0]):
+                gi = s + i
+                d2 = blk[i].copy()
+                d2[gi] = np.inf
+                valid = np.arange(len(d2)) != gi
+                idx = _topk(d2[valid], keys[valid], k)
+                nb = np.nonzero(valid)[0][idx]
+                out_k += [keys[gi]] * len(nb)
+                out_n += list(keys[nb])
+                out_d += list(d2[nb])
+                if len(nb) == k:
+                    r2[gi] = d2[nb[-1]]
+        cand = pd.DataFrame({"key": out_k, "nbr": out_n, "d2": out_d})
+        cand["kind"] = "cand"
+        q = pd.DataFrame({"key": keys, "nbr": keys, "d2": r2})
+        q["kind"] = "query"
+        yield pd.concat([cand, q], ignore_index=True).astype({"key": "int64", "nbr": "int64"})
+
+    loc = cut_lineage(x.mapInPandas(local, "key long, nbr long, d2 double, kind string"))
+    qrows = (loc.where(F.col("kind") == "query").select("key", F.col("d2").alias("r2"))
+                .join(x.select("key", "x", "u", "pid"), "key"))
+
+    def route(it):
+        for p in it:
+            rows = []
+            for key_, r2, xv, uu, pid in zip(p["key"], p["r2"], p["x"], p["u"], p["pid"]):
+                r = np.sqrt(r2) if np.isfinite(r2) else np.inf
+                for tp, lo, hi in bounds:
+                    if tp != pid and hi >= uu - r and lo <= uu + r:
+                        rows.append((tp, key_, xv, r2))
+            if rows:
+                yield pd.DataFrame(rows, columns=["tpid", "key", "x", "r2"])
+
+    sent = qrows.mapInPandas(route, "tpid int, key long, x array<double>, r2 double")
+
+    def remote(q, pts):
+        if len(q) == 0 or len(pts) == 0:
+            return pd.DataFrame({"key": [], "nbr": [], "d2": []})
+        P = np.vstack(pts["x"].to_numpy()).astype(float)
+        pk = pts["key"].to_numpy()
+        ok, on, od = [], [], []
+        for key_, xv, r2 in zip(q["key"], q["x"], q["r2"]):
+            d2 = ((P - np.asarray(xv, dtype=float)) ** 2).sum(axis=1)
+            m = d2 <= r2
+            if not m.any():
+                continue
+            idx = _topk(d2[m], pk[m], k)
+            sel = np.nonzero(m)[0][idx]
+            ok += [key_] * len(sel); on += list(pk[sel]); od += list(d2[sel])
+        return pd.DataFrame({"key": ok, "nbr": on, "d2": od}).astype({"key": "int64", "nbr": "int64"})
+
+    far = (sent.groupBy("tpid").cogroup(x.select("pid", "key", "x").groupBy("pid"))
+               .applyInPandas(remote, "key long, nbr long, d2 double"))
+    allc = loc.where(F.col("kind") == "cand").select("key", "nbr", "d2").unionByName(far)
+    wr = Window.partitionBy("key").orderBy("d2", "nbr")       # at most k per slice visited
+    top = allc.withColumn("nrank", F.row_number().over(wr)).where(F.col("nrank") <= k)
+    return top.select(F.col("key").alias(key), F.col("nrank").cast("int"), "nbr",
+                      F.sqrt("d2").alias("dist"))
+
+
+def _hash_parts(key_col, copy_col, seed: int):
+    h = F.md5(F.concat_ws("|", F.col(key_col).cast("string"), F.col(copy_col).cast("string"), F.lit(str(seed))))
+    a = F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint")
+    b = F.conv(F.substring(h, 9, 8), 16, 10).cast("bigint")
+    return a, b
+
+
+def smote(df: DataFrame, label: str, key: str, features, k: int = KNN_K, ratio: float = SMOTE_RATIO,
+          minority: int = 1, seed: int = SEED) -> DataFrame:
+    """SMP6 + SET3: grow the minority class to ``ratio`` x majority with rows
+    x + u * (neighbour - x).  Deterministic: minority rows in md5 order take
+    the copies round-robin; neighbour rank and u come from md5(key|copy|seed).
+    Returns the original rows (synthetic = 0) plus the new rows (synthetic = 1,
+    ``copy`` > 0, key of the row they were grown from)."""
+    from riskframe.operators.prefix import rank_within
+    feats = list(features)
+    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_min = counts.get(minority, 0)
+    n_maj = max(v for c, v in counts.items() if c != minority) if len(counts) > 1 else 0
+    n_new = int(ratio * n_maj) - n_min
+    orig = df.select(key, label, *feats, F.lit(0).alias("copy"), F.lit(0).alias("synthetic"))
+    if n_new <= 0 or n_min < 2:
+        return orig
+    k_eff = min(k, n_min - 1)
+    mino = df.where(F.col(label) == minority).select(key, label, *feats)
+    nn = knn(mino, key, feats, k_eff, seed=seed)
+    h = "__h"
+    ranked = rank_within(mino.withColumn(h, F.md5(F.concat(F.col(key).cast("string"), F.lit(str(seed))))),
+                         [label], [h, key], out="__r").drop(h)
+    per, extra = n_new // n_min, n_new % n_min
+    copies = F.lit(per) + (F.col("__r") <= extra).cast("int")
+    gen = (ranked.select(key, label, *feats, copies.alias("__c")).where(F.col("__c") > 0)
+                 .select(key, label, *feats, F.explode(F.sequence(F.lit(1), F.col("__c"))).alias("copy")))
+    a, b = _hash_parts(key, "copy", seed)
+    gen = gen.withColumn("nrank", (a % k_eff + 1).cast("int")).withColumn("u", b / F.lit(4294967296.0))
+    pick = gen.join(nn.select(key, "nrank", "nbr"), [key, "nrank"])
+    nbrs = mino.select(F.col(key).alias("nbr"), *[F.col(f).alias(f"__n_{f}") for f in feats])
+    syn = pick.join(nbrs, "nbr").select(
+        key, label, *[(F.col(f) + F.col("u") * (F.col(f"__n_{f}") - F.col(f))).alias(f) for f in feats],
+        "copy", F.lit(1).alias("synthetic"))
+    return orig.unionByName(syn)

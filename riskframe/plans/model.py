@@ -191,3 +191,64 @@ def model_ledger(spark, sf_dir):
                                                "below_target": float(ev["f1_score"] < 0.9 and (ev["auc"] or 0) < 0.95)})
     led = scratch_path(spark, f"ledger/{run}-{spark.sparkContext.applicationId}")
     return ML.append_ledger(spark, led, rows).where(F.col("run_id") == run)
+
+
+KNN_FEATURES = ["time_in_hospital", "num_medications", "num_procedures", "number_diagnoses",
+                "number_outpatient", "number_emergency", "number_inpatient", "num_lab_procedures"]
+
+
+def _train_labelled(spark, sf_dir):
+    from riskframe.sources.encounters import encounters
+    e = encounters(spark, sf_dir).withColumn("label", fx.label_from("readmitted"))
+    return split.stratified_split(e, "label", "encounter_id").where(F.col("split") == "train")
+
+
+_M = ["M as (select * from TRN where label = 1)"]
+_KNN_SQL = _M + [
+    "P as (select a.encounter_id as key, b.encounter_id as nbr, " + " + ".join(
+        f"pow(cast(a.{f} as double) - cast(b.{f} as double), 2)" for f in KNN_FEATURES) +
+    " as d2 from M a join M b on a.encounter_id <> b.encounter_id)",
+    "NN as (select key, nrank, nbr, d2 from (select *, cast(row_number() over (partition by key order by d2, nbr) as int) "
+    "as nrank from P) r where nrank <= 5)"]
+
+
+@R.add("knn_minority", ["JN5"], sql_e(
+    "select key as encounter_id, nrank, nbr, round(sqrt(d2), 6) as dist from NN", ctes=_SPLIT_CTES + _TRN + _KNN_SQL))
+def knn_minority(spark, sf_dir):
+    tr = _train_labelled(spark, sf_dir)
+    nn = B.knn(tr.where(F.col("label") == 1), "encounter_id", KNN_FEATURES, k=5)
+    return nn.select("encounter_id", "nrank", "nbr", r6("dist").alias("dist"))
+
+
+_SMOTE_SQL = _SPLIT_CTES + _TRN + _KNN_SQL + [
+    "CN as (select count_if(label = 1) as n_min, count_if(label = 0) as n_maj, "
+    "cast(floor(0.5 * count_if(label = 0)) as bigint) - count_if(label = 1) as n_new from TRN)",
+    "MR as (select M.*, row_number() over (order by md5(cast(encounter_id as varchar) || '42'), encounter_id) as r from M)",
+    "GE as (select MR.*, unnest(range(1, cast(n_new // n_min + case when r <= n_new % n_min then 1 else 0 end as bigint) + 1)) as copy "
+    "from MR, CN)",
+    "GH as (select *, md5(concat_ws('|', cast(encounter_id as varchar), cast(copy as varchar), '42')) as h from GE)",
+    "GU as (select *, cast(('0x' || substr(h, 1, 8))::BIGINT % 5 + 1 as int) as nrank, "
+    "('0x' || substr(h, 9, 8))::BIGINT / 4294967296.0 as u from GH)",
+    "SY as (select GU.encounter_id, GU.copy, " + ", ".join(
+        f"GU.{f} + GU.u * (NB.{f} - GU.{f}) as {f}" for f in KNN_FEATURES) +
+    " from GU join NN on NN.key = GU.encounter_id and NN.nrank = GU.nrank join M NB on NB.encounter_id = NN.nbr)",
+]
+
+
+@R.add("smote_synthetic", ["SMP6", "SET3"], sql_e(
+    "select encounter_id, cast(copy as int) as copy, " + ", ".join(f"round({f}, 6) as {f}" for f in KNN_FEATURES) + " from SY",
+    ctes=_SMOTE_SQL))
+def smote_synthetic(spark, sf_dir):
+    tr = _train_labelled(spark, sf_dir)
+    s = B.smote(tr, "label", "encounter_id", KNN_FEATURES, k=5, ratio=0.5)
+    return s.where("synthetic = 1").select("encounter_id", F.col("copy").cast("int"),
+                                           *[r6(F.col(f).cast("double")).alias(f) for f in KNN_FEATURES])
+
+
+@R.add("smote_class_counts", ["SMP6", "SET3", "AGG9"], sql_e(
+    "select label, synthetic, count(*) as n from (select label, 0 as synthetic from TRN "
+    "union all select 1, 1 from SY) t group by 1, 2", ctes=_SMOTE_SQL))
+def smote_class_counts(spark, sf_dir):
+    tr = _train_labelled(spark, sf_dir)
+    s = B.smote(tr, "label", "encounter_id", KNN_FEATURES, k=5, ratio=0.5)
+    return s.groupBy("label", "synthetic").agg(F.count(F.lit(1)).alias("n"))

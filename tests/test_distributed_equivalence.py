@@ -79,3 +79,30 @@ def test_lead_within_matches_window_with_hot_key(spark):
     j = got.join(ref, "k")
     assert j.count() == n
     assert j.where("not (nd <=> rd)").count() == 0
+
+
+def test_knn_exact_against_brute_force_with_duplicates(spark):
+    from riskframe.operators.balance import knn
+    rng = np.random.RandomState(0)
+    n = 300
+    X = rng.randint(0, 5, (n, 3)).astype(float)
+    X[:60] = 2.0
+    pdf = pd.DataFrame({"id": np.arange(n), "a": X[:, 0], "b": X[:, 1], "c": X[:, 2]})
+    got = knn(spark.createDataFrame(pdf), "id", ["a", "b", "c"], k=4, slice_rows=50).toPandas()
+    D = ((X[:, None, :] - X[None, :, :]) ** 2).sum(2)
+    np.fill_diagonal(D, np.inf)
+    for i in range(n):
+        want = np.lexsort((np.arange(n), D[i]))[:4].tolist()
+        assert got[got.id == i].sort_values("nrank")["nbr"].tolist() == want
+
+
+def test_smote_grows_minority_between_neighbours(spark):
+    from riskframe.operators.balance import smote
+    rng = np.random.RandomState(1)
+    n = 200
+    y = (np.arange(n) < 30).astype(int)
+    pdf = pd.DataFrame({"id": np.arange(n), "a": rng.rand(n), "b": rng.rand(n), "y": y})
+    s = smote(spark.createDataFrame(pdf), "y", "id", ["a", "b"], k=5, ratio=0.5).toPandas()
+    assert (s.y == 1).sum() == int(0.5 * 170) and (s.y == 0).sum() == 170
+    syn = s[s.synthetic == 1]
+    assert syn.a.between(0, 1).all() and syn.b.between(0, 1).all()
