@@ -39,10 +39,11 @@ def run_dir(spark: SparkSession, name: str, run_id: str | None = None) -> str:
 
 
 def file_stream(spark: SparkSession, folder: str, name: str, max_files: int | None = None) -> DataFrame:
-    """STR1: a streaming read of ``<folder>/<name>.parquet`` (and any file of
-    that name that arrives later), with the table's schema fixed up front."""
+    """STR1: a streaming read of ``<folder>/<name>.parquet`` and every
+    ``<name>*.parquet`` that arrives later, with the table's schema fixed up
+    front from the first file."""
     schema = table(spark, folder, name).schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}*.parquet")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.parquet(folder)
