@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import importlib
 
 from riskframe.plans.base import R
@@ -14,9 +15,19 @@ def _load():
         importlib.import_module(f"riskframe.plans.{m}")
 
 
+def _utc(fn):
+    """Run a query builder in a UTC session: the driver tables hold
+    timestamp_ntz values and daily windows / formatting must not shift."""
+    @functools.wraps(fn)
+    def run(spark, sf_dir):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return fn(spark, sf_dir)
+    return run
+
+
 def all_queries():
     _load()
-    return dict(R.queries)
+    return {k: _utc(v) for k, v in R.queries.items()}
 
 
 def all_sql():
