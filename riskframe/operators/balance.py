@@ -60,8 +60,8 @@ def knn(points: DataFrame, key: str, features, k: int = KNN_K, slice_rows: int =
     (key, nrank, nbr, dist), without emitting all pairs.
 
     Rows are range-sliced on a projection u = w.x (|w| = 1, so |u_i - u_j| is
-    at most the distance).  Each slice finds every row's k nearest inside the
-    slice (NumPy in the task, block size bounded by ``slice_rows``); that k-th
+    at most the distance).  Each slice (one group of at most ~``slice_rows``
+    rows) finds every row's k nearest inside it with NumPy; that k-th
     distance r is a verified search radius: only slices whose u-range meets
     [u - r, u + r] can hold closer rows, and the row is sent to those slices
     alone.  Candidates are merged per row (at most k per slice visited).
@@ -83,11 +83,10 @@ def knn(points: DataFrame, key: str, features, k: int = KNN_K, slice_rows: int =
     bounds = sorted((r["pid"], r["lo"], r["hi"]) for r in
                     x.groupBy("pid").agg(F.min("u").alias("lo"), F.max("u").alias("hi")).collect())
 
-    def local(it):
-        pdfs = [p for p in it if len(p)]
-        if not pdfs:
-            return
-        p = pd.concat(pdfs, ignore_index=True)
+    def local(p):
+        if len(p) == 0:
+            return pd.DataFrame({"key": [], "nbr": [], "d2": [], "kind": []})
+        p = p.reset_index(drop=True)
         X = np.vstack(p["x"].to_numpy()).astype(float)
         keys = p["key"].to_numpy()
         out_k, out_n, out_d, r2 = [], [], [], np.full(len(p), np.inf)
@@ -109,9 +108,10 @@ def knn(points: DataFrame, key: str, features, k: int = KNN_K, slice_rows: int =
         cand["kind"] = "cand"
         q = pd.DataFrame({"key": keys, "nbr": keys, "d2": r2})
         q["kind"] = "query"
-        yield pd.concat([cand, q], ignore_index=True).astype({"key": "int64", "nbr": "int64"})
+        return pd.concat([cand, q], ignore_index=True).astype({"key": "int64", "nbr": "int64"})
 
-    loc = cut_lineage(x.mapInPandas(local, "key long, nbr long, d2 double, kind string"))
+    # one group per slice id: correct whatever the physical partitioning
+    loc = cut_lineage(x.groupBy("pid").applyInPandas(local, "key long, nbr long, d2 double, kind string"))
     qrows = (loc.where(F.col("kind") == "query").select("key", F.col("d2").alias("r2"))
                 .join(x.select("key", "x", "u", "pid"), "key"))
 

@@ -94,17 +94,32 @@ def rank_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[s
     return r.withColumnRenamed(f"__cum{one}", out).drop(one)
 
 
+HOT_GROUP_ROWS = 1_000_000   # a group above this is spread over slices
+
+
 def lead_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
-                value_col: str, out: str, slices: int | None = None) -> DataFrame:
+                value_col: str, out: str, slices: int | None = None,
+                hot_rows: int | None = HOT_GROUP_ROWS) -> DataFrame:
     """Skew-safe ``lead(value) over (partition by g order by o)`` for unique
     ``(g, o)``: range slices on (g, o); a local lead inside each (slice, group);
     the last row of a group in a slice takes the value of that group's first row
     in the next slice holding it.  That boundary table has one row per (slice,
     group), so even a group spread over every slice has at most ``slices`` rows
-    in its window."""
+    in its window.
+
+    With ``hot_rows`` set, one grouped count over the group keys (map-side
+    combined, one number returned) measures the largest group first; when no
+    group exceeds ``hot_rows`` the plain window is used, since no task can
+    then receive more than that many rows."""
     group_cols, order_cols = list(group_cols), list(order_cols)
-    n = _slices(df, slices)
     okeys = [F.col(c).asc() for c in order_cols]
+    if hot_rows is not None:
+        biggest = (df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__n"))
+                     .agg(F.max("__n").alias("m")).first()["m"]) or 0
+        if biggest <= hot_rows:
+            w = Window.partitionBy(*group_cols).orderBy(*okeys)
+            return df.withColumn(out, F.lead(F.col(value_col)).over(w))
+    n = _slices(df, slices)
     x = (df.repartitionByRange(n, *[F.col(g) for g in group_cols], *okeys)
            .withColumn(_PID, F.spark_partition_id()))
     x = cut_lineage(x)

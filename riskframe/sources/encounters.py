@@ -13,10 +13,13 @@ table and the per-user event aggregates are then joined on the customer key
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskframe.operators.prefix import lead_within
+from riskframe.session import cut_lineage
 from riskframe.sources.tables import table
 
 # Fixed values shared with the SQL twin (FIXTURES.md section 3).
@@ -43,7 +46,28 @@ ORDER_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_
               "o_orderdate")
 
 
+_MEMO: dict = {}
+MATERIALIZE = True
+
+
+def clear_cache() -> None:
+    """Forget materialised encounter tables (the bench times every query cold)."""
+    _MEMO.clear()
+
+
 def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E, materialised once per (session, folder) in the shared checkpoint
+    folder: almost every consumer makes several passes (profile, fit, rank,
+    final plan), and each pass would otherwise repeat the three joins and
+    the line-item aggregation."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _MEMO:
+        e = _encounters(spark, sf_dir)
+        _MEMO[key] = cut_lineage(e) if MATERIALIZE else e
+    return _MEMO[key]
+
+
+def _encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     li, ev, cust = _side_tables(spark, sf_dir)
     # next visit of the same customer: a skew-safe lead (a customer with a third
     # of all orders is spread over many tasks instead of one), on the order

@@ -74,7 +74,7 @@ def test_lead_within_matches_window_with_hot_key(spark):
     cust = np.where(rng.rand(n) < 0.4, 7, rng.randint(0, 50, n))
     pdf = pd.DataFrame({"k": np.arange(n), "c": cust, "d": rng.randint(0, 300, n)})
     df = spark.createDataFrame(pdf)
-    got = lead_within(df, ["c"], ["d", "k"], "d", "nd", slices=6)
+    got = lead_within(df, ["c"], ["d", "k"], "d", "nd", slices=6, hot_rows=100)   # force the sliced plan
     ref = df.withColumn("rd", F.lead("d").over(Window.partitionBy("c").orderBy("d", "k")))
     j = got.join(ref, "k")
     assert j.count() == n
