@@ -9,10 +9,12 @@ _K = "__one_row_key"
 
 
 def attach(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Append the columns of a one-row aggregate (totals, fitted parameters) to
-    every row of ``df``: a broadcast hash join on a constant key.  The right
-    side is one row by construction (a global aggregate), so nothing is
-    multiplied and nothing big is broadcast."""
+    """Append the columns of a one-row aggregate (totals) to every row of
+    ``df``.  The right side is one row by construction (a global aggregate), so
+    nothing is multiplied and nothing big is broadcast; the optimizer folds the
+    constant key and plans a nested-loop join with that one-row build side
+    (linear in ``df``).  Used between small tables; large tables take fitted
+    parameters as literals instead."""
     left = df.withColumn(_K, F.lit(1))
     right = F.broadcast(one_row.withColumn(_K, F.lit(1)))
     return left.join(right, _K, "inner").drop(_K)

@@ -40,12 +40,15 @@ def linear_weights(fit: DataFrame, features: Sequence[str], label: str) -> DataF
 
 def linear_contributions(df: DataFrame, params: DataFrame, features: Sequence[str],
                          key: str) -> DataFrame:
-    """ML14 (linear): adds ``score`` and an array of (feature, contribution)."""
-    j = attach(df.select(key, *features), params)
+    """ML14 (linear): adds ``score`` and an array of (feature, contribution).
+    The fitted one-row parameters (two numbers per feature) are applied as
+    literals (JN4), so the plan has no join at all."""
+    p = params.first().asDict()
     contrib = F.array(*[F.struct(F.lit(c).alias("feature"),
-                                 (F.col(f"w__{c}") * (F.col(c).cast("double") - F.col(f"m__{c}"))).alias("contribution"))
+                                 (F.lit(p[f"w__{c}"]) * (F.col(c).cast("double") - F.lit(p[f"m__{c}"])))
+                                 .alias("contribution"))
                         for c in features])
-    out = j.select(key, *features, "base", contrib.alias("contributions"))
+    out = df.select(key, *features, F.lit(p["base"]).alias("base"), contrib.alias("contributions"))
     return out.withColumn("score", F.col("base") + F.aggregate(
         "contributions", F.lit(0.0), lambda acc, s: acc + s["contribution"]))
 
