@@ -89,6 +89,25 @@ def average_precision(df: DataFrame, label: str, score: str, group_cols: Sequenc
     return t.select(*g, F.try_divide(F.col("s"), F.col("P")).alias("average_precision"))
 
 
+def rank_metrics(df: DataFrame, label: str, score: str, group_cols: Sequence[str] = (),
+                 slices: int | None = None) -> DataFrame:
+    """AUC and AP from ONE ascending running sum: the descending counts AP
+    needs are totals minus the ascending sums before each score."""
+    g = list(group_cols)
+    sc = score_counts(df, label, score, g)
+    j = running_sum(sc, g, [score], ["pos", "neg"], slices=slices, totals=True)
+    pos_d = F.col("tot_pos") - F.col("cum_pos") + F.col("pos")
+    neg_d = F.col("tot_neg") - F.col("cum_neg") + F.col("neg")
+    part = j.select(*g, "pos", "neg",
+                    (F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2.0)).alias("u"),
+                    (F.col("pos") * pos_d / (pos_d + neg_d)).alias("s"))
+    aggs = [F.sum("u").alias("u"), F.sum("s").alias("s"), F.sum("pos").alias("P"), F.sum("neg").alias("N")]
+    t = part.groupBy(*g).agg(*aggs) if g else part.agg(*aggs)
+    return t.select(*g, F.when((F.col("P") > 0) & (F.col("N") > 0),
+                               F.col("u") / (F.col("P") * F.col("N"))).alias("auc"),
+                    F.try_divide(F.col("s"), F.col("P")).alias("average_precision"))
+
+
 def curve_points(df: DataFrame, label: str, score: str, slices: int | None = None) -> DataFrame:
     """WIN1: one row per distinct score (descending thresholds): tp, fp at
     ``score >= threshold`` and tpr, fpr, precision, recall."""
@@ -217,11 +236,13 @@ def evaluation(df: DataFrame, label: str, prob: str, threshold: float = 0.5) ->
     """F7 evaluation document as one row: confusion, rates, AUC, AP, Brier."""
     d = df.select(F.col(label).alias("y"), F.col(prob).alias("p"),
                   (F.col(prob) >= F.lit(threshold)).cast("int").alias("yhat"))
-    conf = with_rates(confusion(d, "y", "yhat"))
-    a = auc(d, "y", "p")
-    ap = average_precision(d, "y", "p")
-    b = d.agg(F.avg(F.pow(F.col("p") - F.col("y"), 2)).alias("brier_score"))
-    one = attach(attach(attach(conf, a), ap), b)  # every side is one row
+    conf = d.agg(F.count_if((F.col("y") == 0) & (F.col("yhat") == 0)).alias("tn"),
+                 F.count_if((F.col("y") == 0) & (F.col("yhat") == 1)).alias("fp"),
+                 F.count_if((F.col("y") == 1) & (F.col("yhat") == 0)).alias("fn"),
+                 F.count_if((F.col("y") == 1) & (F.col("yhat") == 1)).alias("tp"),
+                 F.avg(F.pow(F.col("p") - F.col("y"), 2)).alias("brier_score"))
+    conf = with_rates(conf)
+    one = attach(conf, rank_metrics(d, "y", "p"))  # both sides are one row
     return one.select("accuracy", "precision", "recall", F.col("recall").alias("sensitivity"),
                       "specificity", "f1_score", "auc", "average_precision", "brier_score",
                       F.col("precision").alias("positive_predictive_value"),

@@ -54,6 +54,8 @@ def test_auc_ap_match_brute_force(spark):
     df = spark.createDataFrame(pd.DataFrame({"y": y, "p": p}))
     assert abs(metrics.auc(df, "y", "p", slices=4).first()["auc"] - _auc_brute(y, p)) < 1e-12
     assert abs(metrics.average_precision(df, "y", "p", slices=4).first()["average_precision"] - _ap_brute(y, p)) < 1e-12
+    both = metrics.rank_metrics(df, "y", "p", slices=3).first()
+    assert abs(both["auc"] - _auc_brute(y, p)) < 1e-12 and abs(both["average_precision"] - _ap_brute(y, p)) < 1e-12
 
 
 def test_ks_statistic_matches_brute_force(spark):
