@@ -39,9 +39,11 @@ def model_frame(spark, sf_dir):
     return s
 
 
-def train_frame(frame):
+def train_frame(frame, folds: bool = True):
+    """Train rows with weight columns (and stratified folds for a search)."""
     tr = frame.where(F.col("split") == "train")
-    tr = split.kfold(tr, "label", "encounter_id", k=3)
+    if folds:
+        tr = split.kfold(tr, "label", "encounter_id", k=3)
     ratio = B.class_balance(tr, "label").first()["ratio"]
     return ML.add_weight_columns(tr, "label", ratio), ratio
 
@@ -56,9 +58,9 @@ def fitted(spark, sf_dir):
     if key in _CACHE:
         return _CACHE[key]
     frame = model_frame(spark, sf_dir)
-    tr, ratio = train_frame(frame)
+    tr, ratio = train_frame(frame, folds=False)
     val = ML.add_weight_columns(frame.where(F.col("split") == "val"), "label", ratio)
-    fit_df = tr.drop("fold").withColumn("is_val", F.lit(False)).unionByName(
+    fit_df = tr.withColumn("is_val", F.lit(False)).unionByName(
         val.withColumn("is_val", F.lit(True)))
     g = ML.gbt(n_estimators=QUERY_TREES, learning_rate=0.1, max_depth=4, scale_pos_weight="ratio")
     g = g.setParams(validationIndicatorCol="is_val", validationTol=0.001)
