@@ -83,7 +83,7 @@ def evaluation(spark, sf_dir):
 
 
 @R.add("roc_points", ["WIN1"], _s(
-    "select score as threshold, cum_pos as tp, cum_neg as fp, round(cum_pos / P, 6) as tpr, "
+    "select score as threshold, cast(cum_pos as bigint) as tp, cast(cum_neg as bigint) as fp, round(cum_pos / P, 6) as tpr, "
     "round(cum_neg / N, 6) as fpr, round(cum_pos / (cum_pos + cum_neg), 6) as precision from "
     "(select score, sum(pos) over (order by score desc rows between unbounded preceding and current row) as cum_pos, "
     "sum(neg) over (order by score desc rows between unbounded preceding and current row) as cum_neg, "
@@ -110,16 +110,17 @@ def calibration_curve(spark, sf_dir):
 
 
 @R.add("class_report", ["AGG18"], _s(
-    "select cls, round(precision, 6) as precision, round(recall, 6) as recall, round(f1, 6) as f1, support from ("
+    "select cls, round(precision, 6) as precision, round(recall, 6) as recall, round(f1, 6) as f1, "
+    "cast(support as bigint) as support from ("
     "select '0' as cls, case when tn + fn = 0 then 0 else tn / (tn + fn) end as precision, "
     "case when tn + fp = 0 then 0 else tn / (tn + fp) end as recall, "
     "case when 2 * tn + fn + fp = 0 then 0 else 2 * tn / (2 * tn + fn + fp) end as f1, tn + fp as support from C "
     "union all select '1', case when tp + fp = 0 then 0 else tp / (tp + fp) end, "
     "case when tp + fn = 0 then 0 else tp / (tp + fn) end, "
     "case when 2 * tp + fp + fn = 0 then 0 else 2 * tp / (2 * tp + fp + fn) end, tp + fn from C) k "
-    "union all select 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support) from K2 "
+    "union all select 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), cast(sum(support) as bigint) from K2 "
     "union all select 'weighted avg', round(sum(precision * support) / sum(support), 6), "
-    "round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6), sum(support) from K2",
+    "round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6), cast(sum(support) as bigint) from K2",
     [_CONF.format(t=0.5),
      "K2 as (select case when tn + fn = 0 then 0 else tn / (tn + fn) end as precision, "
      "case when tn + fp = 0 then 0 else tn / (tn + fp) end as recall, "

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import importlib
+import re
 
 from riskframe.plans.base import R
 
@@ -30,9 +31,14 @@ def all_queries():
     return {k: _utc(v) for k, v in R.queries.items()}
 
 
+_COUNT_IF = re.compile(r"count_if\(([^()]*)\) as (\w+)")
+
+
 def all_sql():
+    """SQL twins; DuckDB's count_if is HUGEINT, so named counts are cast to
+    BIGINT like Spark's."""
     _load()
-    return dict(R.sql)
+    return {k: _COUNT_IF.sub(r"cast(count_if(\1) as bigint) as \2", v) for k, v in R.sql.items()}
 
 
 def survey_ids():
