@@ -19,7 +19,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.operators.common import attach
 
 TOP_CONTRIBUTIONS = 10   # fixed value: contributions kept per scored row
 

@@ -9,7 +9,7 @@ from riskframe.operators import explain as X
 from riskframe.operators import model as ML
 from riskframe.operators import score as SC
 from riskframe.plans.base import R, r6, sql_e
-from riskframe.plans.model import CATEGORICAL, MODEL_FEATURES, fitted, scored_split
+from riskframe.plans.model import fitted
 from riskframe.sources.encounters import drift_side, encounters, scored
 
 LIN = ["time_in_hospital", "num_medications", "num_procedures", "num_lab_procedures", "number_diagnoses",

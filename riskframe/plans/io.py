@@ -8,7 +8,6 @@ import uuid
 from pyspark.sql import functions as F
 
 from riskframe.functions import scalar as fx
-from riskframe.operators import clean
 from riskframe.operators import drift as D
 from riskframe.operators import split
 from riskframe.plans.base import E_COLUMNS, R, sql_e, sql_clean_select

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from riskframe.functions import scalar as fx
 from riskframe.operators import balance as B
-from riskframe.operators import clean
 from riskframe.operators import features as FT
 from riskframe.operators import metrics as M
 from riskframe.operators import model as ML

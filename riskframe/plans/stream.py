@@ -7,7 +7,6 @@ import os
 from pyspark.sql import functions as F
 
 from riskframe.functions import scalar as fx
-from riskframe.operators import drift as D
 from riskframe.operators import explain as X
 from riskframe.plans.base import R, r6, sql_e
 from riskframe.plans.explain import LIN, _LC, _LW
