@@ -54,6 +54,27 @@ def _topk(d2, keys, k):
     return cand[order]
 
 
+def _skippable_slices(stats, d: int, k: int) -> set:
+    """Slices no other row needs to search: the slice holds one vector only
+    (lo == hi, min == max on every feature) and the contiguous run of such
+    slices before it, holding that same vector, already has >= k rows.  Every
+    row of the slice is then at the same distance from any query as those
+    earlier rows, with larger keys (slices follow (u, key) order), so it can
+    never enter a top k.  This keeps a huge block of duplicates from drawing
+    every nearby row into every one of its slices."""
+    skip, run_vec, run_n = set(), None, 0
+    for r in stats:
+        pure = r["lo"] == r["hi"] and all(r[f"mn{i}"] == r[f"mx{i}"] for i in range(d))
+        vec = (r["lo"], tuple(r[f"mn{i}"] for i in range(d))) if pure else None
+        if pure and vec == run_vec:
+            if run_n >= k:
+                skip.add(r["pid"])
+            run_n += r["n"]
+        else:
+            run_vec, run_n = vec, (r["n"] if pure else 0)
+    return skip
+
+
 def knn(points: DataFrame, key: str, features, k: int = KNN_K, slice_rows: int = SLICE_ROWS,
         seed: int = SEED) -> DataFrame:
     """JN5: exact k nearest other rows (Euclidean, ties by key) as
@@ -65,7 +86,9 @@ def knn(points: DataFrame, key: str, features, k: int = KNN_K, slice_rows: int =
     distance r is a verified search radius: only slices whose u-range meets
     [u - r, u + r] can hold closer rows, and the row is sent to those slices
     alone.  Candidates are merged per row (at most k per slice visited).
-    A block of exact duplicates costs compute inside its slices, never rows."""
+    Slices made of one repeated vector beyond the first k such rows are never
+    search targets (``_skippable_slices``), so a hot block of duplicates does
+    not pull its neighbourhood into every one of its slices."""
     import numpy as np
     import pandas as pd
     from pyspark.sql import Window
@@ -80,8 +103,14 @@ def knn(points: DataFrame, key: str, features, k: int = KNN_K, slice_rows: int =
     n = base.count()
     S = max(1, -(-n // slice_rows))
     x = cut_lineage(base.repartitionByRange(S, "u", "key").withColumn("pid", F.spark_partition_id()))
-    bounds = sorted((r["pid"], r["lo"], r["hi"]) for r in
-                    x.groupBy("pid").agg(F.min("u").alias("lo"), F.max("u").alias("hi")).collect())
+    d = len(feats)
+    stats = x.groupBy("pid").agg(F.min("u").alias("lo"), F.max("u").alias("hi"),
+                                 F.count(F.lit(1)).alias("n"),
+                                 *[F.min(F.col("x")[i]).alias(f"mn{i}") for i in range(d)],
+                                 *[F.max(F.col("x")[i]).alias(f"mx{i}") for i in range(d)]).collect()
+    stats = sorted(stats, key=lambda r: r["pid"])           # pid order = (u, key) order
+    bounds = [(r["pid"], r["lo"], r["hi"]) for r in stats]  # one row per slice
+    skip = _skippable_slices(stats, d, k)
 
     def local(p):
         if len(p) == 0:
@@ -121,7 +150,7 @@ def knn(points: DataFrame, key: str, features, k: int = KNN_K, slice_rows: int =
             for key_, r2, xv, uu, pid in zip(p["key"], p["r2"], p["x"], p["u"], p["pid"]):
                 r = np.sqrt(r2) if np.isfinite(r2) else np.inf
                 for tp, lo, hi in bounds:
-                    if tp != pid and hi >= uu - r and lo <= uu + r:
+                    if tp != pid and tp not in skip and hi >= uu - r and lo <= uu + r:
                         rows.append((tp, key_, xv, r2))
             if rows:
                 yield pd.DataFrame(rows, columns=["tpid", "key", "x", "r2"])

@@ -108,3 +108,23 @@ def test_smote_grows_minority_between_neighbours(spark):
     assert (s.y == 1).sum() == int(0.5 * 170) and (s.y == 0).sum() == 170
     syn = s[s.synthetic == 1]
     assert syn.a.between(0, 1).all() and syn.b.between(0, 1).all()
+
+
+def test_knn_exact_with_hot_duplicate_block(spark):
+    from riskframe.operators.balance import _skippable_slices, knn
+    rng = np.random.RandomState(3)
+    n = 600
+    X = rng.randint(0, 4, (n, 2)).astype(float)
+    X[100:500] = [1.0, 2.0]            # two thirds of the rows are one vector
+    pdf = pd.DataFrame({"id": np.arange(n), "a": X[:, 0], "b": X[:, 1]})
+    got = knn(spark.createDataFrame(pdf), "id", ["a", "b"], k=5, slice_rows=40).toPandas()
+    D = ((X[:, None, :] - X[None, :, :]) ** 2).sum(2)
+    np.fill_diagonal(D, np.inf)
+    for i in range(n):
+        want = np.lexsort((np.arange(n), D[i]))[:5].tolist()
+        assert got[got.id == i].sort_values("nrank")["nbr"].tolist() == want
+    stats = [{"pid": 0, "lo": 1.0, "hi": 2.0, "n": 40, "mn0": 0.0, "mx0": 1.0},
+             {"pid": 1, "lo": 2.0, "hi": 2.0, "n": 40, "mn0": 1.0, "mx0": 1.0},
+             {"pid": 2, "lo": 2.0, "hi": 2.0, "n": 40, "mn0": 1.0, "mx0": 1.0},
+             {"pid": 3, "lo": 2.0, "hi": 3.0, "n": 40, "mn0": 1.0, "mx0": 2.0}]
+    assert _skippable_slices(stats, 1, 5) == {2}
