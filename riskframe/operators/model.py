@@ -93,11 +93,13 @@ def preprocess_stages(num_cols: Sequence[str], cat_cols: Sequence[str] = (),
         imp = [f"{c}__imp" for c in num_cols]
         stages.append(Imputer(inputCols=list(num_cols), outputCols=imp, strategy="median"))
         inputs += imp
-    for c in cat_cols:
-        stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep",
-                                    stringOrderType="alphabetAsc"))
-        stages.append(OneHotEncoder(inputCol=f"{c}__idx", outputCol=f"{c}__oh", dropLast=True))
-        inputs.append(f"{c}__oh")
+    if cat_cols:   # one multi-column indexer / encoder: one fitting pass for all columns
+        cats = list(cat_cols)
+        stages.append(StringIndexer(inputCols=cats, outputCols=[f"{c}__idx" for c in cats],
+                                    handleInvalid="keep", stringOrderType="alphabetAsc"))
+        stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in cats],
+                                    outputCols=[f"{c}__oh" for c in cats], dropLast=True))
+        inputs += [f"{c}__oh" for c in cats]
     stages.append(VectorAssembler(inputCols=inputs, outputCol=out, handleInvalid="keep"))
     return stages
 
