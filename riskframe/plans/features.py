@@ -184,13 +184,16 @@ def numeric_projection(spark, sf_dir):
     return FT.numeric_only(encounters(spark, sf_dir))
 
 
-@R.add("feature_matrix", ["PRJ7", "JN1", "JN2", "SRC4", "PRJ6", "R4"], sql_e(
+_FM_BODY = (
     f"select s.encounter_id, s.age_numeric, s.comorbidity_count, s.age_med_interaction, " +
     ", ".join(f"cast(coalesce(s.los_group = '{b}', false) as int) as los_{b}" for b in fx.LOS_LABELS) + ", " +
     ", ".join(f"coalesce(cast(len(regexp_extract_all(coalesce(d.text, ''), '{p}')) as bigint), 0) as ent_{n}"
               for n, p in T.ENTITY_RULES) +
     ", s.readmitted_30d from (" + _STRUCT_SQL + ", case when readmitted = '<30' then 1 else 0 end as readmitted_30d from C) s "
-    "left join documents d on d.doc_id = s.encounter_id", ctes=[_MODE_PAYER, _CLEAN]))
+    "left join documents d on d.doc_id = s.encounter_id")
+
+
+@R.add("feature_matrix", ["PRJ7", "JN1", "JN2", "SRC4", "PRJ6", "R4"], sql_e(_FM_BODY, ctes=[_MODE_PAYER, _CLEAN]))
 def feature_matrix(spark, sf_dir):
     s = structured(spark, sf_dir).withColumn("readmitted_30d", fx.label_from("readmitted"))
     s = FT.with_target(s)
@@ -220,3 +223,16 @@ def column_profile(spark, sf_dir):
 def gender_codes(spark, sf_dir):
     e = encounters(spark, sf_dir)
     return e.select("encounter_id", "gender", fx.gender_code("gender").alias("gender_code"))
+
+
+# Columns that are constant over the whole sf0.01 feature matrix: comorbidity
+# (both diagnosis columns always present) and entity types that never occur.
+_FM_KEPT = ["encounter_id", "age_numeric", "age_med_interaction"] + [f"los_{b}" for b in fx.LOS_LABELS] + \
+    ["ent_CARDINAL", "ent_EMAIL", "ent_PERCENT", "ent_PROPER", "readmitted_30d"]
+
+
+@R.add("drop_constant_features", ["PRJ2", "R15"], sql_e(
+    "select " + ", ".join(_FM_KEPT) + " from (" + _FM_BODY + ") fm", ctes=[_MODE_PAYER, _CLEAN]))
+def drop_constant_features(spark, sf_dir):
+    """PRJ2 over the whole feature matrix: min == max per column, one pass."""
+    return clean.drop_constant(feature_matrix(spark, sf_dir))
