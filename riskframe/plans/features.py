@@ -227,6 +227,9 @@ def gender_codes(spark, sf_dir):
 
 # Columns that are constant over the whole sf0.01 feature matrix: comorbidity
 # (both diagnosis columns always present) and entity types that never occur.
+# The Spark query decides from the data at any scale; SQL cannot return a
+# data-dependent column set, so this twin lists the sf0.01 result (at sf0.001
+# the PERCENT entity never occurs either and is dropped as well).
 _FM_KEPT = ["encounter_id", "age_numeric", "age_med_interaction"] + [f"los_{b}" for b in fx.LOS_LABELS] + \
     ["ent_CARDINAL", "ent_EMAIL", "ent_PERCENT", "ent_PROPER", "readmitted_30d"]
 
