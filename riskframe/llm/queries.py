@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import chat_windows, decontaminate, host_reputation, mixing, order_minhash, quality_rules, secrets
+from riskframe.llm import (chat_windows, compression_quality, decontaminate, host_reputation, mixing, ngram_lm,
+                           order_minhash, quality_rules, secrets, token_counts)
 from riskframe.llm.common import sha_of
 from riskframe.sources.tables import table
 
@@ -25,6 +26,13 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+# ------------------------------------------------------------------ LM scores
+
+@query("op1_stupid_backoff")
+def op1_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.lm_scores(table(spark, sf_dir, "documents"))
+
+
 # ------------------------------------------------------------ decontamination
 
 _WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -66,6 +74,22 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                       sha_of(F.concat_ws(",", "item_ids")).alias("items_sha256"), "contaminated")
 
 
+# ---------------------------------------------------------- quality classifier
+
+@query("op3_compression_quality")
+def op3_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+# ---------------------------------------------------------------- token counts
+
+@query("op4_edit_token_counts")
+def op4_edit_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_counts.count_edited(docs.select("doc_id", "text", token_counts.derived_edits("doc_id", "text")
+                                                 .alias("edits")))
+
+
 # ------------------------------------------------------------- URL reputation
 
 def _reputation_sql() -> str:
