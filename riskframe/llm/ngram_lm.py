@@ -28,10 +28,17 @@ from riskframe.llm.words import U64, alnum_words, mix, word_hashes
 ORDER, ALPHA = 3, 0.4
 #: Text bytes per block of documents, and n-grams per hash bucket.
 BLOCK_BYTES, BUCKET_GRAMS = 4_000_000, 4_000_000
+#: Hashes have so many bits more than it takes to number the corpus' n-grams:
+#: an unseen n-gram is taken for another with probability 2 ** -SPARE_BITS.
+SPARE_BITS = 24
 _COEF = mix(np.arange(701, 709, dtype=U64)) | U64(1)
 
 
-def gram_hashes(words: np.ndarray, order: int) -> np.ndarray:
+def hash_bits(grams: int) -> int:
+    return min(64, max(grams, 1).bit_length() + SPARE_BITS)
+
+
+def gram_hashes(words: np.ndarray, order: int, bits: int = 64) -> np.ndarray:
     """Hashes of the runs of ``order`` words, by their first word."""
     n = len(words) - order + 1
     if n <= 0:
@@ -39,12 +46,12 @@ def gram_hashes(words: np.ndarray, order: int) -> np.ndarray:
     out = np.full(n, order, U64)
     for k in range(order):
         out += words[k:n + k] * _COEF[k]
-    return mix(out)
+    return mix(out) >> U64(64 - bits)
 
 
-def bucket_edges(grams: np.ndarray, buckets: int) -> np.ndarray:
+def bucket_edges(grams: np.ndarray, buckets: int, bits: int = 64) -> np.ndarray:
     """Where each bucket (an equal range of hashes) starts in sorted hashes."""
-    step = 2 ** 64 // buckets
+    step = 2 ** bits // buckets
     return np.searchsorted(grams, np.arange(1, buckets, dtype=U64) * U64(step)) if buckets > 1 \
         else np.zeros(0, np.int64)
 
@@ -65,11 +72,11 @@ def unpack(data: bytes) -> np.ndarray:
 class Block:
     """The n-grams of a block of documents."""
 
-    def __init__(self, texts, order: int):
+    def __init__(self, texts, order: int, bits: int = 64):
         words = [word_hashes(w) if (w := alnum_words(t)) else np.zeros(0, U64) for t in texts]
         self.lengths = np.array([len(w) for w in words], np.int64)
         self.order = order
-        parts = [[gram_hashes(w, k) for w in words] for k in range(1, order + 1)]
+        parts = [[gram_hashes(w, k, bits) for w in words] for k in range(1, order + 1)]
         flat = [np.concatenate(p) if p else np.zeros(0, U64) for p in parts]
         self.grams, place, self.counts = np.unique(np.concatenate(flat), return_inverse=True, return_counts=True)
         ends = np.cumsum([len(f) for f in flat])[:-1]
@@ -131,13 +138,14 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
     tokens, n_bytes = size["words"] or 0, size["bytes"] or 0
     blocks = max(1, math.ceil(n_bytes / block_bytes))
     buckets = max(1, math.ceil(tokens * order / bucket_grams))
+    bits = hash_bits(tokens * order)
     row = base.withColumn("block", F.pmod(F.xxhash64(F.col(id_col), F.col("text")), F.lit(blocks)).cast("int")) \
         .select("block", F.col(id_col), F.col("text").cast("binary").alias("text"))
 
     def explode(pdf):
         import pandas as pd
-        b = Block(pdf["text"], order)
-        cut = bucket_edges(b.grams, buckets)
+        b = Block(pdf["text"], order, bits)
+        cut = bucket_edges(b.grams, buckets, bits)
         return pd.DataFrame({
             "bucket": np.arange(buckets, dtype=np.int32), "block": int(pdf["block"].iloc[0]),
             "grams": [pack(np.diff(g, prepend=U64(0))) for g in np.split(b.grams, cut)],
@@ -155,7 +163,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", o
 
     def score(left, right):
         import pandas as pd
-        b = Block(left["text"], order)
+        b = Block(left["text"], order, bits)
         parts = [unpack(x).astype(np.int64) for x in right.sort_values("bucket")["others"]]
         totals = b.counts + np.concatenate(parts)
         log = b.scores(totals, tokens, alpha)
