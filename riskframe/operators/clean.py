@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
+from pyspark.sql.types import DoubleType, IntegralType, NumericType, StringType
 
 from riskframe.operators.common import sized_broadcast
 from riskframe.operators.prefix import rank_within, running_sum
@@ -86,8 +86,7 @@ def clean_table(df: DataFrame, threshold: float = SPARSE_SHARE, fit: DataFrame |
     if not need:
         return out
     src = (fit if fit is not None else df).select(*need)
-    strings = set(string_columns(src))
-    params = impute_params(src, [c for c in need if c in strings], [c for c in need if c not in strings])
+    params = impute_params(src)          # strings and numbers; other types keep their nulls
     return impute(out, params=params)
 
 
@@ -173,15 +172,18 @@ def impute_params(fit: DataFrame, cat_cols: Sequence[str] | None = None,
 
 def impute(df: DataFrame, fit: DataFrame | None = None, cat_cols=None, num_cols=None,
            params: dict | None = None) -> DataFrame:
-    """AGG5 apply: ``coalesce(col, fitted value)``; the value is cast back to the
-    column type.  Parameters are fitted on ``fit`` (train, R3) or on ``df``."""
+    """AGG5 apply: ``coalesce(col, fitted value)``.  An integer column that gets
+    a median becomes double, as a median need not be whole; other values are
+    cast to the column type.  Parameters are fitted on ``fit`` (train, R3) or
+    on ``df``."""
     if params is None:
         params = impute_params(fit if fit is not None else df, cat_cols, num_cols)
     types = {f.name: f.dataType for f in df.schema.fields}
     out = []
     for c in df.columns:
         if c in params and params[c] is not None:
-            out.append(F.coalesce(F.col(c), F.lit(params[c]).cast(types[c])).alias(c))
+            kind = DoubleType() if isinstance(types[c], IntegralType) else types[c]
+            out.append(F.coalesce(F.col(c).cast(kind), F.lit(params[c]).cast(kind)).alias(c))
         else:
             out.append(F.col(c))
     return df.select(*out)

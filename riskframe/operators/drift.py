@@ -81,7 +81,8 @@ def ks_drift(long: DataFrame, slices: int | None = None) -> DataFrame:
         F.first("tot_ref").alias("n_ref"), F.first("tot_cur").alias("n_cur"),
         F.count_if(F.col("n_ref") > 0).alias("u_ref"), F.count_if(F.col("n_cur") > 0).alias("u_cur"))
     per = per.where((F.col("u_ref") > 1) & (F.col("u_cur") > 1))
-    lam = F.sqrt(F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur"))) * F.col("ks_statistic")
+    n_ref, n_cur = F.col("n_ref").cast("double"), F.col("n_cur").cast("double")   # the product passes 2 ** 63
+    lam = F.sqrt(n_ref * n_cur / (n_ref + n_cur)) * F.col("ks_statistic")
     per = per.withColumn("p_value", kolmogorov_p(lam))
     return per.select("feature", "ks_statistic", "p_value",
                       (F.lit(1.0) - F.col("p_value")).alias("drift_score"),
@@ -130,7 +131,7 @@ def target_drift(df: DataFrame, side_col: str, target: str) -> DataFrame:
     y_tot = cells.groupBy(target).agg(F.sum("n").alias("n_y"))
     all_tot = cells.agg(F.sum("n").alias("n_all"))
     j = attach(cells.join(F.broadcast(side_tot), side_col).join(F.broadcast(y_tot), target), all_tot)
-    exp = F.col("n_side") * F.col("n_y") / F.col("n_all")
+    exp = F.col("n_side").cast("double") * F.col("n_y") / F.col("n_all")
     return j.select(side_col, target, "n", (F.col("n") / F.col("n_side")).alias("share"),
                     exp.alias("expected"), (F.pow(F.col("n") - exp, 2) / exp).alias("chi2_part"))
 

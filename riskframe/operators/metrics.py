@@ -67,11 +67,11 @@ def auc(df: DataFrame, label: str, score: str, group_cols: Sequence[str] = (),
     sc = score_counts(df, label, score, g)
     cum = running_sum(sc, g, [score], ["neg"], slices=slices)
     part = cum.select(*g, "pos", "neg",
-                      (F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2.0)).alias("u"))
+                      (F.col("pos").cast("double") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2.0)).alias("u"))
     aggs = [F.sum("u").alias("u"), F.sum("pos").alias("P"), F.sum("neg").alias("N")]
     t = part.groupBy(*g).agg(*aggs) if g else part.agg(*aggs)
     return t.select(*g, F.when((F.col("P") > 0) & (F.col("N") > 0),
-                               F.col("u") / (F.col("P") * F.col("N"))).alias("auc"))
+                               F.col("u") / F.col("P").cast("double") / F.col("N")).alias("auc"))
 
 
 def average_precision(df: DataFrame, label: str, score: str, group_cols: Sequence[str] = (),
@@ -83,7 +83,7 @@ def average_precision(df: DataFrame, label: str, score: str, group_cols: Sequenc
     sc = score_counts(df, label, score, g)
     cum = running_sum(sc, g, [score], ["pos", "neg"], descending=True, slices=slices)
     part = cum.select(*g, "pos",
-                      (F.col("pos") * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("s"))
+                      (F.col("pos").cast("double") * F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("s"))
     aggs = [F.sum("s").alias("s"), F.sum("pos").alias("P")]
     t = part.groupBy(*g).agg(*aggs) if g else part.agg(*aggs)
     return t.select(*g, F.try_divide(F.col("s"), F.col("P")).alias("average_precision"))
@@ -99,12 +99,12 @@ def rank_metrics(df: DataFrame, label: str, score: str, group_cols: Sequence[str
     pos_d = F.col("tot_pos") - F.col("cum_pos") + F.col("pos")
     neg_d = F.col("tot_neg") - F.col("cum_neg") + F.col("neg")
     part = j.select(*g, "pos", "neg",
-                    (F.col("pos") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2.0)).alias("u"),
-                    (F.col("pos") * pos_d / (pos_d + neg_d)).alias("s"))
+                    (F.col("pos").cast("double") * (F.col("cum_neg") - F.col("neg") + F.col("neg") / 2.0)).alias("u"),
+                    (F.col("pos").cast("double") * pos_d / (pos_d + neg_d)).alias("s"))
     aggs = [F.sum("u").alias("u"), F.sum("s").alias("s"), F.sum("pos").alias("P"), F.sum("neg").alias("N")]
     t = part.groupBy(*g).agg(*aggs) if g else part.agg(*aggs)
     return t.select(*g, F.when((F.col("P") > 0) & (F.col("N") > 0),
-                               F.col("u") / (F.col("P") * F.col("N"))).alias("auc"),
+                               F.col("u") / F.col("P").cast("double") / F.col("N")).alias("auc"),
                     F.try_divide(F.col("s"), F.col("P")).alias("average_precision"))
 
 

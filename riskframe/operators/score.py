@@ -49,4 +49,4 @@ def live_performance(scored: DataFrame, label: str, prob: str, threshold: float
         return out
     except Exception as e:  # noqa: BLE001 -- the reference returns an error document
         spark = scored.sparkSession
-        return spark.createDataFrame([(None, None, None, None, None, None, str(e)[:500])], cols)
+        return spark.createDataFrame([(None, None, None, None, None, None, str(e))], cols)

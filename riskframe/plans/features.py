@@ -142,10 +142,10 @@ _SERVE = list(FT.SERVING_FEATURES) + [f"los_{b}" for b in fx.LOS_LABELS]
           "insulin <> 'No' as insulin from E)"]))
 def conform_requests(spark, sf_dir):
     r = requests(spark, sf_dir)
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
-    r = r.join(d, r.encounter_id == d.doc_id, "left")
+    d = table(spark, sf_dir, "documents").select("doc_id", fx.has_text("text").alias("noted"))
+    r = r.join(d, r.encounter_id == d.doc_id, "left")      # a flag crosses the join, not the text
     r = r.select("*", F.col("age").alias("age_numeric"),
-                 fx.has_text("text").alias("has_clinical_notes"),
+                 F.coalesce("noted", F.lit(0)).alias("has_clinical_notes"),
                  (F.col("age") * F.col("num_medications")).alias("age_med_interaction"),
                  F.col("insulin").cast("int").alias("insulin_i"))
     r = r.drop("insulin").withColumnRenamed("insulin_i", "insulin")
@@ -154,8 +154,8 @@ def conform_requests(spark, sf_dir):
 
 
 @R.add("known_columns", ["PRJ3"], sql_e(
-    "select encounter_id, age, race, gender, time_in_hospital, num_lab_procedures, num_procedures, num_medications, "
-    "number_outpatient, number_emergency, number_inpatient, number_diagnoses, insulin from E"))
+    "select encounter_id, time_in_hospital, num_lab_procedures, num_procedures, num_medications, number_outpatient, "
+    "number_emergency, number_inpatient, number_diagnoses, age, insulin from E"))
 def known_columns(spark, sf_dir):
     return FT.select_known(encounters(spark, sf_dir), keep=["encounter_id"])
 
@@ -166,9 +166,23 @@ def known_columns(spark, sf_dir):
     "number_diagnoses * number_diagnoses as number_diagnoses_squared from E"))
 def squared_columns(spark, sf_dir):
     e = FT.engineered_features(encounters(spark, sf_dir))
-    diag = FT.select_prefix(e, "diag_", 5, keep=["encounter_id"])
-    sq = FT.select_prefix(e, suffix="_squared", limit=None, keep=["encounter_id"])
-    return diag.join(sq, "encounter_id")
+    diag = FT.select_prefix(e, "diag_", 5).columns
+    return e.select("encounter_id", *diag, *FT.select_prefix(e, suffix="_squared", limit=None).columns)
+
+
+@R.add("advanced_selection", ["PRJ3", "PRJ4"], sql_e(
+    "select encounter_id, time_in_hospital, num_lab_procedures, num_procedures, num_medications, number_outpatient, "
+    "number_emergency, number_inpatient, number_diagnoses, age, insulin, num_medications * num_procedures as "
+    "med_proc_interaction, round(num_medications / case when time_in_hospital = 0 then 1 else time_in_hospital end, 6) "
+    "as med_per_day, case when cast(regexp_extract(age, '(\\d+)', 1) as int) + 5 > 60 then 1 else 0 end as is_elderly, "
+    "number_outpatient + number_emergency + number_inpatient as total_encounters, "
+    "case when number_diagnoses > 7 then 1 else 0 end as high_diag_complexity, diag_1, diag_2, "
+    "num_lab_procedures * num_lab_procedures as num_lab_procedures_squared, "
+    "num_medications * num_medications as num_medications_squared, "
+    "number_diagnoses * number_diagnoses as number_diagnoses_squared from E"))
+def advanced_selection(spark, sf_dir):
+    e = FT.engineered_features(FT.structured_features(encounters(spark, sf_dir)))
+    return FT.advanced_selection(e, keep=["encounter_id"]).withColumn("med_per_day", r6("med_per_day"))
 
 
 @R.add("clinical_selection", ["PRJ5"], sql_e(

@@ -88,9 +88,11 @@ def entity_types(spark, sf_dir):
 def note_flags(spark, sf_dir):
     e = encounters(spark, sf_dir).select("encounter_id")
     d = docs(spark, sf_dir)
+    d = d.select("doc_id", fx.has_text("text").alias("noted"),       # two numbers cross the join, not the text
+                 F.length(fx.text_or_empty("text")).cast("int").alias("chars"))
     j = e.join(d, e.encounter_id == d.doc_id, "left")
-    return j.select("encounter_id", fx.has_text("text").alias("has_notes"),
-                    F.length(fx.text_or_empty("text")).cast("int").alias("note_chars"))
+    return j.select("encounter_id", F.coalesce("noted", F.lit(0)).alias("has_notes"),
+                    F.coalesce("chars", F.lit(0)).alias("note_chars"))
 
 
 @R.add("lsa_topics", ["ML12", "SNK3"])

@@ -14,6 +14,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",   # with the table that used them
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -52,7 +53,7 @@ def shared_dir(spark: SparkSession) -> str:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
         master = spark.sparkContext.master
-        if not master.startswith("local"):
+        if not (master == "local" or master.startswith("local[")):     # local-cluster is a cluster
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="riskframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
