@@ -66,6 +66,8 @@ def build_automaton(block: list[tuple[str, bytes]], window: int = WINDOW):
         ids = tuple(number.setdefault(w, len(number) + 1) for w in joined.split(b" "))
         for i in range(max(1, len(ids) - window + 1)):
             owners.setdefault(ids[i:i + window], set()).add(item)
+    if not owners:
+        return number, None
     auto = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
     for ids, items in owners.items():
         auto.add_word(ids, (len(ids), tuple(items)))
@@ -87,8 +89,8 @@ def merge_spans(spans) -> list[tuple[int, int]]:
 def scan(text: bytes | None, number: dict, auto):
     """(words, hit word ranges, sorted item ids, original code-point spans)."""
     words = alnum_words(text)
-    if not words:
-        return 0, [], [], []
+    if not words or auto is None:
+        return len(words), [], [], []
     get = number.get
     ids = tuple([get(w, 0) for w in words])
     found, items = [], set()

@@ -59,12 +59,13 @@ def matching_rule(host, path, rules=RULES):
 
 
 def _level(groups: DataFrame, parents: DataFrame, key: str, parent: str) -> DataFrame:
-    """Shrink ``groups`` (key, parent, n, bad) towards ``parents`` (parent, mean).
+    """Shrink ``groups`` (key, parent, n, bad) towards ``parents`` (parent, mean,
+    var); a prior mean is itself uncertain, so its variance is handed down.
 
     Strength m by moments: the variance of the groups' rates beyond binomial
     noise is p (1 - p) / (m + 1), weighted by pages; one value per level.
     """
-    g = groups.join(parents.select(parent, F.col("mean").alias("prior")), parent)
+    g = groups.join(parents.select(parent, F.col("mean").alias("prior"), F.col("var").alias("prior_var")), parent)
     noise = F.sum(F.when(F.col("n") > 1, F.col("prior") * (1 - F.col("prior"))))
     spread = F.sum(F.when(F.col("n") > 1, F.pow(F.col("bad") / F.col("n") - F.col("prior"), F.lit(2.0))))
     within = F.sum(F.when(F.col("n") > 1, F.col("prior") * (1 - F.col("prior")) / F.col("n")))
@@ -76,7 +77,10 @@ def _level(groups: DataFrame, parents: DataFrame, key: str, parent: str) -> Data
                               F.lit(LEAST_STRENGTH)))
     m = F.lit(float(g.agg(strength).first()[0]))        # one number per level
     mean = (F.col("bad") + m * F.col("prior")) / (F.col("n") + m)
-    return g.withColumn("mean", mean).withColumn("m", m)
+    # the group's own variance, and its share of the parent's
+    var = F.col("mean") * (1 - F.col("mean")) / (F.col("n") + m + 1) \
+        + F.pow(m / (F.col("n") + m), F.lit(2.0)) * F.col("prior_var")
+    return g.withColumn("mean", mean).withColumn("var", var)
 
 
 def host_posteriors(labelled: DataFrame) -> DataFrame:
@@ -88,13 +92,13 @@ def host_posteriors(labelled: DataFrame) -> DataFrame:
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")) \
         .withColumn("root", F.lit(""))
     # one extra good and one extra bad page keep the rate of all pages off 0 and 1
-    root = suffixes.groupBy("root").agg(((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("mean"))
+    root = suffixes.groupBy("root").agg(((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("mean"),
+                                       F.sum("n").alias("n")) \
+        .withColumn("var", F.col("mean") * (1 - F.col("mean")) / (F.col("n") + 3))
     s = _level(suffixes, root, "suffix", "root")
     d = _level(domains, s, "domain", "suffix")
     h = _level(hosts.select("host", "domain", "n", "bad"), d, "host", "domain")
-    a, size = F.col("mean"), F.col("n") + F.col("m")
-    sd = F.sqrt(a * (1 - a) / (size + 1))
-    return h.select("host", "n", "mean", (a - BOUND_Z * sd).alias("lower"))
+    return h.select("host", "n", "mean", (F.col("mean") - BOUND_Z * F.sqrt("var")).alias("lower"))
 
 
 def url_filter(pages: DataFrame, labels: DataFrame, id_col: str = "page_id", url_col: str = "url",

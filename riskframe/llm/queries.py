@@ -104,14 +104,15 @@ def _reputation_sql() -> str:
 
     def level(name, key, parent, above):
         return f"""
-{name}_g as (select g.*, p.mean as prior from {name} g join {above} p using ({parent})),
+{name}_g as (select g.*, p.mean as prior, p.var as pvar from {name} g join {above} p using ({parent})),
 {name}_m as (select case when extra * {h.MOST_STRENGTH} <= full_ then {h.MOST_STRENGTH}
     else greatest(full_ / extra - 1, {h.LEAST_STRENGTH}) end as m from (
   select greatest(coalesce(sum(pow(bad / n - prior, 2)) filter (n > 1)
       - sum(prior * (1 - prior) / n) filter (n > 1), 0), 0) as extra,
     coalesce(sum(prior * (1 - prior)) filter (n > 1)
       - sum(prior * (1 - prior) / n) filter (n > 1), 0) as full_ from {name}_g)),
-{name}_p as (select g.*, m, (bad + m * prior) / (n + m) as mean from {name}_g g, {name}_m)"""
+{name}_p as (select *, mean * (1 - mean) / (n + m + 1) + pow(m / (n + m), 2) * pvar as var
+  from (select g.*, m, (bad + m * prior) / (n + m) as mean from {name}_g g, {name}_m))"""
 
     return f"""
 with parts as (
@@ -125,11 +126,12 @@ seen as (select named.*, case when quality = 0 or toxic = 1 then 1 else 0 end as
 host as (select host, domain, count(*) as n, sum(bad) as bad from seen group by all),
 domain as (select domain, suffix, count(*) as n, sum(bad) as bad from seen group by all),
 suffix as (select suffix, '' as root, count(*) as n, sum(bad) as bad from seen group by all),
-root as (select '' as root, (coalesce(sum(bad), 0) + 1) / (count(*) + 2) as mean from seen),
+root as (select *, mean * (1 - mean) / (n + 3) as var from (
+  select '' as root, (coalesce(sum(bad), 0) + 1) / (count(*) + 2) as mean, count(*) as n from seen)),
 {level('suffix', 'suffix', 'root', 'root')},
 {level('domain', 'domain', 'suffix', 'suffix_p')},
 {level('host', 'host', 'domain', 'domain_p')},
-known as (select host, n, mean - {h.BOUND_Z} * sqrt(mean * (1 - mean) / (n + m + 1)) as lower from host_p),
+known as (select host, n, mean - {h.BOUND_Z} * sqrt(var) as lower from host_p),
 ruled as (select *, case {' '.join(fits)} end as rule from parts)
 select page_id, host, path, rule,
   coalesce(case rule {says} end, case when lower > {h.MAX_BAD} then 'block' else 'allow' end) as verdict,
