@@ -80,13 +80,12 @@ def top_features(importance: DataFrame, k: int = 10, col: str = "mean_abs") -> D
     return importance.orderBy(F.col(col).desc(), F.col("feature")).limit(k)
 
 
-def dependence(long: DataFrame, values: DataFrame, key: str, feature: str) -> DataFrame:
+def dependence(df: DataFrame, feature: str, arr: str = "contributions") -> DataFrame:
     """ML15: (value, n, mean contribution) for one feature -- the data behind
-    a dependence plot, aggregated per distinct value."""
-    c = long.where(F.col("feature") == feature).select(key, "contribution")
-    v = values.select(key, F.col(feature).cast("double").alias("value"))
-    return v.join(c, key).groupBy("value").agg(F.count(F.lit(1)).alias("n"),
-                                               F.avg("contribution").alias("mean_contribution"))
+    a dependence plot, from the row's own array, aggregated per distinct value."""
+    c = F.filter(arr, lambda s: s["feature"] == feature)[0]["contribution"]
+    v = df.select(F.col(feature).cast("double").alias("value"), c.alias("contribution"))
+    return v.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.avg("contribution").alias("mean_contribution"))
 
 
 # ----------------------------------------------------------------- trees ---
@@ -126,6 +125,7 @@ def _walk(trees, X: np.ndarray):
     rows = np.arange(m)
     for w, pred, left, right, feat, thr, cats in trees:
         node = np.zeros(m, int)
+        by_set = [i for i, c in enumerate(cats) if c is not None]
         bias += w * pred[0]
         active = left[node] >= 0
         while active.any():
@@ -133,10 +133,10 @@ def _walk(trees, X: np.ndarray):
             nd = node[idx]
             f = feat[nd]
             x = X[idx, f]
-            go_left = np.empty(len(idx), bool)
-            for j, n_ in enumerate(nd):            # categorical splits are rare: per-node check
-                c = cats[n_]
-                go_left[j] = (x[j] in c) if c is not None else (x[j] <= thr[n_])
+            go_left = x <= thr[nd]
+            for n_ in by_set:                      # the few categorical nodes of this tree
+                here = nd == n_
+                go_left[here] = np.isin(x[here], cats[n_])
             child = np.where(go_left, left[nd], right[nd])
             np.add.at(contrib, (idx, f), w * (pred[child] - pred[nd]))
             node[idx] = child

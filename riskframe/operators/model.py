@@ -210,19 +210,19 @@ def load_pipeline(path: str) -> PipelineModel:
 
 
 def ledger_rows(run_id: str, kind: str, items: dict, ts: dt.datetime | None = None) -> list:
-    ts = ts or dt.datetime(1970, 1, 1)
+    ts = ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     return [(run_id, ts, kind, str(k), None if v is None else float(v) if isinstance(v, (int, float)) else None,
              None if isinstance(v, (int, float)) else str(v)) for k, v in items.items()]
 
 
 def append_ledger(spark: SparkSession, path: str, rows: list) -> DataFrame:
-    """SNK6/SNK7: append (run_id, ts, kind, name, value, text) rows to a
-    Parquet ledger; params, metrics, confusion counts and model info all land
-    in one table."""
-    df = spark.createDataFrame(rows, "run_id string, ts timestamp, kind string, name string, "
+    """SNK6/SNK7: (run_id, ts, kind, name, value, text) rows in a Parquet
+    ledger partitioned by run: params, metrics, confusion counts and model info
+    land in one table, and writing a run again replaces that run only."""
+    df = spark.createDataFrame(rows, "run_id string, ts timestamp_ntz, kind string, name string, "
                                      "value double, text string")
-    df.write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+    return spark.read.parquet(path).select(*df.columns)
 
 
 def make_pipeline(stages: list, estimator) -> Pipeline:

@@ -55,8 +55,7 @@ def mean_abs_contribution(spark, sf_dir):
     ctes=[_LW, _LC]))
 def dependence_table(spark, sf_dir):
     lin = linear(spark, sf_dir)
-    long = X.explode_contributions(lin, "encounter_id")
-    d = X.dependence(long, lin, "encounter_id", "num_medications")
+    d = X.dependence(lin, "num_medications")
     return d.select("value", "n", r6("mean_contribution").alias("mean_contribution"))
 
 

@@ -9,15 +9,17 @@ from pyspark.sql import functions as F
 
 from riskframe.functions import scalar as fx
 from riskframe.operators import balance as B
+from riskframe.operators import clean
+from riskframe.operators import explain as X
 from riskframe.operators import features as FT
 from riskframe.operators import metrics as M
 from riskframe.operators import model as ML
 from riskframe.operators import select as SEL
 from riskframe.operators import split
 from riskframe.plans.base import R, r6, sql_e
-from riskframe.plans.clean import clean_encounters
 from riskframe.plans.split import _SPLIT_BODY, _SPLIT_CTES
 from riskframe.session import cut_lineage, scratch_path
+from riskframe.sources.encounters import encounters
 
 MI_FEATURES = ["time_in_hospital", "num_medications", "num_procedures", "num_lab_procedures",
                "number_diagnoses", "number_outpatient", "number_emergency", "number_inpatient",
@@ -31,11 +33,12 @@ QUERY_TREES = 30
 
 
 def model_frame(spark, sf_dir):
-    """Clean E + features + label + stratified split + folds on train rows."""
-    c = FT.engineered_features(FT.structured_features(clean_encounters(spark, sf_dir)))
-    c = c.withColumn("label", fx.label_from("readmitted"))
-    s = split.stratified_split(c, "label", "encounter_id")
-    return s
+    """Label and stratified split of E, then cleaning fitted on the train rows
+    (R3) and features."""
+    e = clean.sentinel_to_null(encounters(spark, sf_dir)).withColumn("label", fx.label_from("readmitted"))
+    s = split.stratified_split(e, "label", "encounter_id")
+    c = clean.clean_table(s, fit=s.where(F.col("split") == "train"))
+    return FT.engineered_features(FT.structured_features(c))
 
 
 def train_frame(frame, folds: bool = True):
@@ -95,7 +98,6 @@ _TRN = ["L2 as (select *, case when readmitted = '<30' then 1 else 0 end as labe
 
 
 def _mi(spark, sf_dir):
-    from riskframe.sources.encounters import encounters
     e = encounters(spark, sf_dir).withColumn("label", fx.label_from("readmitted"))
     tr = split.stratified_split(e, "label", "encounter_id").where(F.col("split") == "train")
     return SEL.mutual_info(tr, MI_FEATURES, "label")
@@ -119,7 +121,6 @@ def top_k_features(spark, sf_dir):
     "union all select 'ratio_x1_5', r * 1.5 from RT) g",
     ctes=["RT as (select count_if(readmitted <> '<30') / count_if(readmitted = '<30') as r from E)"]))
 def class_weight_grid(spark, sf_dir):
-    from riskframe.sources.encounters import encounters
     e = encounters(spark, sf_dir).select(fx.label_from("readmitted").alias("label"))
     return B.pos_weight_grid(B.class_balance(e, "label")).select("option", r6("pos_weight").alias("pos_weight"))
 
@@ -188,7 +189,11 @@ def model_ledger(spark, sf_dir):
     rows = ML.ledger_rows(run, "params", {"maxIter": QUERY_TREES, "maxDepth": 4, "stepSize": 0.1,
                                           "pos_weight": ratio})
     rows += ML.ledger_rows(run, "metrics", {k: v for k, v in ev.items()})
-    rows += ML.ledger_rows(run, "model_info", {"model_path": path, "n_features": len(MODEL_FEATURES),
+    names = X.vector_slot_names(model.transform(frame.limit(1)))
+    n = {r["split"]: r["count"] for r in frame.groupBy("split").count().collect()}      # three rows
+    rows += ML.ledger_rows(run, "model_info", {"model_path": path, "n_features": len(names), "features": ",".join(names),
+                                               "n_train": n.get("train", 0), "n_validation": n.get("val", 0),
+                                               "version": "1",
                                                "below_target": float(ev["f1_score"] < 0.9 and (ev["auc"] or 0) < 0.95)})
     led = scratch_path(spark, f"ledger/{run}-{spark.sparkContext.applicationId}")
     return ML.append_ledger(spark, led, rows).where(F.col("run_id") == run)
@@ -199,7 +204,6 @@ KNN_FEATURES = ["time_in_hospital", "num_medications", "num_procedures", "number
 
 
 def _train_labelled(spark, sf_dir):
-    from riskframe.sources.encounters import encounters
     e = encounters(spark, sf_dir).withColumn("label", fx.label_from("readmitted"))
     return split.stratified_split(e, "label", "encounter_id").where(F.col("split") == "train")
 

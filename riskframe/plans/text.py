@@ -98,5 +98,5 @@ def note_flags(spark, sf_dir):
 @R.add("lsa_topics", ["ML12", "SNK3"])
 def lsa_topics(spark, sf_dir):
     w = T.tfidf(docs(spark, sf_dir), "doc_id", "text")
-    scores, _ = T.lsa(w, "doc_id")
+    scores, _ = T.lsa(w, "doc_id", keys=docs(spark, sf_dir))
     return scores.select("doc_id", "topic", r6("score").alias("score"))
