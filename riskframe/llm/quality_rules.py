@@ -166,8 +166,17 @@ def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
     ``BINS`` scores.  Without labels nothing is rejected (threshold 1).
     """
     fine = stats.where(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
-    sample = fine.select("features").orderBy(F.xxhash64(F.lit(seed), F.col(id_col)), id_col, "features") \
-        .limit(sample_rows).collect()
+    # twice the rows wanted lie below this hash, so each task sends its few of them, not a full sample
+    n = fine.count()
+    order = F.xxhash64(F.lit(seed), F.col(id_col))
+    below = min(2 ** 63 - 1, -2 ** 63 + 2 ** 64 * 2 * sample_rows // max(n, 1))
+
+    def lowest(rows):
+        return rows.select("features").orderBy(order, id_col, "features").limit(sample_rows).collect()
+
+    sample = lowest(fine.where(order <= below))
+    if len(sample) < min(n, sample_rows):        # ids that repeat can leave fewer there
+        sample = lowest(fine)
     forest = grow_forest(np.array([r[0] for r in sample], np.float64).reshape(-1, len(FEATURES)), seed=seed)
     good = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("__id")).distinct()
     known = fine.join(good, fine[id_col] == good["__id"], "left_semi")

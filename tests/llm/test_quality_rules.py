@@ -89,6 +89,18 @@ def test_labelled_good_rows_are_kept_and_junk_goes(spark, docs_of):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, k in got.items() if k}
 
 
+def test_the_sample_is_the_rows_of_lowest_hash(spark):
+    from pyspark.sql import functions as F
+    for ids in (F.col("id"), F.lit(3)):
+        stats = spark.range(3000).select(ids.cast("long").alias("doc_id"), F.lit(60).alias("n_words"), F.lit(0).alias("n_repeat_words"),
+                                         F.array(*[(F.col("id") * k % 97).cast("double") for k in range(1, 9)]).alias("features"))
+        want = [r[0] for r in stats.orderBy(F.xxhash64(F.lit(7), "doc_id"), "doc_id", "features").limit(200).select("features").collect()]
+        labels = spark.createDataFrame([], "doc_id long, quality int")
+        forest, cut = q.fit(stats, labels, sample_rows=200)
+        same = q.grow_forest(np.array(want))
+        assert cut == 1.0 and all(np.array_equal(forest[k], same[k]) for k in ("feature", "cut", "left", "path"))
+
+
 def test_odd_rows(spark, odd):
     labels = spark.createDataFrame([(1, 1, 0), (None, 1, None), (6, 0, 1)], "doc_id long, quality int, toxic int")
     rows = q.quality_rules(odd, labels).collect()
