@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,157 +30,196 @@ def weight_column(label: str, pos_weight: float) -> "F.Column":
 
 
 # ------------------------------------------------------------ k-NN, SMOTE ---
-KNN_K = 5            # fixed value: neighbours per minority row (library default)
-SMOTE_RATIO = 0.5    # fixed value: minority grown to 0.5 x majority
-SLICE_ROWS = 4096    # rows per slice; bounds the in-task distance block
+KNN_K = 5              # fixed value: neighbours per minority row (library default)
+SMOTE_RATIO = 0.5      # fixed value: minority grown to 0.5 x majority
+SLICE_ROWS = 4096      # distinct vectors per block; bounds the in-task distances
+SAMPLE_ROWS = 65_536   # vectors that place the cuts of the boxes; bounds the boxes to a 16th of it
+ROUTED_ROWS = 65_536   # searches that meet one block in one task
 SEED = 42
 
 
-def _direction(d: int, seed: int = SEED):
-    import numpy as np
-    v = np.random.RandomState(seed).randn(d)
-    return v / np.linalg.norm(v)
-
-
-def _topk(d2, keys, k):
-    """Indices of the k smallest d2 (ties by key) -- every tie at the k-th
-    distance is considered before cutting."""
-    import numpy as np
-    if len(d2) <= k:
-        cand = np.arange(len(d2))
-    else:
-        kth = np.partition(d2, k - 1)[k - 1]
-        cand = np.nonzero(d2 <= kth)[0]
-    order = np.lexsort((keys[cand], d2[cand]))[:k]
-    return cand[order]
-
-
-def _skippable_slices(stats, d: int, k: int) -> set:
-    """Slices no other row needs to search: the slice holds one vector only
-    (lo == hi, min == max on every feature) and the contiguous run of such
-    slices before it, holding that same vector, already has >= k rows.  Every
-    row of the slice is then at the same distance from any query as those
-    earlier rows, with larger keys (slices follow (u, key) order), so it can
-    never enter a top k.  This keeps a huge block of duplicates from drawing
-    every nearby row into every one of its slices."""
-    skip, run_vec, run_n = set(), None, 0
-    for r in stats:
-        pure = r["lo"] == r["hi"] and all(r[f"mn{i}"] == r[f"mx{i}"] for i in range(d))
-        vec = (r["lo"], tuple(r[f"mn{i}"] for i in range(d))) if pure else None
-        if pure and vec == run_vec:
-            if run_n >= k:
-                skip.add(r["pid"])
-            run_n += r["n"]
-        else:
-            run_vec, run_n = vec, (r["n"] if pure else 0)
-    return skip
+def box_tree(sample: np.ndarray, leaves: int) -> dict:
+    """k-d tree as flat arrays: each box is cut at the median of its widest
+    dimension until there are ``leaves`` of them (fewer where points repeat)."""
+    dim, cut, left, leaf = [], [], [], []
+
+    def node():
+        for v in (dim, cut, left, leaf):
+            v.append(-1)
+        return len(dim) - 1
+
+    todo, n = [(node(), sample, leaves)], 0
+    while todo:
+        at, part, want = todo.pop()
+        spread = part.max(0) - part.min(0) if len(part) else np.zeros(1)
+        f = int(spread.argmax())
+        if want < 2 or not spread[f] > 0:
+            leaf[at], n = n, n + 1
+            continue
+        x = part[:, f]
+        c = np.median(x)
+        if not (x < c).any():
+            c = x[x > x.min()].min()
+        a, b = node(), node()                       # children are neighbours
+        dim[at], cut[at], left[at] = f, float(c), a
+        todo += [(a, part[x < c], want // 2), (b, part[x >= c], want - want // 2)]
+    return {"dim": np.array(dim), "cut": np.array(cut, float), "left": np.array(left), "leaf": np.array(leaf)}
+
+
+def boxes_of(tree: dict, x: np.ndarray) -> np.ndarray:
+    at = np.zeros(len(x), int)
+    while True:
+        i = np.flatnonzero(tree["dim"][at] >= 0)
+        if not len(i):
+            return tree["leaf"][at]
+        at[i] = tree["left"][at[i]] + (x[i, tree["dim"][at[i]]] >= tree["cut"][at[i]])
+
+
+def boxes_met(x: np.ndarray, r2: np.ndarray, lo: np.ndarray, hi: np.ndarray):
+    """(row, box) pairs where the box meets the row's ball."""
+    gap = np.zeros((len(x), len(lo)))
+    for i in range(x.shape[1]):
+        away = np.maximum(lo[None, :, i] - x[:, i, None], x[:, i, None] - hi[None, :, i])
+        gap += np.maximum(away, 0) ** 2
+    return np.nonzero(gap <= r2[:, None] * (1 + 1e-9))
+
+
+def nearest_keys(q: np.ndarray, limit: np.ndarray, points: np.ndarray, keys: list, many: int):
+    """(row of ``q``, key, squared distance) of the ``many`` nearest keys of
+    each row within its limit, ordered by (row, distance, key)."""
+    count = np.array([len(x) for x in keys])
+    flat, first = np.concatenate(keys), np.cumsum(count) - count
+    out = []
+    for s in range(0, len(q), 256):
+        part = q[s:s + 256]
+        d2 = np.zeros((len(part), len(points)))
+        for i in range(q.shape[1]):
+            d2 += (part[:, i, None] - points[None, :, i]) ** 2
+        bound = limit[s:s + 256]
+        if len(points) > many:          # every point has a key, and ties at the last distance stay in
+            bound = np.minimum(bound, np.partition(d2, many - 1, axis=1)[:, many - 1])
+        row, at = np.nonzero(d2 <= bound[:, None])
+        n = count[at]
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        key = flat[np.repeat(first[at], n) + within]
+        dist, row = np.repeat(d2[row, at], n), np.repeat(row, n)
+        order = np.lexsort((key, dist, row))
+        row, key, dist = row[order], key[order], dist[order]
+        ok = np.arange(len(row)) - np.searchsorted(row, row) < many
+        out.append((row[ok] + s, key[ok], dist[ok]))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def knn(points: DataFrame, key: str, features, k: int = KNN_K, slice_rows: int = SLICE_ROWS,
-        seed: int = SEED) -> DataFrame:
+        seed: int = SEED, sample_rows: int = SAMPLE_ROWS, routed_rows: int = ROUTED_ROWS) -> DataFrame:
     """JN5: exact k nearest other rows (Euclidean, ties by key) as
     (key, nrank, nbr, dist), without emitting all pairs.
 
-    Rows are range-sliced on a projection u = w.x (|w| = 1, so |u_i - u_j| is
-    at most the distance).  Each slice (one group of at most ~``slice_rows``
-    rows) finds every row's k nearest inside it with NumPy; that k-th
-    distance r is a verified search radius: only slices whose u-range meets
-    [u - r, u + r] can hold closer rows, and the row is sent to those slices
-    alone.  Candidates are merged per row (at most k per slice visited).
-    Slices made of one repeated vector beyond the first k such rows are never
-    search targets (``_skippable_slices``), so a hot block of duplicates does
-    not pull its neighbourhood into every one of its slices."""
-    import numpy as np
+    The search is over distinct vectors, each with its k + 1 least keys (no
+    other key can be among the nearest k of any row), so a block of
+    duplicates, however large, is one point.  A k-d tree cut on a bounded
+    sample places the vectors in boxes; a box of more than ``slice_rows`` is
+    split by hash.  Each block finds its vectors' nearest keys inside it; the
+    last distance is a verified search radius, and the vector is sent only to
+    the blocks whose box (its actual bounds in every dimension) meets that
+    ball.  A block with more than ``routed_rows`` searches is copied to
+    several tasks, each with a share of them.  The k + 1 best are merged per
+    vector and joined back to the rows, which leave themselves out."""
     import pandas as pd
     from pyspark.sql import Window
 
-    from riskframe.session import cut_lineage
+    from riskframe.session import materialize
 
-    feats = list(features)
-    w = _direction(len(feats), seed)
-    u = sum(F.col(f).cast("double") * float(w[i]) for i, f in enumerate(feats))
-    base = points.select(F.col(key).cast("long").alias("key"),
-                         F.array(*[F.col(f).cast("double") for f in feats]).alias("x"), u.alias("u"))
-    n = base.count()
-    S = max(1, -(-n // slice_rows))
-    x = cut_lineage(base.repartitionByRange(S, "u", "key").withColumn("pid", F.spark_partition_id()))
+    spark = points.sparkSession
+    feats, many = list(features), k + 1
     d = len(feats)
-    stats = x.groupBy("pid").agg(F.min("u").alias("lo"), F.max("u").alias("hi"),
-                                 F.count(F.lit(1)).alias("n"),
-                                 *[F.min(F.col("x")[i]).alias(f"mn{i}") for i in range(d)],
-                                 *[F.max(F.col("x")[i]).alias(f"mx{i}") for i in range(d)]).collect()
-    stats = sorted(stats, key=lambda r: r["pid"])           # pid order = (u, key) order
-    bounds = [(r["pid"], r["lo"], r["hi"]) for r in stats]  # one row per slice
-    skip = _skippable_slices(stats, d, k)
-
-    def local(p):
-        if len(p) == 0:
-            return pd.DataFrame({"key": [], "nbr": [], "d2": [], "kind": []})
-        p = p.reset_index(drop=True)
-        X = np.vstack(p["x"].to_numpy()).astype(float)
-        keys = p["key"].to_numpy()
-        out_k, out_n, out_d, r2 = [], [], [], np.full(len(p), np.inf)
-        for s in range(0, len(p), 512):
-            blk = ((X[s:s + 512, None, :] - X[None, :, :]) ** 2).sum(axis=2)
-            for i in range(blk.shape[0]):
-                gi = s + i
-                d2 = blk[i].copy()
-                d2[gi] = np.inf
-                valid = np.arange(len(d2)) != gi
-                idx = _topk(d2[valid], keys[valid], k)
-                nb = np.nonzero(valid)[0][idx]
-                out_k += [keys[gi]] * len(nb)
-                out_n += list(keys[nb])
-                out_d += list(d2[nb])
-                if len(nb) == k:
-                    r2[gi] = d2[nb[-1]]
-        cand = pd.DataFrame({"key": out_k, "nbr": out_n, "d2": out_d})
-        cand["kind"] = "cand"
-        q = pd.DataFrame({"key": keys, "nbr": keys, "d2": r2})
-        q["kind"] = "query"
-        return pd.concat([cand, q], ignore_index=True).astype({"key": "int64", "nbr": "int64"})
-
-    # one group per slice id: correct whatever the physical partitioning
-    loc = cut_lineage(x.groupBy("pid").applyInPandas(local, "key long, nbr long, d2 double, kind string"))
-    qrows = (loc.where(F.col("kind") == "query").select("key", F.col("d2").alias("r2"))
-                .join(x.select("key", "x", "u", "pid"), "key"))
+    base = points.select(F.col(key).cast("long").alias("key"),
+                         F.array(*[F.col(f).cast("double") for f in feats]).alias("x"))
+    place = F.row_number().over(Window.partitionBy("x").orderBy("key"))    # a top-n: cut before the shuffle
+    vectors = base.withColumn("place", place).where(F.col("place") <= many) \
+        .groupBy("x").agg(F.array_sort(F.collect_list("key")).alias("keys"))
+    vectors = materialize(vectors.select(F.col("keys")[0].alias("vid"), "x", "keys"), "knn")
+    n = vectors.count()
+    if n == 0:
+        return base.select(F.col("key").alias(key), F.lit(1).alias("nrank"), F.col("key").alias("nbr"),
+                           F.lit(0.0).alias("dist"))
+    below = min(2 ** 63 - 1, -2 ** 63 + 2 ** 64 * sample_rows // n)
+    sample = vectors.where(F.xxhash64(F.lit(seed), "vid") <= below).select("x").limit(2 * sample_rows).collect()
+    sample = np.array([r["x"] for r in sample], float).reshape(-1, d)
+    tree = box_tree(sample, max(1, min(-(-n // slice_rows), sample_rows // 16)))
+
+    def put(it):
+        for p in it:
+            yield p.assign(box=boxes_of(tree, np.vstack(p["x"].to_numpy())).astype("int32"))
+
+    placed = materialize(vectors.mapInPandas(put, "vid long, x array<double>, keys array<long>, box int"), "knn")
+    # one row per box: at most sample_rows / 16
+    stats = placed.groupBy("box").agg(F.count(F.lit(1)).alias("n"),
+                                      *[F.min(F.col("x")[i]).alias(f"lo{i}") for i in range(d)],
+                                      *[F.max(F.col("x")[i]).alias(f"hi{i}") for i in range(d)]).collect()
+    lo = np.array([[r[f"lo{i}"] for i in range(d)] for r in stats])
+    hi = np.array([[r[f"hi{i}"] for i in range(d)] for r in stats])
+    of = np.array([-(-r["n"] // slice_rows) for r in stats])
+    start = np.cumsum(of) - of
+    blocks = spark.createDataFrame([(r["box"], int(o), int(s)) for r, o, s in zip(stats, of, start)],
+                                   "box int, of int, start int")
+    slot = (F.col("start") + F.pmod(F.xxhash64("vid"), F.col("of"))).cast("int")
+    slotted = placed.join(F.broadcast(blocks), "box").select(slot.alias("slot"), "vid", "x", "keys")
+
+    def inside(p):
+        x = np.vstack(p["x"].to_numpy())
+        row, nbr, d2 = nearest_keys(x, np.full(len(x), np.inf), x, p["keys"].to_list(), many)
+        ends = np.cumsum(np.bincount(row, minlength=len(x)))
+        full = np.diff(ends, prepend=0) == many
+        return pd.DataFrame({"slot": p["slot"], "vid": p["vid"], "x": p["x"],
+                             "r2": np.where(full, d2[ends - 1], np.inf),
+                             "nbr": np.split(nbr, ends[:-1]), "d2": np.split(d2, ends[:-1])})
+
+    local = materialize(slotted.groupBy("slot").applyInPandas(
+        inside, "slot int, vid long, x array<double>, r2 double, nbr array<long>, d2 array<double>"), "knn")
 
     def route(it):
         for p in it:
-            rows = []
-            for key_, r2, xv, uu, pid in zip(p["key"], p["r2"], p["x"], p["u"], p["pid"]):
-                r = np.sqrt(r2) if np.isfinite(r2) else np.inf
-                for tp, lo, hi in bounds:
-                    if tp != pid and tp not in skip and hi >= uu - r and lo <= uu + r:
-                        rows.append((tp, key_, xv, r2))
-            if rows:
-                yield pd.DataFrame(rows, columns=["tpid", "key", "x", "r2"])
-
-    sent = qrows.mapInPandas(route, "tpid int, key long, x array<double>, r2 double")
-
-    def remote(q, pts):
-        if len(q) == 0 or len(pts) == 0:
-            return pd.DataFrame({"key": [], "nbr": [], "d2": []})
-        P = np.vstack(pts["x"].to_numpy()).astype(float)
-        pk = pts["key"].to_numpy()
-        ok, on, od = [], [], []
-        for key_, xv, r2 in zip(q["key"], q["x"], q["r2"]):
-            d2 = ((P - np.asarray(xv, dtype=float)) ** 2).sum(axis=1)
-            m = d2 <= r2
-            if not m.any():
-                continue
-            idx = _topk(d2[m], pk[m], k)
-            sel = np.nonzero(m)[0][idx]
-            ok += [key_] * len(sel); on += list(pk[sel]); od += list(d2[sel])
-        return pd.DataFrame({"key": ok, "nbr": on, "d2": od}).astype({"key": "int64", "nbr": "int64"})
-
-    far = (sent.groupBy("tpid").cogroup(x.select("pid", "key", "x").groupBy("pid"))
-               .applyInPandas(remote, "key long, nbr long, d2 double"))
-    allc = loc.where(F.col("kind") == "cand").select("key", "nbr", "d2").unionByName(far)
-    wr = Window.partitionBy("key").orderBy("d2", "nbr")       # at most k per slice visited
-    top = allc.withColumn("nrank", F.row_number().over(wr)).where(F.col("nrank") <= k)
-    return top.select(F.col("key").alias(key), F.col("nrank").cast("int"), "nbr",
-                      F.sqrt("d2").alias("dist"))
+            x = np.vstack(p["x"].to_numpy())
+            r2, own, vid = (p[c].to_numpy() for c in ("r2", "slot", "vid"))
+            for s in range(0, len(x), 256):
+                row, box = boxes_met(x[s:s + 256], r2[s:s + 256], lo, hi)
+                m = of[box]
+                row = np.repeat(row, m) + s
+                to = np.repeat(start[box], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+                go = to != own[row]
+                row = row[go]
+                if not len(row):
+                    continue
+                yield pd.DataFrame({"slot": to[go].astype("int32"), "vid": vid[row], "x": list(x[row]), "r2": r2[row]})
+
+    sent = materialize(local.select("slot", "vid", "x", "r2")
+                       .mapInPandas(route, "slot int, vid long, x array<double>, r2 double"), "knn")
+    parts = sent.groupBy("slot").agg(F.ceil(F.count(F.lit(1)) / routed_rows).cast("int").alias("parts"))
+    asked = sent.join(parts, "slot").select(
+        "slot", F.pmod(F.xxhash64("vid"), F.col("parts")).cast("int").alias("part"), "vid", "x", "r2")
+    again = parts.select(F.col("slot").alias("to"), F.col("parts").alias("copies"))
+    there = slotted.join(again, F.col("slot") == F.col("to")).select(
+        F.col("slot").alias("to"), F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"), "x", "keys")
+
+    def beyond(q, p):
+        if not len(q) or not len(p):
+            return pd.DataFrame({"vid": [], "nbr": [], "d2": []}).astype({"vid": "int64", "nbr": "int64"})
+        row, nbr, d2 = nearest_keys(np.vstack(q["x"].to_numpy()), q["r2"].to_numpy(),
+                                    np.vstack(p["x"].to_numpy()), p["keys"].to_list(), many)
+        return pd.DataFrame({"vid": q["vid"].to_numpy()[row], "nbr": nbr, "d2": d2})
+
+    far = asked.groupBy("slot", "part").cogroup(there.groupBy("to", "copy")) \
+        .applyInPandas(beyond, "vid long, nbr long, d2 double")
+    found = local.select("vid", F.explode(F.arrays_zip("nbr", "d2")).alias("c")).select("vid", "c.nbr", "c.d2")
+    rank = F.row_number().over(Window.partitionBy("vid").orderBy("d2", "nbr"))     # at most k + 1 per block met
+    best = found.unionByName(far).withColumn("rank", rank).where(F.col("rank") <= many) \
+        .groupBy("vid").agg(F.sort_array(F.collect_list(F.struct("rank", "nbr", "d2"))).alias("near"))
+    near = vectors.select("vid", "x").join(best, "vid").select("x", "near")
+    others = F.filter("near", lambda c: c["nbr"] != F.col("key"))
+    return base.join(near, "x").select(F.col("key"), F.posexplode(F.slice(others, 1, k)).alias("pos", "c")) \
+        .select(F.col("key").alias(key), (F.col("pos") + 1).cast("int").alias("nrank"), F.col("c.nbr").alias("nbr"),
+                F.sqrt("c.d2").alias("dist"))
 
 
 def _hash_parts(key_col, copy_col, seed: int):

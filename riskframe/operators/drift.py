@@ -63,8 +63,12 @@ def value_counts_by_side(long: DataFrame) -> DataFrame:
 
 def ecdf(long: DataFrame, slices: int | None = None) -> DataFrame:
     """WIN2: both empirical CDFs at every distinct value of every feature."""
-    vc = value_counts_by_side(long)
-    j = running_sum(vc, ["feature"], ["value"], ["n_ref", "n_cur"], slices=slices, totals=True)
+    return ecdf_of_counts(value_counts_by_side(long), slices)
+
+
+def ecdf_of_counts(counts: DataFrame, slices: int | None = None) -> DataFrame:
+    """The same from value counts (feature, value, n_ref, n_cur)."""
+    j = running_sum(counts, ["feature"], ["value"], ["n_ref", "n_cur"], slices=slices, totals=True)
     j = j.withColumnRenamed("tot_n_ref", "tot_ref").withColumnRenamed("tot_n_cur", "tot_cur")
     return j.select("feature", "value", "n_ref", "n_cur", "tot_ref", "tot_cur",
                     F.try_divide(F.col("cum_n_ref"), F.col("tot_ref")).alias("cdf_ref"),
@@ -75,7 +79,12 @@ def ks_drift(long: DataFrame, slices: int | None = None) -> DataFrame:
     """AGG20 + AGG21 + FLT3: per feature D = max |F_ref - F_cur|, p-value,
     drift score 1 - p and flag p < 0.05.  Features with <= 1 distinct value
     on either side are skipped (no row)."""
-    e = ecdf(long, slices)
+    return ks_of_counts(value_counts_by_side(long), slices)
+
+
+def ks_of_counts(counts: DataFrame, slices: int | None = None) -> DataFrame:
+    """The same from value counts, for a side that was counted before."""
+    e = ecdf_of_counts(counts, slices)
     per = e.groupBy("feature").agg(
         F.max(F.abs(F.col("cdf_ref") - F.col("cdf_cur"))).alias("ks_statistic"),
         F.first("tot_ref").alias("n_ref"), F.first("tot_cur").alias("n_cur"),

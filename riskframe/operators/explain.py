@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 TOP_CONTRIBUTIONS = 10   # fixed value: contributions kept per scored row
@@ -156,26 +157,33 @@ def tree_contributions(df: DataFrame, trees, names: Sequence[str], key: str,
                        features: str = "features", k: int | None = TOP_CONTRIBUTIONS) -> DataFrame:
     """ML14 (trees) + TOP4: (key, rank, feature, contribution, bias) with the
     k largest |contribution| per row (all when k is None)."""
+    long = tree_explanations(df, trees, names, [key], features, k).select(
+        key, "bias", F.posexplode("explanation").alias("pos", "c"))
+    return long.select(key, (F.col("pos") + 1).alias("rank"), "c.feature", "c.contribution", "bias")
+
+
+def tree_explanations(df: DataFrame, trees, names: Sequence[str], keep: Sequence[str],
+                      features: str = "features", k: int | None = TOP_CONTRIBUTIONS) -> DataFrame:
+    """ML14 (trees): one row per row of ``df`` with its ``keep`` columns, the
+    ordered array ``explanation`` of (feature, contribution) and ``bias``."""
     names = list(names)
-    x = df.select(F.col(key).alias("key"), vector_to_array(F.col(features)).alias("x"))
+    kk = len(names) if k is None else min(k, len(names))
+    x = df.select(*keep, vector_to_array(F.col(features)).alias("__x"))
+    schema = T.StructType([*x.schema.fields[:-1], T.StructField("bias", T.DoubleType()),
+                           T.StructField("feature", T.ArrayType(T.StringType())),
+                           T.StructField("contribution", T.ArrayType(T.DoubleType()))])
 
     def fn(it):
+        labels = np.asarray(names, dtype=object)
         for pdf in it:
             if len(pdf) == 0:
                 continue
-            X = np.vstack(pdf["x"].to_numpy()).astype(float)
-            X = np.nan_to_num(X, nan=0.0)
+            X = np.nan_to_num(np.vstack(pdf["__x"].to_numpy()).astype(float), nan=0.0)
             if X.shape[1] != len(names):
                 raise ValueError(f"{X.shape[1]} vector slots but {len(names)} names")
             c, bias = _walk(trees, X)
-            order = np.lexsort((np.tile(np.arange(len(names)), (len(X), 1)), -np.abs(c)))
-            kk = len(names) if k is None else min(k, len(names))
-            sel = order[:, :kk]
-            keys = np.repeat(pdf["key"].to_numpy(), kk)
-            ranks = np.tile(np.arange(1, kk + 1), len(X))
-            feats = np.asarray(names, dtype=object)[sel].ravel()
-            vals = np.take_along_axis(c, sel, axis=1).ravel()
-            yield pd.DataFrame({"key": keys, "rank": ranks.astype("int32"), "feature": feats,
-                                "contribution": vals, "bias": np.full(len(keys), bias)})
-    out = x.mapInPandas(fn, "key long, rank int, feature string, contribution double, bias double")
-    return out.withColumnRenamed("key", key)
+            sel = np.lexsort((np.tile(np.arange(len(names)), (len(X), 1)), -np.abs(c)))[:, :kk]
+            yield pdf.drop(columns="__x").assign(
+                bias=bias, feature=list(labels[sel]), contribution=list(np.take_along_axis(c, sel, axis=1)))
+    out = x.mapInPandas(fn, schema)
+    return out.select(*keep, F.arrays_zip("feature", "contribution").alias("explanation"), "bias")

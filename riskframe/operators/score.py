@@ -11,26 +11,20 @@ from riskframe.operators.common import attach
 
 
 def scored_record(df: DataFrame, key: str, prob: str, threshold: float, model_version: str,
-                  run_ts: Column, explanation: DataFrame | None = None) -> DataFrame:
+                  run_ts: Column, explanation: str | None = None) -> DataFrame:
     """ML16 / F5: (patient_id, readmission_risk, readmission_prediction,
     risk_level, timestamp, model_version, explanation).  The run time is a
-    parameter so results are reproducible; the explanation is the ordered
-    top-k (feature, contribution) array, re-assembled per row from the
-    long table (at most k entries per key)."""
-    out = df.select(F.col(key).cast("string").alias("patient_id"),
-                    F.col(prob).alias("readmission_risk"),
-                    (F.col(prob) >= F.lit(float(threshold))).alias("readmission_prediction"),
-                    fx.risk_band(prob).alias("risk_level"),
-                    fx.iso_time(run_ts).alias("timestamp"),
-                    F.lit(model_version).alias("model_version"))
-    if explanation is None:
-        return out.withColumn("explanation", F.array().cast(
-            "array<struct<feature:string,contribution:double>>"))
-    ex = (explanation.groupBy(F.col(key).cast("string").alias("patient_id"))
-          .agg(F.array_sort(F.collect_list(F.struct("rank", "feature", "contribution"))).alias("e")))
-    ex = ex.select("patient_id", F.transform("e", lambda s: F.struct(
-        s["feature"].alias("feature"), s["contribution"].alias("contribution"))).alias("explanation"))
-    return out.join(ex, "patient_id", "left")
+    parameter so results are reproducible; a record without a key gets the
+    time id FN23; ``explanation`` names the column with the row's ordered
+    top-k (feature, contribution) array."""
+    why = F.array() if explanation is None else F.col(explanation)
+    return df.select(F.coalesce(F.col(key).cast("string"), fx.request_id(run_ts)).alias("patient_id"),
+                     F.col(prob).alias("readmission_risk"),
+                     (F.col(prob) >= F.lit(float(threshold))).alias("readmission_prediction"),
+                     fx.risk_band(prob).alias("risk_level"),
+                     fx.iso_time(run_ts).alias("timestamp"),
+                     F.lit(model_version).alias("model_version"),
+                     why.cast("array<struct<feature:string,contribution:double>>").alias("explanation"))
 
 
 def live_performance(scored: DataFrame, label: str, prob: str, threshold: float = 0.5) -> DataFrame:

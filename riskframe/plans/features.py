@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from riskframe.functions import scalar as fx
@@ -12,6 +15,8 @@ from riskframe.operators import text as T
 from riskframe.plans.base import E_COLUMNS, E_STRING, R, r6, sql_clean_select, sql_e
 from riskframe.plans.clean import _MODE_PAYER, clean_encounters, requests
 from riskframe.plans.split import _SPLIT_BODY, _SPLIT_CTES
+from riskframe.session import scratch_path
+from riskframe.sources import files
 from riskframe.sources.encounters import encounters
 from riskframe.sources.tables import table
 
@@ -86,11 +91,13 @@ def scaler_params(spark, sf_dir):
     return p.select("col_name", r6("mean").alias("mean"), r6("std").alias("std"))
 
 
-@R.add("standardized_features", ["FN15", "JN4", "R2"], sql_e(
-    "select encounter_id, " + ", ".join(
-        f"round(case when (select std from SP where col_name = '{c}') = 0 then 0.0 else "
-        f"({c} - (select mean from SP where col_name = '{c}')) / (select std from SP where col_name = '{c}') end, 6) as {c}"
-        for c in NUMERIC) + " from E", ctes=_SPLIT_CTES + _TRAIN + [_SCALER_SQL]))
+_SCALED_SQL = "select encounter_id, " + ", ".join(
+    f"round(case when (select std from SP where col_name = '{c}') = 0 then 0.0 else "
+    f"({c} - (select mean from SP where col_name = '{c}')) / (select std from SP where col_name = '{c}') end, 6) as {c}"
+    for c in NUMERIC) + " from E"
+
+
+@R.add("standardized_features", ["FN15", "JN4", "R2"], sql_e(_SCALED_SQL, ctes=_SPLIT_CTES + _TRAIN + [_SCALER_SQL]))
 def standardized_features(spark, sf_dir):
     e = encounters(spark, sf_dir)
     p = FT.scaler_params(train_rows(spark, sf_dir, e), NUMERIC)
@@ -203,24 +210,66 @@ _FM_BODY = (
     ", ".join(f"cast(coalesce(s.los_group = '{b}', false) as int) as los_{b}" for b in fx.LOS_LABELS) + ", " +
     ", ".join(f"coalesce(cast(len(regexp_extract_all(coalesce(d.text, ''), '{p}')) as bigint), 0) as ent_{n}"
               for n, p in T.ENTITY_RULES) +
-    ", s.readmitted_30d from (" + _STRUCT_SQL + ", case when readmitted = '<30' then 1 else 0 end as readmitted_30d from C) s "
-    "left join documents d on d.doc_id = s.encounter_id")
+    ", s.readmitted_30d, " + ", ".join(f"Z.{c}" for c in NUMERIC) +
+    " from (" + _STRUCT_SQL + ", case when readmitted = '<30' then 1 else 0 end as readmitted_30d from C) s "
+    "join Z on Z.encounter_id = s.encounter_id left join documents d on d.doc_id = s.encounter_id")
+_FM_CTES = [_MODE_PAYER, _CLEAN, *_SPLIT_CTES, *_TRAIN, _SCALER_SQL, f"Z as ({_SCALED_SQL})"]
+ENTITY_COLUMNS = [f"ent_{n}" for n, _ in T.ENTITY_RULES]
 
 
-@R.add("feature_matrix", ["PRJ7", "JN1", "JN2", "SRC4", "PRJ6", "R4"], sql_e(_FM_BODY, ctes=[_MODE_PAYER, _CLEAN]))
-def feature_matrix(spark, sf_dir):
+def scaled_matrix(spark, sf_dir):
+    """(matrix without texts, scaler parameters): structured features and all
+    numeric columns scaled with the train rows' parameters, split and target."""
     s = structured(spark, sf_dir).withColumn("readmitted_30d", fx.label_from("readmitted"))
-    s = FT.with_target(s)
-    num = FT.numeric_only(s, exclude=["patient_nbr"] + [c for c in s.columns if c in
-                          ("time_in_hospital", "num_medications", "num_procedures", "num_lab_procedures",
-                           "number_diagnoses", "number_outpatient", "number_emergency", "number_inpatient",
-                           "total_charge")])
+    s = split.stratified_split(FT.with_target(s), "readmitted_30d", "encounter_id")
+    params = FT.scaler_params(s.where(F.col("split") == "train"), NUMERIC)
+    num = FT.numeric_only(s, exclude=["patient_nbr"]).columns
+    return FT.standardize(s.select(*num, "split"), params, NUMERIC), params
+
+
+def with_entities(spark, sf_dir, matrix):
     ents = T.entity_counts(table(spark, sf_dir, "documents"), "doc_id", "text")
-    j = num.join(ents, num.encounter_id == ents.doc_id, "left").drop("doc_id")
-    ent_cols = [f"ent_{n}" for n, _ in T.ENTITY_RULES]
-    return j.fillna(0, ent_cols).select(
-        "encounter_id", "age_numeric", "comorbidity_count", "age_med_interaction",
-        *[f"los_{b}" for b in fx.LOS_LABELS], *ent_cols, "readmitted_30d")
+    return matrix.join(ents, matrix.encounter_id == ents.doc_id, "left").drop("doc_id").fillna(0, ENTITY_COLUMNS)
+
+
+@R.add("feature_matrix", ["PRJ7", "JN1", "JN2", "SRC4", "PRJ6", "R4"], sql_e(_FM_BODY, ctes=_FM_CTES))
+def feature_matrix(spark, sf_dir):
+    m = with_entities(spark, sf_dir, scaled_matrix(spark, sf_dir)[0])
+    return m.select("encounter_id", "age_numeric", "comorbidity_count", "age_med_interaction",
+                    *[f"los_{b}" for b in fx.LOS_LABELS], *ENTITY_COLUMNS, "readmitted_30d",
+                    *[r6(c).alias(c) for c in NUMERIC])
+
+
+@R.add("feature_table", ["SNK2", "SNK3", "SRC3", "SRC4", "JN1", "JN2", "ML12"])
+def feature_table(spark, sf_dir):
+    """The whole matrix with topics and entities, written by split; scaler,
+    vocabulary and topic loadings are saved beside it.  The rows returned are
+    made again from the source tables with the transforms that were read
+    back, next to the row that was written."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    base = scratch_path(spark, os.path.join("features", uuid.uuid4().hex))
+    matrix, params = scaled_matrix(spark, sf_dir)
+    vocab, n_docs, loadings = T.fit_topics(docs, "doc_id", "text")
+    for name, t in (("scaler", params), ("vocabulary", vocab), ("n_docs", n_docs), ("loadings", loadings)):
+        t.write.parquet(os.path.join(base, name))
+
+    def topics():
+        saved = [spark.read.parquet(os.path.join(base, n)) for n in ("vocabulary", "n_docs", "loadings")]
+        scores = T.topic_scores(docs, "doc_id", "text", *saved)
+        ordered = F.sort_array(F.collect_list(F.struct("topic", r6("score").alias("score"))))
+        return scores.groupBy("doc_id").agg(F.transform(ordered, lambda x: x["score"]).alias("topics"))
+
+    t = topics()
+    whole = with_entities(spark, sf_dir, matrix)
+    whole = whole.join(t, whole.encounter_id == t.doc_id, "left").drop("doc_id")
+    files.write_splits(whole, os.path.join(base, "matrix"))
+    back = spark.read.parquet(os.path.join(base, "matrix"))
+    again = FT.standardize(encounters(spark, sf_dir).select("encounter_id", *NUMERIC),
+                           spark.read.parquet(os.path.join(base, "scaler")), NUMERIC)
+    again = again.select(F.col("encounter_id").alias("id"), *[r6(c).alias(f"scored_{c}") for c in NUMERIC])
+    return back.join(again, back.encounter_id == again.id).drop("id") \
+        .select(*[r6(c).alias(c) if c in NUMERIC else F.col(c) for c in back.columns],
+                *[f"scored_{c}" for c in NUMERIC])
 
 
 @R.add("column_profile", ["PRJ8"], sql_e(" union all ".join(
@@ -245,11 +294,11 @@ def gender_codes(spark, sf_dir):
 # data-dependent column set, so this twin lists the sf0.01 result (at sf0.001
 # the PERCENT entity never occurs either and is dropped as well).
 _FM_KEPT = ["encounter_id", "age_numeric", "age_med_interaction"] + [f"los_{b}" for b in fx.LOS_LABELS] + \
-    ["ent_CARDINAL", "ent_EMAIL", "ent_PERCENT", "ent_PROPER", "readmitted_30d"]
+    ["ent_CARDINAL", "ent_EMAIL", "ent_PERCENT", "ent_PROPER", "readmitted_30d"] + NUMERIC
 
 
 @R.add("drop_constant_features", ["PRJ2", "R15"], sql_e(
-    "select " + ", ".join(_FM_KEPT) + " from (" + _FM_BODY + ") fm", ctes=[_MODE_PAYER, _CLEAN]))
+    "select " + ", ".join(_FM_KEPT) + " from (" + _FM_BODY + ") fm", ctes=_FM_CTES))
 def drop_constant_features(spark, sf_dir):
     """PRJ2 over the whole feature matrix: min == max per column, one pass."""
     return clean.drop_constant(feature_matrix(spark, sf_dir))

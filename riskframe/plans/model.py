@@ -19,7 +19,7 @@ from riskframe.operators import split
 from riskframe.plans.base import R, r6, sql_e
 from riskframe.plans.split import _SPLIT_BODY, _SPLIT_CTES
 from riskframe.session import cut_lineage, scratch_path
-from riskframe.sources.encounters import encounters
+from riskframe.sources.encounters import encounters, source_key
 
 MI_FEATURES = ["time_in_hospital", "num_medications", "num_procedures", "num_lab_procedures",
                "number_diagnoses", "number_outpatient", "number_emergency", "number_inpatient",
@@ -54,9 +54,10 @@ _CACHE = {}
 
 
 def fitted(spark, sf_dir):
-    """Train once per (session, data dir): median/one-hot pipeline + GBT with
-    class weight = imbalance ratio and early stopping on the validation rows."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """Train once per session and state of the input files: median/one-hot
+    pipeline + GBT with class weight = imbalance ratio and early stopping on
+    the validation rows."""
+    key = ("gbt", source_key(spark, sf_dir))
     if key in _CACHE:
         return _CACHE[key]
     frame = model_frame(spark, sf_dir)
@@ -143,27 +144,42 @@ def gbt_feature_importance(spark, sf_dir):
     return imp.orderBy(F.col("importance").desc(), "feature").limit(20)
 
 
-def _search_frame(spark, sf_dir):
-    frame = model_frame(spark, sf_dir)
+def _search_frame(frame):
     tr, _ = train_frame(frame)
     return cut_lineage(tr.select("encounter_id", "label", "fold", *[c for c in tr.columns if c.startswith("w_")],
                                  *MODEL_FEATURES, *CATEGORICAL))
 
 
-@R.add("cv_grid_search", ["ML4", "ML6", "ML7", "ML8", "SMP5"])
+def _grid_search(spark, sf_dir):
+    """(frame, cross-validated search, its maps), once per state of the input."""
+    key = ("grid", source_key(spark, sf_dir))
+    if key not in _CACHE:
+        frame = model_frame(spark, sf_dir)
+        g = ML.gbt()
+        pipe = ML.make_pipeline(ML.preprocess_stages(MODEL_FEATURES, CATEGORICAL), g)
+        grid = dict(ML.ROBUST_GRID, n_estimators=[10, 20], max_depth=[3], learning_rate=[0.1])
+        maps = ML.grid_maps(g, grid)
+        _CACHE[key] = frame, ML.search(_search_frame(frame), pipe, maps, ML.RiskEvaluator("f1"), k=3, parallelism=4), maps
+    return _CACHE[key]
+
+
+@R.add("cv_grid_search", ["ML4", "ML6", "SMP5"])
 def cv_grid_search(spark, sf_dir):
-    tr = _search_frame(spark, sf_dir)
-    g = ML.gbt()
-    pipe = ML.make_pipeline(ML.preprocess_stages(MODEL_FEATURES, CATEGORICAL), g)
-    grid = dict(ML.ROBUST_GRID, n_estimators=[10, 20], max_depth=[3], learning_rate=[0.1])
-    maps = ML.grid_maps(g, grid)
-    cvm = ML.search(tr, pipe, maps, ML.RiskEvaluator("f1"), k=3, parallelism=4)
+    _, cvm, maps = _grid_search(spark, sf_dir)
     return ML.search_table(cvm, maps)
 
 
+@R.add("best_model_scores", ["ML7"])
+def best_model_scores(spark, sf_dir):
+    """The best map, fitted again on all train rows, scores the test rows."""
+    frame, cvm, _ = _grid_search(spark, sf_dir)
+    test = ML.positive_probability(cvm.bestModel.transform(frame.where(F.col("split") == "test")))
+    return test.select("encounter_id", "label", r6("p1").alias("probability"), fx.decision("p1").alias("decision"))
+
+
 @R.add("random_search", ["ML5", "ML6"])
 def random_search(spark, sf_dir):
-    tr = _search_frame(spark, sf_dir)
+    tr = _search_frame(model_frame(spark, sf_dir))
     g = ML.gbt()
     pipe = ML.make_pipeline(ML.preprocess_stages(MODEL_FEATURES, CATEGORICAL), g)
     space = dict(ML.RANDOM_SPACE, n_estimators=[5, 10], max_depth=[3, 4])

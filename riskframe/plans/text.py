@@ -46,6 +46,15 @@ def doc_terms(spark, sf_dir):
     return t.select("doc_id", F.col("n_unigrams").cast("int"), F.col("n_terms").cast("int"))
 
 
+@R.add("doc_terms_unicode", ["FN21", "T9"], _sql(
+    "select doc_id, cast(len(uni) as int) as n_unigrams, cast(len(uni) + len(bi) as int) as n_terms from TM", 2).replace(
+    tx.TOKEN_PATTERN, tx.UNICODE_TOKEN_PATTERN))
+def doc_terms_unicode(spark, sf_dir):
+    t = T.terms(docs(spark, sf_dir), "doc_id", "text", ngram=False, unicode=True).withColumnRenamed("terms", "uni")
+    return t.select("doc_id", F.size("uni").cast("int").alias("n_unigrams"),
+                    (F.size("uni") + F.size(tx.bigrams(F.col("uni")))).cast("int").alias("n_terms"))
+
+
 @R.add("term_doc_freq", ["AGG27"], _sql("select term, df, cast(tf_total as bigint) as tf_total from DF", 4))
 def term_doc_freq(spark, sf_dir):
     tf = T.term_counts(docs(spark, sf_dir), "doc_id", "text")

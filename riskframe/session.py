@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -76,12 +77,42 @@ def cut_lineage(df):
     return out
 
 
+_WRITTEN: list = []
+
+
 def materialize(df, name: str = "tables"):
     """Write ``df`` as a Parquet table in the shared folder and read it back
-    (column pruning and pushdown on later reads)."""
-    path = scratch_path(df.sparkSession, os.path.join(name, uuid.uuid4().hex))
+    (column pruning and pushdown on later reads).  The table is removed when
+    the driver ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, os.path.join(name, uuid.uuid4().hex))
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    if not _WRITTEN:
+        atexit.register(drop_materialized)
+    _WRITTEN.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_materialized() -> None:
+    """Remove the tables that ``materialize`` wrote."""
+    while _WRITTEN:
+        spark, path = _WRITTEN.pop()
+        if spark.sparkContext._jsc is not None:
+            file_system(spark, path).delete(spark._jvm.org.apache.hadoop.fs.Path(path), True)
+
+
+def file_system(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def snapshot(spark: SparkSession, *paths: str) -> tuple:
+    """(file, bytes, modification time) of the files at ``paths``: the identity
+    of an input, so that a result kept for it is not used after it changed."""
+    out = []
+    for path in paths:
+        for s in file_system(spark, path).listStatus(spark._jvm.org.apache.hadoop.fs.Path(path)):
+            out.append((s.getPath().toString(), s.getLen(), s.getModificationTime()))
+    return tuple(sorted(out))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

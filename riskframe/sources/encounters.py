@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.operators.prefix import lead_within
-from riskframe.session import cut_lineage
-from riskframe.sources.tables import table
+from riskframe.session import materialize, snapshot
+from riskframe.sources.tables import table, table_path
 
 # Fixed values shared with the SQL twin (FIXTURES.md section 3).
 DRIFT_CUTOFF = "1998-01-01 00:00:00"   # reference side = admit_ts before this
@@ -44,8 +44,8 @@ ORDER_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_
               "o_orderdate")
 
 
+SOURCES = ("orders", "lineitem", "customer", "events")
 _MEMO: dict = {}
-MATERIALIZE = True
 
 
 def clear_cache() -> None:
@@ -53,15 +53,19 @@ def clear_cache() -> None:
     _MEMO.clear()
 
 
+def source_key(spark: SparkSession, sf_dir: str) -> tuple:
+    """Session and state of the files that E is made of."""
+    return (spark.sparkContext.applicationId, snapshot(spark, *(table_path(sf_dir, n) for n in SOURCES)))
+
+
 def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E, materialised once per (session, folder) in the shared checkpoint
-    folder: almost every consumer makes several passes (profile, fit, rank,
-    final plan), and each pass would otherwise repeat the three joins and
-    the line-item aggregation."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """E, written once per session and state of its input files as a Parquet
+    table in the shared folder: almost every consumer makes several passes
+    (profile, fit, rank, final plan), each pass would otherwise repeat the
+    three joins and the line-item aggregation, and reads only its columns."""
+    key = source_key(spark, sf_dir)
     if key not in _MEMO:
-        e = _encounters(spark, sf_dir)
-        _MEMO[key] = cut_lineage(e) if MATERIALIZE else e
+        _MEMO[key] = materialize(_encounters(spark, sf_dir), "encounters")
     return _MEMO[key]
 
 

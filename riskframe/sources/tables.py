@@ -11,9 +11,13 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 
+def table_path(sf_dir: str, name: str) -> str:
+    return os.path.join(sf_dir, f"{name}.parquet")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table; Parquet gives column pruning and filter pushdown."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:

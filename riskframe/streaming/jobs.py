@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import clean
 from riskframe.operators import drift as D
-from riskframe.session import scratch_path
+from riskframe.session import materialize, scratch_path
 from riskframe.sources.tables import table
 
 DAY_WINDOW = "1 day"
@@ -81,12 +81,18 @@ def append_parquet(df: DataFrame, path: str, checkpoint: str, mode: str = "appen
 def drift_batch_writer(reference_long: DataFrame, out: str, run_ts: str):
     """STR4: a foreachBatch function computing KS drift of the batch against
     the fixed reference, the summary and alerts; results are written under
-    ``batch_id=<n>`` with overwrite, so a replayed batch does not duplicate."""
+    ``batch_id=<n>`` with overwrite, so a replayed batch does not duplicate.
+
+    The reference is counted once, when the writer is made; a micro-batch reads
+    its value counts, not its rows."""
+    ref = materialize(D.value_counts_by_side(reference_long), "drift_reference")
+    feats = reference_long.select("feature").distinct().count()   # bounded: feature names
+
     def fn(batch: DataFrame, batch_id: int):
-        cur = batch.select("feature", "value").withColumn("side", F.lit("cur"))
-        long = reference_long.unionByName(cur)
-        per = D.ks_drift(long)
-        feats = reference_long.select("feature").distinct().count()   # bounded: feature names
+        cur = D.value_counts_by_side(batch.select("feature", "value").withColumn("side", F.lit("cur")))
+        counts = ref.unionByName(cur).groupBy("feature", "value").agg(
+            F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
+        per = D.ks_of_counts(counts)
         summary = D.drift_summary(per, feats, F.lit(run_ts).cast("timestamp"))
         res = (per.select(F.lit("feature").alias("record"), "feature", "ks_statistic", "p_value",
                           "drift_score", "is_drift", F.lit(None).cast("string").alias("message"))

@@ -111,7 +111,7 @@ def test_smote_grows_minority_between_neighbours(spark):
 
 
 def test_knn_exact_with_hot_duplicate_block(spark):
-    from riskframe.operators.balance import _skippable_slices, knn
+    from riskframe.operators.balance import knn
     rng = np.random.RandomState(3)
     n = 600
     X = rng.randint(0, 4, (n, 2)).astype(float)
@@ -123,8 +123,46 @@ def test_knn_exact_with_hot_duplicate_block(spark):
     for i in range(n):
         want = np.lexsort((np.arange(n), D[i]))[:5].tolist()
         assert got[got.id == i].sort_values("nrank")["nbr"].tolist() == want
-    stats = [{"pid": 0, "lo": 1.0, "hi": 2.0, "n": 40, "mn0": 0.0, "mx0": 1.0},
-             {"pid": 1, "lo": 2.0, "hi": 2.0, "n": 40, "mn0": 1.0, "mx0": 1.0},
-             {"pid": 2, "lo": 2.0, "hi": 2.0, "n": 40, "mn0": 1.0, "mx0": 1.0},
-             {"pid": 3, "lo": 2.0, "hi": 3.0, "n": 40, "mn0": 1.0, "mx0": 2.0}]
-    assert _skippable_slices(stats, 1, 5) == {2}
+
+
+def test_knn_hot_blocks_and_split_boxes_in_eight_dimensions(spark):
+    """Few boxes split by hash, and searches of a block spread over tasks."""
+    from riskframe.operators.balance import knn
+    rng = np.random.RandomState(4)
+    X = rng.randint(0, 3, (400, 8)).astype(float)
+    cols = [f"f{i}" for i in range(8)]
+    pdf = pd.DataFrame(X, columns=cols).assign(id=np.arange(400))
+    got = knn(spark.createDataFrame(pdf), "id", cols, k=3, slice_rows=20, sample_rows=64, routed_rows=50).toPandas()
+    D = ((X[:, None, :] - X[None, :, :]) ** 2).sum(2)
+    np.fill_diagonal(D, np.inf)
+    for i in range(400):
+        want = np.lexsort((np.arange(400), D[i]))[:3].tolist()
+        assert got[got.id == i].sort_values("nrank")["nbr"].tolist() == want
+
+
+def test_knn_of_nothing_one_and_equal_rows(spark):
+    from riskframe.operators.balance import knn
+    df = spark.createDataFrame([(i, 1.0, 2.0) for i in range(7)], "id long, a double, b double")
+    assert knn(df.limit(0), "id", ["a", "b"], k=2).count() == 0
+    assert knn(df.where("id = 3"), "id", ["a", "b"], k=2).count() == 0
+    got = {(r["id"], r["nrank"]): r["nbr"] for r in knn(df, "id", ["a", "b"], k=2).collect()}
+    assert len(got) == 14 and got[(0, 1)] == 1 and got[(0, 2)] == 2 and got[(1, 1)] == 0 and got[(6, 2)] == 1
+
+
+def test_knn_search_meets_a_falling_share_of_boxes():
+    from riskframe.operators.balance import box_tree, boxes_met, boxes_of
+    rng = np.random.RandomState(6)
+    share = []
+    for n in (4_000, 32_000, 128_000):
+        X = rng.rand(n, 8)
+        tree = box_tree(X, n // 250)
+        box = boxes_of(tree, X)
+        m = box.max() + 1
+        lo, hi = np.full((m, 8), np.inf), np.full((m, 8), -np.inf)
+        np.minimum.at(lo, box, X)
+        np.maximum.at(hi, box, X)
+        q = X[:60]
+        d2 = ((q ** 2).sum(1)[:, None] + (X ** 2).sum(1)[None] - 2 * q @ X.T)
+        r2 = np.sort(np.maximum(d2, 0), axis=1)[:, 5]
+        share.append(len(boxes_met(q, r2, lo, hi)[0]) / (60 * m))
+    assert share[0] > share[1] > share[2], share

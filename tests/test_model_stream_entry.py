@@ -7,11 +7,12 @@ import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
 from riskframe.operators import explain as X
 from riskframe.operators import model as ML
 from riskframe.session import scratch_path
 
+SF_SMALL = "/root/testdata/sf0.001"
+
 
 def _toy(spark, n=400):
     rng = np.random.RandomState(3)
@@ -95,3 +96,24 @@ def test_stream_matches_batch(spark):
     a = qs["stream_scores"](spark, SF_SMALL).orderBy("encounter_id").toPandas()
     b = qs["linear_scores"](spark, SF_SMALL).orderBy("encounter_id").toPandas()
     assert a.equals(b)
+
+
+def test_saved_transforms_reproduce_the_written_matrix(spark):
+    import __spark_entry__ as E
+    from riskframe.plans.features import NUMERIC
+    t = E.queries()["feature_table"](spark, SF_SMALL)
+    off = F.greatest(*[F.abs(F.col(c) - F.col(f"scored_{c}")) for c in NUMERIC])
+    got = t.agg(F.count("*").alias("n"), F.max(off).alias("off"), F.count_distinct("split").alias("splits"),
+                F.min(F.size("topics")).alias("topics")).first()
+    assert got["n"] > 0 and got["off"] < 1e-6 and got["splits"] == 3
+    assert got["topics"] is None or got["topics"] > 0
+
+
+def test_snapshot_follows_the_files(spark, tmp_path):
+    from riskframe.session import snapshot
+    p = tmp_path / "a.parquet"
+    spark.range(3).toPandas().to_parquet(p)
+    first = snapshot(spark, str(p))
+    assert first == snapshot(spark, str(p))
+    spark.range(4000).toPandas().to_parquet(p)
+    assert first != snapshot(spark, str(p))
