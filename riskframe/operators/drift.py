@@ -79,12 +79,15 @@ def ks_drift(long: DataFrame, slices: int | None = None) -> DataFrame:
     """AGG20 + AGG21 + FLT3: per feature D = max |F_ref - F_cur|, p-value,
     drift score 1 - p and flag p < 0.05.  Features with <= 1 distinct value
     on either side are skipped (no row)."""
-    return ks_of_counts(value_counts_by_side(long), slices)
+    return _ks(ecdf(long, slices))
 
 
 def ks_of_counts(counts: DataFrame, slices: int | None = None) -> DataFrame:
     """The same from value counts, for a side that was counted before."""
-    e = ecdf_of_counts(counts, slices)
+    return _ks(ecdf_of_counts(counts, slices))
+
+
+def _ks(e: DataFrame) -> DataFrame:
     per = e.groupBy("feature").agg(
         F.max(F.abs(F.col("cdf_ref") - F.col("cdf_cur"))).alias("ks_statistic"),
         F.first("tot_ref").alias("n_ref"), F.first("tot_cur").alias("n_cur"),
