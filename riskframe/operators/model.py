@@ -5,18 +5,23 @@ calibration, threshold wrapper, importances, persistence and a run ledger.
 Parameter names of the reference's booster map onto ``GBTClassifier`` (T7):
 n_estimators -> maxIter, learning_rate -> stepSize, max_depth -> maxDepth,
 min_child_weight -> minInstancesPerNode (approx.), gamma -> minInfoGain
-(approx.), subsample -> subsamplingRate, colsample_* -> featureSubsetStrategy;
-reg_alpha / reg_lambda have no counterpart and are dropped;
-scale_pos_weight -> a per-row ``weightCol``.
+(approx.), subsample -> subsamplingRate, colsample_bytree * colsample_bylevel ->
+featureSubsetStrategy; reg_alpha / reg_lambda have no counterpart and are
+dropped; scale_pos_weight -> a per-row ``weightCol``.  n_estimators is an upper
+bound: boosting stops when a tree no longer lowers the validation loss by
+``STOP_GAIN`` times the learning rate (Spark has no patience in rounds).
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import itertools
+import math
 import os
 import random
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
+from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -29,19 +34,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.operators import metrics as M
-from riskframe.session import scratch_path
+from riskframe.session import cut_lineage, scratch_path
 
 SEED = 42
-# The reference's search spaces and fallback model.
+# The reference's search spaces (less reg_alpha / reg_lambda) and fallback model.
 ROBUST_GRID = {"n_estimators": [500, 1000], "learning_rate": [0.01, 0.1], "max_depth": [3, 5],
                "scale_pos_weight": ["one", "ratio"]}
 RANDOM_SPACE = {"n_estimators": [300, 500, 700, 1000], "learning_rate": [0.01, 0.03, 0.05, 0.07, 0.1],
                 "max_depth": [3, 4, 5, 6, 7], "min_child_weight": [1, 3, 5, 7],
                 "gamma": [0, 0.1, 0.2, 0.3, 0.5], "subsample": [0.7, 0.8, 0.9],
-                "colsample_bytree": [0.7, 0.8, 0.9],
+                "colsample_bytree": [0.7, 0.8, 0.9], "colsample_bylevel": [0.7, 0.8, 0.9],
                 "scale_pos_weight": ["one", "half_ratio", "ratio", "ratio_x1_5"]}
+PIPELINE_GRID = {"n_estimators": [1000, 1500], "learning_rate": [0.01, 0.05], "max_depth": [4, 5, 6],
+                 "min_child_weight": [1, 3], "gamma": [0, 0.1], "subsample": [0.8, 0.9],
+                 "colsample_bytree": [0.8, 0.9]}
 FALLBACK = {"n_estimators": 500, "learning_rate": 0.1, "max_depth": 3, "scale_pos_weight": "ratio"}
 RANDOM_DRAWS = 30
+GRID_FOLDS, RANDOM_FOLDS = 3, 5
+STOP_GAIN = 0.01
+ROWS_PER_TASK = 25_000
 WEIGHT_FACTORS = {"one": None, "half_ratio": 0.5, "ratio": 1.0, "ratio_x1_5": 1.5}
 
 
@@ -63,11 +74,15 @@ def gbt(features: str = "features", label: str = "label", **ref) -> GBTClassifie
 
 def to_param_map(g: GBTClassifier, ref: dict) -> dict:
     m = {}
+    columns = float(ref.get("colsample_bytree", 1)) * float(ref.get("colsample_bylevel", 1))
+    if columns < 1:
+        m[g.featureSubsetStrategy] = f"{columns:.4g}"
     for k, v in ref.items():
         if k == "n_estimators":
             m[g.maxIter] = int(v)
         elif k == "learning_rate":
             m[g.stepSize] = float(v)
+            m[g.validationTol] = STOP_GAIN * float(v)
         elif k == "max_depth":
             m[g.maxDepth] = int(v)
         elif k == "min_child_weight":
@@ -76,8 +91,6 @@ def to_param_map(g: GBTClassifier, ref: dict) -> dict:
             m[g.minInfoGain] = float(v)
         elif k == "subsample":
             m[g.subsamplingRate] = float(v)
-        elif k in ("colsample_bytree", "colsample_bylevel"):
-            m[g.featureSubsetStrategy] = str(v)
         elif k == "scale_pos_weight":
             m[g.weightCol] = f"w_{v}"
     return m
@@ -152,11 +165,66 @@ def search(train: DataFrame, estimator, maps: list, evaluator: Evaluator, fold_c
     return cv.fit(train)
 
 
+class Search(NamedTuple):
+    avgMetrics: list[float]
+    bestModel: PipelineModel
+    best: dict
+
+
+def stopped_search(train: DataFrame, validation: DataFrame, stages: list, booster: GBTClassifier, maps: list,
+                   evaluator: Evaluator, fold_col: str = "fold", k: int = 3, parallelism: int = 8) -> Search:
+    """ML4/ML5/ML7 with early stopping: like ``search``, but every fit stops on
+    the ``validation`` rows, and the preprocessing ``stages`` are fitted once
+    per fold instead of once per fold and map.  Maps that differ in maxIter
+    only share a fit that stopped before the lower bound.  The best map is
+    fitted again on all train rows, with its preprocessing."""
+    if not maps:
+        raise ValueError("a search needs at least one map")
+    booster = booster.copy({booster.validationIndicatorCol: "is_val"})
+    held = validation.withColumn(fold_col, F.lit(-1)).withColumn("is_val", F.lit(True))
+    rows = train.withColumn("is_val", F.lit(False)).unionByName(held)
+
+    def prepared(part):
+        pre = Pipeline(stages=stages).fit(part.where("not is_val"))
+        needed = {booster.getLabelCol(), fold_col, "is_val", booster.getFeaturesCol(),
+                  *(m[booster.weightCol] for m in maps if booster.weightCol in m)}
+        return pre, lambda df: cut_lineage(pre.transform(df).select(*sorted(needed)).repartition(tasks))
+
+    # every tree level is a job over these rows: no more tasks than they fill
+    tasks = max(1, math.ceil(rows.count() / ROWS_PER_TASK))
+    alike: dict[tuple, list[int]] = {}
+    for i in sorted(range(len(maps)), key=lambda i: -maps[i].get(booster.maxIter, 0)):
+        alike.setdefault(tuple(sorted((p.name, v) for p, v in maps[i].items() if p != booster.maxIter)), []).append(i)
+
+    def scores(group, fit_rows, test_rows):
+        found, model = {}, None
+        for i in group:
+            if model is None or model.getNumTrees >= maps[i].get(booster.maxIter, 0):
+                model = booster.fit(fit_rows, maps[i])
+                value = evaluator.evaluate(model.transform(test_rows))
+            found[i] = value
+        return found
+
+    totals = [0.0] * len(maps)
+    with ThreadPool(parallelism) as pool:
+        for fold in range(k):
+            part = rows.where(F.col(fold_col) != fold)
+            _, apply = prepared(part)
+            fit_rows, test_rows = apply(part), apply(rows.where(F.col(fold_col) == fold))
+            for found in pool.map(lambda g: scores(g, fit_rows, test_rows), alike.values(), chunksize=1):
+                for i, value in found.items():
+                    totals[i] += value
+    avg = [t / k for t in totals]
+    best = maps[(max if evaluator.isLargerBetter() else min)(range(len(maps)), key=avg.__getitem__)]
+    pre, apply = prepared(rows)
+    return Search(avg, PipelineModel([*pre.stages, booster.fit(apply(rows), best)]), best)
+
+
 def fit_with_fallback(train: DataFrame, estimator, maps: list, evaluator: Evaluator,
-                      fallback: GBTClassifier, **kw):
-    """ML8: the search, or a fixed model when the search fails."""
+                      fallback: GBTClassifier, run=search, **kw):
+    """ML8: the search (``run``), or a fixed model when the search fails."""
     try:
-        return search(train, estimator, maps, evaluator, **kw).bestModel, "search"
+        return run(train, estimator, maps, evaluator, **kw).bestModel, "search"
     except Exception:  # noqa: BLE001 -- any search failure falls back, as the reference does
         return fallback.fit(train), "fallback"
 

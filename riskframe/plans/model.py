@@ -27,9 +27,7 @@ MI_FEATURES = ["time_in_hospital", "num_medications", "num_procedures", "num_lab
 MODEL_FEATURES = MI_FEATURES + ["age_numeric", "age_med_interaction", "med_per_day", "total_encounters",
                                 "is_elderly", "high_diag_complexity"]
 CATEGORICAL = ["race", "insulin", "payer_code"]
-# Registered-query budget: the reference's grid shape with fewer trees (the
-# library defaults in operators.model keep the reference's 500/1000 trees).
-QUERY_TREES = 30
+SINGLE = dict(ML.FALLBACK, max_depth=4)     # the model of the scoring queries
 
 
 def model_frame(spark, sf_dir):
@@ -41,15 +39,29 @@ def model_frame(spark, sf_dir):
     return FT.engineered_features(FT.structured_features(c))
 
 
-def train_frame(frame, folds: bool = True):
+def train_frame(frame, folds: int = 0):
     """Train rows with weight columns (and stratified folds for a search)."""
     tr = frame.where(F.col("split") == "train")
     if folds:
-        tr = split.kfold(tr, "label", "encounter_id", k=3)
+        tr = split.kfold(tr, "label", "encounter_id", k=folds)
     ratio = B.class_balance(tr, "label").first()["ratio"]
     return ML.add_weight_columns(tr, "label", ratio), ratio
 
 
+def _stopping_rows(frame):
+    """Train rows and, marked ``is_val``, the validation rows that end the
+    boosting; written once, as boosting passes over them many times."""
+    tr, ratio = train_frame(frame)
+    val = ML.add_weight_columns(frame.where(F.col("split") == "val"), "label", ratio)
+    both = tr.withColumn("is_val", F.lit(False)).unionByName(val.withColumn("is_val", F.lit(True)))
+    return cut_lineage(both.select("encounter_id", "label", "is_val", "w_ratio", *MODEL_FEATURES, *CATEGORICAL)), ratio
+
+
+def _single(ref):
+    g = ML.gbt(**ref).setParams(validationIndicatorCol="is_val")
+    return ML.make_pipeline(ML.preprocess_stages(MODEL_FEATURES, CATEGORICAL), g)
+
+
 _CACHE = {}
 
 
@@ -61,16 +73,8 @@ def fitted(spark, sf_dir):
     if key in _CACHE:
         return _CACHE[key]
     frame = model_frame(spark, sf_dir)
-    tr, ratio = train_frame(frame, folds=False)
-    val = ML.add_weight_columns(frame.where(F.col("split") == "val"), "label", ratio)
-    fit_df = tr.withColumn("is_val", F.lit(False)).unionByName(
-        val.withColumn("is_val", F.lit(True)))
-    g = ML.gbt(n_estimators=QUERY_TREES, learning_rate=0.1, max_depth=4, scale_pos_weight="ratio")
-    g = g.setParams(validationIndicatorCol="is_val", validationTol=0.001)
-    pipe = ML.make_pipeline(ML.preprocess_stages(MODEL_FEATURES, CATEGORICAL), g)
-    # boosting passes over the rows many times: read them from one written copy
-    model = pipe.fit(cut_lineage(fit_df.select("encounter_id", "label", "is_val", "w_ratio",
-                                               *MODEL_FEATURES, *CATEGORICAL)))
+    rows, ratio = _stopping_rows(frame)
+    model = _single(SINGLE).fit(rows)
     _CACHE[key] = (frame, model, ratio)
     return _CACHE[key]
 
@@ -144,48 +148,57 @@ def gbt_feature_importance(spark, sf_dir):
     return imp.orderBy(F.col("importance").desc(), "feature").limit(20)
 
 
-def _search_frame(frame):
-    tr, _ = train_frame(frame)
-    return cut_lineage(tr.select("encounter_id", "label", "fold", *[c for c in tr.columns if c.startswith("w_")],
-                                 *MODEL_FEATURES, *CATEGORICAL))
-
-
-def _grid_search(spark, sf_dir):
-    """(frame, cross-validated search, its maps), once per state of the input."""
-    key = ("grid", source_key(spark, sf_dir))
+def _search(spark, sf_dir, which):
+    """(frame, search with early stopping on the validation rows, its maps),
+    once per state of the input; the spaces, draws and folds are the library's."""
+    key = (which, source_key(spark, sf_dir))
     if key not in _CACHE:
         frame = model_frame(spark, sf_dir)
         g = ML.gbt()
-        pipe = ML.make_pipeline(ML.preprocess_stages(MODEL_FEATURES, CATEGORICAL), g)
-        grid = dict(ML.ROBUST_GRID, n_estimators=[10, 20], max_depth=[3], learning_rate=[0.1])
-        maps = ML.grid_maps(g, grid)
-        _CACHE[key] = frame, ML.search(_search_frame(frame), pipe, maps, ML.RiskEvaluator("f1"), k=3, parallelism=4), maps
+        maps, k, metric = (ML.grid_maps(g), ML.GRID_FOLDS, "f1") if which == "grid" \
+            else (ML.random_maps(g), ML.RANDOM_FOLDS, "objective")
+        tr, ratio = train_frame(frame, folds=k)
+        val = ML.add_weight_columns(frame.where(F.col("split") == "val"), "label", ratio)
+        cols = ["encounter_id", "label", *[c for c in val.columns if c.startswith("w_")], *MODEL_FEATURES, *CATEGORICAL]
+        found = ML.stopped_search(cut_lineage(tr.select(*cols, "fold")), cut_lineage(val.select(*cols)),
+                                  ML.preprocess_stages(MODEL_FEATURES, CATEGORICAL), g, maps,
+                                  ML.RiskEvaluator(metric), k=k)
+        _CACHE[key] = frame, found, maps
     return _CACHE[key]
 
 
 @R.add("cv_grid_search", ["ML4", "ML6", "SMP5"])
 def cv_grid_search(spark, sf_dir):
-    _, cvm, maps = _grid_search(spark, sf_dir)
-    return ML.search_table(cvm, maps)
+    _, found, maps = _search(spark, sf_dir, "grid")
+    return ML.search_table(found, maps)
 
 
 @R.add("best_model_scores", ["ML7"])
 def best_model_scores(spark, sf_dir):
     """The best map, fitted again on all train rows, scores the test rows."""
-    frame, cvm, _ = _grid_search(spark, sf_dir)
-    test = ML.positive_probability(cvm.bestModel.transform(frame.where(F.col("split") == "test")))
+    frame, found, _ = _search(spark, sf_dir, "grid")
+    return _test_scores(found.bestModel, frame)
+
+
+def _test_scores(model, frame):
+    test = ML.positive_probability(model.transform(frame.where(F.col("split") == "test")))
     return test.select("encounter_id", "label", r6("p1").alias("probability"), fx.decision("p1").alias("decision"))
 
 
 @R.add("random_search", ["ML5", "ML6"])
 def random_search(spark, sf_dir):
-    tr = _search_frame(model_frame(spark, sf_dir))
-    g = ML.gbt()
-    pipe = ML.make_pipeline(ML.preprocess_stages(MODEL_FEATURES, CATEGORICAL), g)
-    space = dict(ML.RANDOM_SPACE, n_estimators=[5, 10], max_depth=[3, 4])
-    maps = ML.random_maps(g, space, n=3)
-    cvm = ML.search(tr, pipe, maps, ML.RiskEvaluator("objective"), k=3, parallelism=4)
-    return ML.search_table(cvm, maps)
+    _, found, maps = _search(spark, sf_dir, "random")
+    return ML.search_table(found, maps)
+
+
+@R.add("fallback_scores", ["ML8"])
+def fallback_scores(spark, sf_dir):
+    """The fixed model that takes over when a search fails (here: one without
+    maps) scores the test rows."""
+    frame = model_frame(spark, sf_dir)
+    rows, _ = _stopping_rows(frame)
+    model, how = ML.fit_with_fallback(rows, _single({}), [], ML.RiskEvaluator("f1"), _single(ML.FALLBACK))
+    return _test_scores(model, frame).withColumn("model", F.lit(how))
 
 
 @R.add("isotonic_calibrated", ["ML9", "R6"])
@@ -202,8 +215,8 @@ def model_ledger(spark, sf_dir):
     test = scored_split(spark, sf_dir, "test")
     ev = M.evaluation(test, "label", "p1", 0.5).first().asDict()
     run = "gbt-" + os.path.basename(sf_dir.rstrip("/"))
-    rows = ML.ledger_rows(run, "params", {"maxIter": QUERY_TREES, "maxDepth": 4, "stepSize": 0.1,
-                                          "pos_weight": ratio})
+    rows = ML.ledger_rows(run, "params", {**SINGLE, "scale_pos_weight": ratio,
+                                          "trees": model.stages[-1].getNumTrees})
     rows += ML.ledger_rows(run, "metrics", {k: v for k, v in ev.items()})
     names = X.vector_slot_names(model.transform(frame.limit(1)))
     n = {r["split"]: r["count"] for r in frame.groupBy("split").count().collect()}      # three rows

@@ -67,6 +67,25 @@ def test_fallback_on_failed_search(spark):
     assert how == "fallback" and m.transform(df).count() == 100
 
 
+def test_stopped_search_scores_every_map_and_refits_the_best(spark):
+    df = ML.add_weight_columns(_toy(spark), "label", 1.0)
+    val = df.where("id % 4 = 0")
+    train = df.where("id % 4 <> 0").withColumn("fold", (F.col("id") % 2).cast("int"))
+    g = ML.gbt()
+    maps = ML.grid_maps(g, {"n_estimators": [2, 6], "learning_rate": [0.3], "max_depth": [1, 3], "scale_pos_weight": ["one"]})
+
+    def run(m):
+        return ML.stopped_search(train, val, ML.preprocess_stages(["x1", "x2"], ["c"]), g, m, ML.RiskEvaluator("auc"), k=2)
+
+    got = run(maps)
+    assert len(got.avgMetrics) == 4 and got.best in maps
+    # a fit shared by two tree bounds scores like its own fit
+    assert all(abs(run([m]).avgMetrics[0] - v) < 1e-9 for m, v in zip(maps, got.avgMetrics))
+    assert got.bestModel.transform(df).count() == 400
+    empty = ML.make_pipeline(ML.preprocess_stages(["x1"]), ML.gbt(n_estimators=2))
+    assert ML.fit_with_fallback(df, empty, [], ML.RiskEvaluator("f1"), empty)[1] == "fallback"
+
+
 def test_isotonic_is_monotone(spark):
     df = spark.createDataFrame([(0.1, 0), (0.2, 1), (0.3, 0), (0.4, 1), (0.9, 1)], "p1 double, label int")
     out = ML.fit_isotonic(df).transform(df).orderBy("p1").toPandas()["p_cal"]
