@@ -10,24 +10,41 @@ from riskframe.functions import scalar as fx
 from riskframe.operators import explain as X
 from riskframe.plans.base import R, r6, sql_e
 from riskframe.plans.explain import LIN, _LC, _LW
+from riskframe.session import materialize
 from riskframe.sources.encounters import encounter_features, encounters
+from riskframe.sources.tables import table
 from riskframe.streaming import jobs as J
 
 
-@R.add("stream_daily_moments", ["STR1", "STR3"], sql_e(
-    "select window_start, window_end, event_type, n, round(total, 6) as total, round(mean, 6) as mean, "
-    "round(min_value, 6) as min_value, round(max_value, 6) as max_value, round(std, 6) as std from "
-    "(select date_trunc('day', ts) as window_start, date_trunc('day', ts) + interval 1 day as window_end, event_type, "
-    "count(*) as n, sum(value) as total, avg(value) as mean, min(value) as min_value, max(value) as max_value, "
-    "stddev_pop(value) as std from events group by 1, 2, 3) w "
-    "where window_end <= (select max(ts) from events) - interval 1 hour", views=()))
-def stream_daily_moments(spark, sf_dir):
+_DAILY = ("select window_start, window_end, event_type, n, round(total, 6) as total, round(mean, 6) as mean, "
+          "round(min_value, 6) as min_value, round(max_value, 6) as max_value, round(std, 6) as std from "
+          "(select date_trunc('day', ts) as window_start, date_trunc('day', ts) + interval 1 day as window_end, event_type, "
+          "count(*) as n, sum(value) as total, avg(value) as mean, min(value) as min_value, max(value) as max_value, "
+          "stddev_pop(value) as std from events group by 1, 2, 3) w")
+
+
+def _rounded(moments):
+    return moments.select("window_start", "window_end", "event_type", "n",
+                          *[r6(c).alias(c) for c in ("total", "mean", "min_value", "max_value", "std")])
+
+
+def _closed_days(spark, sf_dir):
     d = J.run_dir(spark, "daily_moments")
     agg = J.daily_moments(J.file_stream(spark, sf_dir, "events"))
     J.append_parquet(agg, os.path.join(d, "out"), os.path.join(d, "chk"))
-    out = spark.read.parquet(os.path.join(d, "out"))
-    return out.select("window_start", "window_end", "event_type", "n",
-                      *[r6(c).alias(c) for c in ("total", "mean", "min_value", "max_value", "std")])
+    return spark.read.parquet(os.path.join(d, "out"))
+
+
+@R.add("stream_daily_moments", ["STR1", "STR3"], sql_e(
+    _DAILY + " where window_end <= (select max(ts) from events) - interval 1 hour", views=()))
+def stream_daily_moments(spark, sf_dir):
+    return _rounded(_closed_days(spark, sf_dir))
+
+
+@R.add("stream_daily_flushed", ["STR3"], sql_e(_DAILY, views=()))
+def stream_daily_flushed(spark, sf_dir):
+    """The closed days of the stream and, as the source has ended, the open ones."""
+    return _rounded(_closed_days(spark, sf_dir).unionByName(J.open_days(table(spark, sf_dir, "events"))))
 
 
 def _linear_params(spark, sf_dir):
@@ -41,8 +58,7 @@ def _linear_params(spark, sf_dir):
     "(select encounter_id, any_value(base) + sum(contribution) as score from LC, LW group by encounter_id) s",
     ctes=[_LW, _LC]))
 def stream_scores(spark, sf_dir):
-    params = _linear_params(spark, sf_dir).cache()   # one row, fitted in batch
-    params.count()
+    params = materialize(_linear_params(spark, sf_dir), "linear_params")   # one row, fitted in batch
     d = J.run_dir(spark, "scores")
     feats = encounter_features(spark, sf_dir, J.file_stream(spark, sf_dir, "orders"))
     scored = X.linear_contributions(feats, params, LIN, "encounter_id")
@@ -82,7 +98,6 @@ def stream_validation(spark, sf_dir):
 
 @R.add("stream_drift", ["STR4", "FN27", "SNK8"])
 def stream_drift(spark, sf_dir):
-    from riskframe.sources.tables import table
     ev = table(spark, sf_dir, "events")
     cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     ref = (ev.where(F.col("ts") < cut)

@@ -74,6 +74,19 @@ def daily_moments(events: DataFrame, ts: str = "ts", by: str = "event_type",
                       "n", "total", "mean", "min_value", "max_value", "std")
 
 
+def open_days(events: DataFrame, ts: str = "ts", by: str = "event_type", value: str = "value",
+              delay: str = WATERMARK) -> DataFrame:
+    """Closing flush of ``daily_moments`` for a source that has ended: the
+    windows that the watermark has not passed, as a batch over their rows only
+    (the bound is one number, so it reaches the scan as a filter)."""
+    last = events.agg(F.max(F.col(ts).cast("timestamp")).alias("m")) \
+        .select(F.date_trunc("day", F.col("m") - F.expr(f"interval {delay}")).cast("string").alias("d")).first()["d"]
+    if last is None:
+        return daily_moments(events, ts, by, value, delay)
+    # a window that ends exactly at the watermark is closed: it starts a day before this one
+    return daily_moments(events.where(F.col(ts).cast("timestamp_ntz") >= F.lit(last).cast("timestamp_ntz")), ts, by, value, delay)
+
+
 def append_parquet(df: DataFrame, path: str, checkpoint: str, mode: str = "append"):
     return run_available(df.writeStream.format("parquet").outputMode(mode).option("path", path), checkpoint)
 

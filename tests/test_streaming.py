@@ -38,6 +38,21 @@ def test_daily_windows_drop_late_rows(spark):
     assert allw["n"].tolist() == [1, 1, 1] and allw["total"].tolist() == [1.0, 2.0, 3.0]
 
 
+def test_closed_and_open_days_are_every_day_once(spark):
+    for last in (dt.datetime(2024, 1, 3, 0, 30), dt.datetime(2024, 1, 3, 1), dt.datetime(2024, 1, 3, 5)):
+        src = tempfile.mkdtemp(prefix="rf-stream-src-")
+        _write(src, "events.parquet", [
+            (1, dt.datetime(2024, 1, 1, 10), 1, "click", 1.0, "{}"),
+            (2, dt.datetime(2024, 1, 2, 10), 1, "click", 2.0, "{}"),
+            (3, last, 1, "click", 3.0, "{}")])
+        d = J.run_dir(spark, "test_open")
+        out = os.path.join(d, "out")
+        J.append_parquet(J.daily_moments(J.file_stream(spark, src, "events")), out, os.path.join(d, "chk"))
+        rest = J.open_days(spark.read.parquet(os.path.join(src, "events.parquet")))
+        days = spark.read.parquet(out).unionByName(rest).toPandas()
+        assert sorted(days["window_start"].dt.day.tolist()) == [1, 2, 3], last
+
+
 def test_drift_batch_replay_is_idempotent(spark):
     import numpy as np
     from pyspark.sql import functions as F
