@@ -2,9 +2,10 @@
 
 One pass over the texts gives the rule statistics.  The forest grows random
 splits over a bounded sample of them; a text that few splits set apart has a
-short path and a high anomaly score.  The cut is calibrated on labelled rows:
-the lowest score above which at most ``max_good_loss`` of the rows labelled
-good would be lost.
+short path and a high anomaly score.  The cut is calibrated on labelled rows of
+both kinds: the best balanced accuracy at which at most ``balanced_loss`` of
+the rows labelled good are lost.  Without rows labelled bad it is the lowest
+score above which at most ``max_good_loss`` of the good ones would be lost.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ MIN_WORDS = 50
 #: Bounds of the fit: rows sampled (lowest hash of the id), trees, rows per tree.
 SAMPLE_ROWS, TREES, TREE_ROWS = 8192, 100, 256
 MAX_GOOD_LOSS = 0.002
+#: Bound on the good rows lost where labelled bad rows show what the cut catches.
+BALANCED_LOSS = 0.05
 BINS = 10_000
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 FEATURES = ["symbol_share", "dup_line_share", "repeat_share", "upper_share", "digit_share",
@@ -158,12 +161,14 @@ def _scores(forest: dict, values, block: int = 2048) -> np.ndarray:
 
 
 def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
-        sample_rows: int = SAMPLE_ROWS, max_good_loss: float = MAX_GOOD_LOSS, seed: int = 7):
+        sample_rows: int = SAMPLE_ROWS, max_good_loss: float = MAX_GOOD_LOSS,
+        balanced_loss: float = BALANCED_LOSS, seed: int = 7):
     """(forest, threshold) from a table of rule statistics.
 
     The forest sees the ``sample_rows`` rows of lowest id hash that pass the
     base rules; the threshold sees every labelled row, through a histogram of
-    ``BINS`` scores.  Without labels nothing is rejected (threshold 1).
+    ``BINS`` scores for each label.  Without rows labelled good nothing is
+    rejected (threshold 1); a row with both labels counts for both.
     """
     fine = stats.where(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
     # twice the rows wanted lie below this hash, so each task sends its few of them, not a full sample
@@ -178,11 +183,15 @@ def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
     if len(sample) < min(n, sample_rows):        # ids that repeat can leave fewer there
         sample = lowest(fine)
     forest = grow_forest(np.array([r[0] for r in sample], np.float64).reshape(-1, len(FEATURES)), seed=seed)
-    good = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("__id")).distinct()
-    known = fine.join(good, fine[id_col] == good["__id"], "left_semi")
-    hist = score_rows(known, forest, [id_col]).groupBy(
-        F.floor(F.col("anomaly") * BINS).cast("int").alias("bin")).count().collect()
-    return forest, threshold_of({r["bin"]: r["count"] for r in hist}, max_good_loss)
+    marks = labels.where(F.col(label_col).isin(0, 1)).select(
+        F.col(id_col).alias("__id"), (F.col(label_col) == 1).alias("__good")).distinct()
+    known = fine.select(id_col, "features").join(marks, F.col(id_col) == F.col("__id"))
+    hist = score_rows(known, forest, ["__good"]).groupBy(
+        "__good", F.floor(F.col("anomaly") * BINS).cast("int").alias("bin")).count().collect()
+    good, bad = ({r["bin"]: r["count"] for r in hist if r["__good"] == k} for k in (True, False))
+    if bad:
+        return forest, balanced_threshold(good, bad, balanced_loss)
+    return forest, threshold_of(good, max_good_loss)
 
 
 def threshold_of(hist: dict[int, int], max_good_loss: float) -> float:
@@ -197,6 +206,24 @@ def threshold_of(hist: dict[int, int], max_good_loss: float) -> float:
     return 0.0
 
 
+def balanced_threshold(good: dict[int, int], bad: dict[int, int], max_good_loss: float) -> float:
+    """Upper edge of the bin above which the share of bad rows most exceeds
+    that of good ones, of the edges above which at most the given share of
+    good rows lies; of equals the highest."""
+    n_good, n_bad = sum(good.values()), sum(bad.values())
+    best, cut, lost, caught = 0.0, 1.0, 0, 0
+    if not n_good:
+        return cut
+    for b in sorted(good.keys() | bad.keys(), reverse=True):
+        if lost > max_good_loss * n_good:
+            break
+        if caught / n_bad - lost / n_good > best:
+            best, cut = caught / n_bad - lost / n_good, (b + 1) / BINS
+        lost += good.get(b, 0)
+        caught += bad.get(b, 0)
+    return cut
+
+
 def score_rows(stats: DataFrame, forest: dict, carry: list[str]) -> DataFrame:
     """Add ``anomaly`` to rows with ``features`` (Arrow batches, no shuffle)."""
     src = stats.select(*[stats[c] for c in carry], "features")

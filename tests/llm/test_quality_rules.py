@@ -70,6 +70,15 @@ def test_threshold_loses_at_most_the_given_share():
     assert q.threshold_of({}, 0.1) == 1.0
 
 
+def test_balanced_cut_weighs_both_labels():
+    good, bad = {100: 900, 200: 60, 300: 40}, {150: 2, 250: 50, 350: 10}
+    assert q.balanced_threshold(good, bad, 0.05) == 201 / q.BINS      # 60 of 62 for 40 of 1000
+    assert q.balanced_threshold(good, bad, 0.2) == 201 / q.BINS       # the last 2 are not worth 60 more
+    assert q.balanced_threshold(good, bad, 0.03) == 301 / q.BINS
+    assert q.balanced_threshold({300: 9}, {100: 9}, 0.05) == 1.0      # nothing gained, nothing rejected
+    assert q.balanced_threshold({}, bad, 0.05) == 1.0
+
+
 def prose(rng, n):
     return " ".join(rng.choice(["the", "of", "and"]) if rng.random() < 0.3 else
                     "".join(rng.choice("abcdefghijklm") for _ in range(rng.randrange(3, 9))) for _ in range(n))
@@ -89,6 +98,19 @@ def test_labelled_good_rows_are_kept_and_junk_goes(spark, docs_of):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, k in got.items() if k}
 
 
+def test_most_labelled_bad_rows_go_at_the_production_values(spark, docs_of):
+    rng = random.Random(10)
+    good = [prose(rng, 200) for _ in range(388)]
+    # odd but good ones and bad ones of the same kind: 0.2 % of good loss catches nothing
+    odd = [" ".join(w.upper() + "#$%" for w in prose(rng, 200).split()) for _ in range(12)]
+    junk = [" ".join(w.upper() + "#$" for w in prose(rng, 200).split()) for _ in range(30)]
+    rows = [(i, 1, 0) for i in range(400)] + [(i, 0, 0) for i in range(400, 430)]
+    got = {r["doc_id"]: r["kept"] for r in q.quality_rules(
+        docs_of(good + odd + junk), spark.createDataFrame(rows, "doc_id long, quality int, toxic int")).collect()}
+    assert sum(got[i] for i in range(400)) >= 0.95 * 400
+    assert sum(got[i] for i in range(400, 430)) <= 0.2 * 30
+
+
 def test_the_sample_is_the_rows_of_lowest_hash(spark):
     from pyspark.sql import functions as F
     for ids in (F.col("id"), F.lit(3)):
