@@ -1,9 +1,11 @@
 """Secret scans: known shapes plus a token-efficiency test.
 
 Text that a vocabulary was made for needs few tokens; a random string needs
-about one for every character or two.  Runs of key-like characters with both
-letters and digits are secrets if they have few characters per token, unless
-they are a digest of a known length, a UUID or covered by a known shape.
+about one for every character or two.  Runs of key-like characters are secrets
+if they have few characters per token (fewer still for letters only), unless
+they are a digest of a known length, a UUID or covered by a known shape.  Text
+joined to a key by a separator hides it in the ratio of the whole run, so the
+pieces between separators are tested too.
 Patterns run on UTF-8 bytes (all their classes are ASCII); offsets are code
 points.
 """
@@ -28,11 +30,16 @@ HEX = re.compile(rb"[0-9a-f]{24,}")         # runs are maximal
 LEAST = {"assign": 6, "access": 20}
 
 _RUN = re.compile(rb"[A-Za-z0-9+/_=-]{16,}")
+_UUID_SHAPE = rb"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
+_PIECE = re.compile(rb"(?<![A-Za-z0-9])" + _UUID_SHAPE + rb"(?![A-Za-z0-9])|[A-Za-z0-9]+")
 _DIGEST = re.compile(rb"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 DIGEST_LENGTHS = (32, 40, 56, 64, 96, 128)
-_UUID = re.compile(rb"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}\Z")
+_UUID = re.compile(_UUID_SHAPE + rb"\Z")
 #: Below so many characters per token a run counts as random.
 MAX_EFFICIENCY = 2.0
+#: The same for letters only, with capitals after the first letter or without.
+MAX_LETTERS, MAX_LOWER = 1.7, 1.6
+LEAST_RANDOM = 16
 
 SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()),
                      T.StructField("end", T.IntegerType())])
@@ -49,16 +56,59 @@ def base_spans(text: bytes) -> list[tuple[int, int, int]]:
     return out
 
 
+def _n_tokens(run: bytes, path: str) -> int:
+    return len(encoding(path).encode_ordinary(run.decode("ascii")))
+
+
+def _known(run: bytes) -> bool:
+    """A UUID or a digest of a known length."""
+    return bool(_UUID.match(run) or len(run) in DIGEST_LENGTHS and _DIGEST.match(run))
+
+
 def is_random(run: bytes, path: str = VOCABULARY, most: float = MAX_EFFICIENCY) -> bool:
     """Few characters per token, and no digest, UUID, plain word or number."""
     core = run.strip(b"=-_/+")
-    if len(core) < 16 or core.isdigit() or core.isalpha():
-        return False
-    if not (any(48 <= c <= 57 for c in core) and any(c > 57 for c in core)):
+    if len(core) < LEAST_RANDOM or not any(c > 57 for c in core) or _known(core):
         return False
-    if _UUID.match(core) or len(core) in DIGEST_LENGTHS and _DIGEST.match(core):
+    if any(48 <= c <= 57 for c in core):
+        return len(core) < most * _n_tokens(core, path)
+    if not core.isalpha():
         return False
-    return len(core) < most * len(encoding(path).encode_ordinary(core.decode("ascii")))
+    return len(core) < min(most, MAX_LOWER if core[1:].islower() else MAX_LETTERS) * _n_tokens(core, path)
+
+
+def _random_parts(run: bytes, at: int, path: str, most: float) -> list[tuple[int, int]]:
+    """Extents of a run, which starts at ``at``, that are random: the whole,
+    or else pieces and neighbours that are each inefficient (pieces of one or
+    two characters tell nothing and join them).  What lies between the parts
+    found is tested as a run of its own."""
+    if len(run) < LEAST_RANDOM:
+        return []
+    if is_random(run, path, most):
+        return [(at, at + len(run))]
+    groups: list[list[tuple[int, int]]] = [[]]
+    for m in _PIECE.finditer(run):
+        p = m.group()
+        if len(p) > 2:
+            if not _known(p) and len(p) < most * _n_tokens(p, path):
+                groups[-1].append(m.span())
+            else:
+                groups.append([])
+    found = []
+    for g in groups:
+        if g and g[-1][1] - g[0][0] >= LEAST_RANDOM:
+            whole = (g[0][0], g[-1][1])
+            joined = is_random(run[whole[0]:whole[1]], path, most)
+            found += [whole] if joined else [x for x in g if is_random(run[x[0]:x[1]], path, most)]
+    if not found:
+        return []
+    out, last = [], 0
+    for s, e in [*found, (len(run), len(run))]:
+        out += _random_parts(run[last:s], at + last, path, most)
+        if s < e:
+            out.append((at + s, at + e))
+        last = e
+    return out
 
 
 def find_secrets(text: bytes | None, path: str = VOCABULARY, most: float = MAX_EFFICIENCY):
@@ -66,11 +116,13 @@ def find_secrets(text: bytes | None, path: str = VOCABULARY, most: float = MAX_E
     if not text:
         return []
     spans = base_spans(text)
-    covered = [(s, e) for s, _, e in spans]
+    covered = sorted((s, e) for s, _, e in spans)
     for m in _RUN.finditer(text):
-        s, e = m.span()
-        if all(e <= a or b <= s for a, b in covered) and is_random(m.group(), path, most):
-            spans.append((s, 3, e))
+        s, end = m.span()
+        for a, b in [*(x for x in covered if x[0] < end and s < x[1]), (end, end)]:
+            if s < a:
+                spans += [(x, 3, y) for x, y in _random_parts(text[s:a], s, path, most)]
+            s = max(s, b)
     if not spans:
         return []
     if not text.isascii():

@@ -58,6 +58,43 @@ def test_token_efficiency(run, random_):
     assert sec.is_random(run) == random_
 
 
+KEYS = {"base36": "abcdefghijklmnopqrstuvwxyz0123456789", "hex": "0123456789ABCDEF", "letters": "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ",
+        "base62": "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "base64": "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"}
+
+
+@pytest.mark.parametrize("before, after", [("", ""), ("com/en/articles/download/", ""), ("--option-name=", "/settings/page"),
+                                           ("some_long_variable_", "_and-the-rest-of-it")])
+@pytest.mark.parametrize("kind", sorted(KEYS))
+def test_keys_are_found_wherever_they_are_joined_to(kind, before, after):
+    rng = random.Random(kind)
+    found = 0
+    for _ in range(200):
+        key = "".join(rng.choice(KEYS[kind]) for _ in range(20 if kind != "base64" else 40))
+        spans = sec.find_secrets(f"é {before}{key}{after} end".encode())
+        s, e = 2 + len(before), 2 + len(before) + len(key)
+        found += sum(max(0, min(b, e) - max(a, s)) for _, a, b in spans) >= 0.9 * len(key)
+    assert found >= (170 if kind == "hex" else 190)
+
+
+def test_the_random_part_alone_is_reported_and_redacted():
+    key, plain = "q7zt9xkp2vlw8rnb4cyd", "com/en/articles/download/of-the-whole-history/"
+    text = f"see {plain}{key}/introduction, {plain}123e4567-e89b-12d3-a456-426614174000 and AKIA{'A' * 16}/{plain}{key}/introduction".encode()
+    at = [i for i in range(len(text)) if text.startswith(key.encode(), i)]
+    spans = sec.find_secrets(text)
+    assert [(s, e) for k, s, e in spans if k == "random"] == [(i, i + len(key)) for i in at]
+    clean = sec.redact(text, spans)
+    assert clean.count(plain) == 3 and clean.count("[SECRET]") == 3 and not sec.find_secrets(clean.encode())
+
+
+def test_nothing_is_left_after_redaction():
+    rng = random.Random(6)
+    parts = ["com", "en", "us", "01", "x1", "b2c", "2024", "download", "Introduction", "q7Zt9XkP2vLw8RnB4cYd", "A1B2", "kQxZvWpLmN", "deadbeef" * 3,
+             "123e4567-e89b-12d3-a456-426614174000"]
+    for _ in range(500):
+        text = "".join(rng.choice(parts) + rng.choice("/-_=+") for _ in range(rng.randrange(1, 12))).encode()
+        assert not sec.find_secrets(sec.redact(text, sec.find_secrets(text)).encode()), text
+
+
 def test_redaction_removes_all_spans_and_keeps_the_rest(spark, docs_of):
     texts = ["été password=hunter22 end", "clean", None, "", "x AKIA" + "A" * 20 + " y q7Zt9XkP2vLw8RnB4cYd"]
     docs = docs_of(texts)
