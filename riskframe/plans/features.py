@@ -110,8 +110,7 @@ _PAYER_VALUES = "PV as (select distinct nullif(payer_code, '?') as v from TRN wh
 
 def _payer_query(spark, sf_dir, drop_first):
     e = clean.sentinel_to_null(encounters(spark, sf_dir))
-    vocab = FT.fit_vocabulary(train_rows(spark, sf_dir, e), "payer_code")
-    return FT.one_hot_fitted(e.select("encounter_id", "payer_code"), "payer_code", vocab, drop_first)
+    return FT.one_hot(e.select("encounter_id", "payer_code"), train_rows(spark, sf_dir, e), "payer_code", drop_first)
 
 
 def _payer_sql(drop_first):
