@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import (chat_windows, compression_quality, decontaminate, host_reputation, mixing, ngram_lm,
-                           order_minhash, quality_rules, secrets, token_counts)
+from riskframe.llm import (chat_windows, compression_quality, decontaminate, filter_audit, host_reputation,
+                           license_scan, mixing, ngram_lm, order_minhash, quality_rules, secrets, source_divergence,
+                           token_counts)
 from riskframe.llm.common import sha_of
 from riskframe.sources.tables import table
 
@@ -260,3 +261,102 @@ def chat_digests(windows: DataFrame) -> DataFrame:
     return whole.select("conv_id", "n_turns", sha_of(joined("said")).alias("turns_sha256"),
                         F.length(joined("target")).cast("bigint").alias("loss_chars"),
                         sha_of(joined("target")).alias("loss_sha256"), "formatted_chars")
+
+
+# --------------------------------------------------------------- filter audit
+
+AUDIT_SQL = r"""
+with d as (
+  select doc_id, coalesce(source, '') as part, coalesce(text, '') as t,
+    min(doc_id) over (partition by coalesce(text, '')) as first from documents),
+w as (select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as words from d),
+l as (select doc_id, max(case when quality = 1 then 1 else 0 end) as good,
+    max(case when toxic = 1 then 1 else 0 end) as toxic from labels group by doc_id),
+f as (
+  select part, case when len(words) < 50 then 'A' else '' end
+    || case when 100 * len(list_distinct(words)) < 65 * len(words) then 'B' else '' end
+    || case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) then 'C' else '' end
+    || case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end
+    || case when first < doc_id then 'E' else '' end as fails,
+    coalesce(good, 0) as good, coalesce(toxic, 0) as toxic
+  from w left join l using (doc_id)),
+c as (select part, fails, count(*) as n, sum(good) as good, sum(toxic) as toxic from f group by all),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+orders as (
+  select a.x || b.x || c.x || d.x || e.x as filter_order
+  from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps as (
+  select filter_order, step, substr(filter_order, step, 1) as filter, substr(filter_order, 1, step - 1) as earlier
+  from orders, unnest(range(1, 6)) as s(step)),
+judged as (
+  select part, filter_order, step, filter, n, good, toxic, fails, contains(fails, filter) as hit,
+    translate(fails, earlier, '') <> fails as gone from c, steps)
+select part, filter_order, cast(step as int) as step, filter,
+  cast(coalesce(sum(n) filter (not gone and not hit), 0) as bigint) as kept,
+  cast(coalesce(sum(n) filter (not gone and hit), 0) as bigint) as removed,
+  cast(coalesce(sum(n) filter (gone and hit), 0) as bigint) as redundant,
+  cast(coalesce(sum(n) filter (fails = filter), 0) as bigint) as unique_fails,
+  cast(coalesce(sum(good) filter (not gone and hit), 0) as bigint) as good_lost,
+  cast(coalesce(sum(toxic) filter (not gone and hit), 0) as bigint) as toxic_lost,
+  cast(sum(coalesce(sum(n) filter (not gone and hit), 0)) over (partition by part, filter) as bigint) as shapley
+from judged group by part, filter_order, step, filter
+"""
+
+
+@query("op11_filter_potential", AUDIT_SQL)
+def op11_filter_potential(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+# -------------------------------------------------------------------- licenses
+
+@query("op12_license_scan")
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = license_scan.scan_licenses(table(spark, sf_dir, "documents")) \
+        .withColumn("base", license_scan.base_places("notices"))
+    starts = F.transform("base", lambda n: n["word"])
+    base_labels = F.array_sort(F.array_distinct(F.transform("base", lambda n: n["label"])))
+    return got.select("doc_id", "n_words", F.size("base").cast("bigint").alias("n_base"),
+                      F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+                      F.concat_ws(",", base_labels).alias("base_labels"),
+                      F.concat_ws(",", license_scan.all_labels()).alias("labels"), "score")
+
+
+# ----------------------------------------------------------- source divergence
+
+DIVERGENCE_SQL = r"""
+with d as (
+  select row_number() over () as rid, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+w as (select rid, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d),
+terms as (
+  select lang, term, count(*) as c from w group by lang, term having count(distinct rid) >= 10),
+groups as (select distinct lang, source from d),
+vs as (select lang, count(*) as v, sum(c) as n from terms group by lang),
+own as (select lang, source, term, count(*) as c from w semi join terms using (lang, term) group by all),
+ns as (select lang, source, sum(c) as n from own group by all),
+cells as (
+  select g.lang, g.source, t.term, coalesce(own.c, 0) as times,
+    1 + ((1000000000::hugeint * (coalesce(own.c, 0) + 2)) // (coalesce(ns.n, 0) + 2 * vs.v)) as p,
+    1 + ((1000000000::hugeint * (t.c + 2)) // (vs.n + 2 * vs.v)) as q
+  from groups g join terms t using (lang) join vs using (lang) left join own using (lang, source, term)
+  left join ns using (lang, source)),
+pairs as (
+  select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) as value
+  from cells a join cells b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+all_rows as (
+  select g.lang, g.source, 'pair' as part, h.source as item, coalesce(value, 0) as value
+  from groups g join groups h on g.lang = h.lang and g.source <> h.source
+  left join pairs p on p.lang = g.lang and p.source = g.source and p.item = h.source
+  union all
+  select lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) from cells where times > 0 and p > q)
+select lang, source, part, item, cast(value as bigint) as value,
+  cast(row_number() over (partition by lang, source, part order by value desc, item) as int) as rank
+from all_rows qualify part = 'pair' or rank <= 10
+"""
+
+
+@query("op13_source_divergence", DIVERGENCE_SQL)
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.source_divergence(table(spark, sf_dir, "documents"))

@@ -83,5 +83,5 @@ def test_stages_stand_empty_and_odd_tables(spark, odd, stages):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(SQL) <= set(QUERIES)
