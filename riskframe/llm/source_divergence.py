@@ -249,8 +249,9 @@ def pair_sums(kept: DataFrame, totals: DataFrame, tile_sources: int = TILE_SOURC
         sums = tile_sums(p[left], p[right]) if len(terms) else np.zeros((len(left), len(right)), np.int64)
         i, j = np.nonzero((left[:, None] < right[None, :]) if low == high
                           else np.ones((len(left), len(right)), bool))
-        return pd.DataFrame({"lang": [lang] * len(i), "one": names[left[i]], "other": names[right[j]],
-                             "value": sums[i, j]})
+        text = lambda v: pd.Series(v, dtype=object)
+        return pd.DataFrame({"lang": text([lang] * len(i)), "one": text(names[left[i]]),
+                             "other": text(names[right[j]]), "value": sums[i, j]})
 
     keys = ["lang", "block", "low", "high"]
     parts = counts.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInPandas(
