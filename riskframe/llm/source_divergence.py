@@ -30,8 +30,9 @@ from riskframe.llm.common import scratch_table
 TERM_BYTES = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 0 for c in range(256))
 #: Bytes of text that are packed and sorted at once (a longer text is one batch).
 BATCH_BYTES = 4 << 20
-#: Sources in one group and cells (sources x terms) in one block of a tile, on average.
-TILE_SOURCES, TILE_CELLS = 256, 1_000_000
+#: Sources in one group, and cells (sources x terms) in one block of a tile, on average: at least
+#: ``TILE_CELLS`` and so many times the pairs of the tile, whose sums leave it, that those stay few.
+TILE_SOURCES, TILE_CELLS, CELLS_PER_PAIR = 256, 100_000, 16
 MIN_DOCS, TOP_TERMS, SCALE = 10, 10, 1_000_000_000
 U64 = np.uint64
 #: Masks that keep the first 0..8 bytes of a big-endian word.
@@ -218,7 +219,9 @@ def pair_sums(kept: DataFrame, totals: DataFrame, tile_sources: int = TILE_SOURC
     """(lang, one, other, value) for every unordered pair of a language's
     sources, without any row per (pair, term)."""
     groups = F.ceil(F.col("sources") / tile_sources)
-    blocks = F.greatest(F.ceil(F.col("v") * F.least(F.col("sources"), F.lit(tile_sources)) / tile_cells), F.lit(1))
+    wide = F.least(F.col("sources"), F.lit(tile_sources))
+    cells = F.greatest(F.lit(tile_cells), CELLS_PER_PAIR * wide * wide)
+    blocks = F.greatest(F.ceil(F.col("v") * wide / cells), F.lit(1))
     placed = totals.select("lang", "source", "n", "v", groups.cast("int").alias("groups"),
                            blocks.cast("int").alias("blocks")) \
         .withColumn("own", F.pmod(F.xxhash64("source"), F.col("groups")).cast("int"))
