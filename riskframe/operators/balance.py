@@ -230,19 +230,22 @@ def _hash_parts(key_col, copy_col, seed: int):
 
 
 def smote(df: DataFrame, label: str, key: str, features, k: int = KNN_K, ratio: float = SMOTE_RATIO,
-          minority: int = 1, seed: int = SEED) -> DataFrame:
+          minority: int = 1, seed: int = SEED, nbr_col: str | None = None) -> DataFrame:
     """SMP6 + SET3: grow the minority class to ``ratio`` x majority with rows
     x + u * (neighbour - x).  Deterministic: minority rows in md5 order take
     the copies round-robin; neighbour rank and u come from md5(key|copy|seed).
     Returns the original rows (synthetic = 0) plus the new rows (synthetic = 1,
-    ``copy`` > 0, key of the row they were grown from)."""
+    ``copy`` > 0, key of the row they were grown from); ``nbr_col`` adds the key
+    of the neighbour (null for original rows)."""
     from riskframe.operators.prefix import rank_within
     feats = list(features)
     counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     n_min = counts.get(minority, 0)
     n_maj = max(v for c, v in counts.items() if c != minority) if len(counts) > 1 else 0
     n_new = int(ratio * n_maj) - n_min
-    orig = df.select(key, label, *feats, F.lit(0).alias("copy"), F.lit(0).alias("synthetic"))
+    named = lambda c: [c.alias(nbr_col)] if nbr_col else []
+    orig = df.select(key, label, *feats, F.lit(0).alias("copy"), F.lit(0).alias("synthetic"),
+                     *named(F.lit(None).cast(df.schema[key].dataType)))
     if n_new <= 0 or n_min < 2:
         return orig
     k_eff = min(k, n_min - 1)
@@ -261,5 +264,5 @@ def smote(df: DataFrame, label: str, key: str, features, k: int = KNN_K, ratio:
     nbrs = mino.select(F.col(key).alias("nbr"), *[F.col(f).alias(f"__n_{f}") for f in feats])
     syn = pick.join(nbrs, "nbr").select(
         key, label, *[(F.col(f) + F.col("u") * (F.col(f"__n_{f}") - F.col(f))).alias(f) for f in feats],
-        "copy", F.lit(1).alias("synthetic"))
+        "copy", F.lit(1).alias("synthetic"), *named(F.col("nbr")))
     return orig.unionByName(syn)

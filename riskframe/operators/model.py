@@ -26,7 +26,7 @@ from typing import NamedTuple
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.ml.tuning import CrossValidator
@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.operators import metrics as M
+from riskframe.operators.preprocess import CategoryPrep, NumericPrep
 from riskframe.session import cut_lineage, scratch_path
 
 SEED = 42
@@ -96,27 +97,32 @@ def to_param_map(g: GBTClassifier, ref: dict) -> dict:
     return m
 
 
-def preprocess_stages(num_cols: Sequence[str], cat_cols: Sequence[str] = (),
-                      out: str = "features", drop_first: bool = False) -> list:
-    """ML11: median imputation for numerics; categoricals indexed
-    alphabetically with an unknown bucket and one-hot encoded so an unseen
-    value encodes to all zeros (FN12); then one vector."""
+def preprocess_stages(num_cols: Sequence[str], cat_cols: Sequence[str] = (), out: str = "features",
+                      drop_first: bool = False, fit_where: str = "") -> list:
+    """ML11: exact median fill and population scaling for numerics, most
+    frequent fill and one-hot for categoricals (an unseen value encodes to all
+    zeros, FN12; ``drop_first`` leaves the first category out, FN13); then one
+    vector.  ``fit_where`` keeps rows, such as those of early stopping, out of
+    the fits."""
     stages, inputs = [], []
     if num_cols:
-        imp = [f"{c}__imp" for c in num_cols]
-        stages.append(Imputer(inputCols=list(num_cols), outputCols=imp, strategy="median"))
-        inputs += imp
-    if cat_cols:   # one multi-column indexer / encoder: one fitting pass for all columns
-        cats = list(cat_cols)
-        stages.append(StringIndexer(inputCols=cats, outputCols=[f"{c}__idx" for c in cats],
-                                    handleInvalid="keep", stringOrderType="alphabetAsc"))
-        stages.append(OneHotEncoder(inputCols=[f"{c}__idx" for c in cats],
-                                    outputCols=[f"{c}__oh" for c in cats], dropLast=True))
-        inputs += [f"{c}__oh" for c in cats]
+        scaled = [f"{c}__std" for c in num_cols]
+        stages.append(NumericPrep(inputCols=list(num_cols), outputCols=scaled, fitWhere=fit_where))
+        inputs += scaled
+    if cat_cols:
+        coded = [f"{c}__oh" for c in cat_cols]
+        stages.append(CategoryPrep(inputCols=list(cat_cols), outputCols=coded, dropFirst=drop_first,
+                                   fitWhere=fit_where))
+        inputs += coded
     stages.append(VectorAssembler(inputCols=inputs, outputCol=out, handleInvalid="keep"))
     return stages
 
 
+def slot_names(model: PipelineModel) -> list[str]:
+    """Names of the assembled vector's slots: the column, or column_category."""
+    return [s for stage in model.stages if hasattr(stage, "slots") for s in stage.slots()]
+
+
 def positive_probability(df: DataFrame, prob: str = "probability", out: str = "p1") -> DataFrame:
     return df.withColumn(out, vector_to_array(F.col(prob))[1])
 

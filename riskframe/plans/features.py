@@ -110,7 +110,8 @@ _PAYER_VALUES = "PV as (select distinct nullif(payer_code, '?') as v from TRN wh
 
 def _payer_query(spark, sf_dir, drop_first):
     e = clean.sentinel_to_null(encounters(spark, sf_dir))
-    return FT.one_hot(e.select("encounter_id", "payer_code"), train_rows(spark, sf_dir, e), "payer_code", drop_first)
+    return FT.one_hot(e.select("encounter_id", "payer_code"), train_rows(spark, sf_dir, e), "payer_code", drop_first,
+                      wide=True)
 
 
 def _payer_sql(drop_first):

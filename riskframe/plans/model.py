@@ -5,10 +5,13 @@ from __future__ import annotations
 
 import os
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskframe.functions import scalar as fx
 from riskframe.operators import balance as B
+from riskframe.operators import chain as CH
 from riskframe.operators import clean
 from riskframe.operators import explain as X
 from riskframe.operators import features as FT
@@ -17,7 +20,7 @@ from riskframe.operators import model as ML
 from riskframe.operators import select as SEL
 from riskframe.operators import split
 from riskframe.plans.base import R, r6, sql_e
-from riskframe.plans.split import _SPLIT_BODY, _SPLIT_CTES
+from riskframe.plans.split import _INNER_CTES, _SPLIT_BODY, _SPLIT_CTES
 from riskframe.session import cut_lineage, scratch_path
 from riskframe.sources.encounters import encounters, source_key
 
@@ -59,7 +62,8 @@ def _stopping_rows(frame):
 
 def _single(ref):
     g = ML.gbt(**ref).setParams(validationIndicatorCol="is_val")
-    return ML.make_pipeline(ML.preprocess_stages(MODEL_FEATURES, CATEGORICAL), g)
+    return ML.make_pipeline(ML.preprocess_stages(MODEL_FEATURES, CATEGORICAL, drop_first=True,
+                                                 fit_where="not is_val"), g)
 
 
 _CACHE = {}
@@ -130,6 +134,86 @@ def class_weight_grid(spark, sf_dir):
     return B.pos_weight_grid(B.class_balance(e, "label")).select("option", r6("pos_weight").alias("pos_weight"))
 
 
+_FILLED = [f"coalesce(cast({c} as double), (select median(cast({c} as double)) from TRN)) as {c}" for c in MI_FEATURES]
+_CATS = {c: f"coalesce(nullif({c}, '?'), (select nullif({c}, '?') from TRN where nullif({c}, '?') is not null "
+            f"group by 1 order by count(*) desc, 1 limit 1))" for c in CATEGORICAL}
+_PREP_SQL = [
+    f"FE as (select encounter_id, {', '.join(_FILLED)}, {', '.join(f'{x} as {c}' for c, x in _CATS.items())} from E)",
+    "FT as (select FE.* from FE semi join TRN using (encounter_id))",
+    "PS as (" + " union all ".join(
+        f"select encounter_id, '{c}' as slot, case when s = 0 then 0.0 else ({c} - m) / s end as value "
+        f"from FE, (select avg({c}) as m, stddev_pop({c}) as s from FT) p" for c in MI_FEATURES) + ")",
+    # categories of the train rows, without the first
+    "PC as (" + " union all ".join(
+        f"select encounter_id, '{c}_' || v as slot, cast({c} = v as int) as value from FE, "
+        f"(select distinct nullif({c}, '?') as v from TRN where nullif({c}, '?') is not null order by 1 offset 1) d"
+        for c in CATEGORICAL) + ")"]
+
+
+@R.add("preprocessed_matrix", ["ML11", "FN13"], sql_e(
+    "select encounter_id, slot, round(cast(value as double), 6) as value from "
+    "(select * from PS union all select * from PC) x", ctes=_SPLIT_CTES + _TRN + _PREP_SQL))
+def preprocessed_matrix(spark, sf_dir):
+    """The vector that the boosters are fitted on, slot by slot, for every
+    encounter; fitted on the train rows."""
+    e = clean.sentinel_to_null(encounters(spark, sf_dir)).withColumn("label", fx.label_from("readmitted"))
+    rows = split.stratified_split(e, "label", "encounter_id")
+    prep = Pipeline(stages=ML.preprocess_stages(MI_FEATURES, CATEGORICAL, drop_first=True,
+                                                fit_where="split = 'train'")).fit(rows)
+    names = F.array(*[F.lit(n) for n in ML.slot_names(prep)])
+    long = prep.transform(rows).select("encounter_id", F.posexplode(vector_to_array("features")).alias("i", "value"))
+    return long.select("encounter_id", F.get(names, F.col("i")).alias("slot"), r6("value").alias("value"))
+
+
+def _chain(spark, sf_dir):
+    """The chain on every fold of the fit rows, once per state of the input:
+    counts per fold and class, metrics per fold.  A fifth of the train rows
+    stops the boosting."""
+    key = ("chain", source_key(spark, sf_dir))
+    if key not in _CACHE:
+        frame = model_frame(spark, sf_dir)
+        tr = split.two_way_split(frame.where(F.col("split") == "train"), "label", "encounter_id",
+                                 hold_pct=CH.HOLD_PCT, seed=7)
+        cols = ["encounter_id", "label", *MODEL_FEATURES, *CATEGORICAL]
+        fit = cut_lineage(split.kfold(tr.where("part = 'fit'"), "label", "encounter_id", k=CH.FOLDS)
+                          .select(*cols, "fold"))
+        stop = cut_lineage(tr.where("part = 'holdout'").select(*cols))
+        booster = ML.gbt(**{k: v for k, v in SINGLE.items() if k != "scale_pos_weight"})
+        counts, metrics = [], []
+        for f in CH.cross_fit(CH.TrainingChain(MODEL_FEATURES, CATEGORICAL, booster), fit, stop):
+            counts += [(f.fold, r["label"], r["synthetic"], r["count"])
+                       for r in f.resampled.rows.groupBy("label", "synthetic").count().collect()]
+            ev = M.evaluation(f.scored, "label", "p1", 0.5).first().asDict()
+            metrics.append((f.fold, ",".join(f.resampled.selected), f.model.stages[-1].getNumTrees,
+                            *[float(ev[m]) if ev[m] is not None else None for m in ("f1_score", "recall", "auc")]))
+        _CACHE[key] = counts, metrics
+    return _CACHE[key]
+
+
+_CHAIN_CTES = _INNER_CTES + [
+    "FR as (select K2.encounter_id, K2.label from K2 join H on K2.label = H.label where srank > n_hold)",
+    "FF as (select label, (row_number() over (partition by label order by "
+    "md5(cast(encounter_id as varchar) || '42'), encounter_id) - 1) % 5 as fold from FR)",
+    "FN as (select f.fold, count_if(label = 0) as n0, count_if(label = 1) as n1 from FF, "
+    "(select unnest(range(0, 5)) as fold) f where FF.fold <> f.fold group by f.fold)"]
+
+
+@R.add("training_chain_counts", ["TOP6", "SMP4", "SMP5", "SMP6", "SET3"], sql_e(
+    "select cast(fold as int) as fold, label, synthetic, n from ("
+    "select fold, 0 as label, 0 as synthetic, n0 as n from FN union all select fold, 1, 0, n1 from FN "
+    "union all select fold, 1, 1, cast(floor(0.5 * n0) as bigint) - n1 from FN) c where n > 0", ctes=_CHAIN_CTES))
+def training_chain_counts(spark, sf_dir):
+    """Rows that the booster of each fold is fitted on."""
+    return spark.createDataFrame(_chain(spark, sf_dir)[0], "fold int, label int, synthetic int, n long")
+
+
+@R.add("training_chain_scores", ["TOP6", "SMP6", "SMP4", "ML1", "ML3", "ML11"])
+def training_chain_scores(spark, sf_dir):
+    """Selected slots, trees and metrics of each fold, on its own unseen rows."""
+    return spark.createDataFrame(_chain(spark, sf_dir)[1], "fold int, selected string, trees int, f1_score double, "
+                                                           "recall double, auc double")
+
+
 @R.add("gbt_test_scores", ["ML1", "ML2", "ML3", "ML10", "ML11", "FN16", "FN17"])
 def gbt_test_scores(spark, sf_dir):
     val = scored_split(spark, sf_dir, "val")
@@ -161,7 +245,7 @@ def _search(spark, sf_dir, which):
         val = ML.add_weight_columns(frame.where(F.col("split") == "val"), "label", ratio)
         cols = ["encounter_id", "label", *[c for c in val.columns if c.startswith("w_")], *MODEL_FEATURES, *CATEGORICAL]
         found = ML.stopped_search(cut_lineage(tr.select(*cols, "fold")), cut_lineage(val.select(*cols)),
-                                  ML.preprocess_stages(MODEL_FEATURES, CATEGORICAL), g, maps,
+                                  ML.preprocess_stages(MODEL_FEATURES, CATEGORICAL, drop_first=True), g, maps,
                                   ML.RiskEvaluator(metric), k=k)
         _CACHE[key] = frame, found, maps
     return _CACHE[key]
