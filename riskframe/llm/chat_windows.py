@@ -1,17 +1,19 @@
 """Chat formatting into budgeted windows.
 
-Prefix sums of turn tokens cut a conversation into spans of whole turns.  Each
-window repeats the leading system turn and a limited history (the turns that
-start within ``history`` tokens before the span), then has the new turns; loss
-is on the new assistant turns only, so every assistant text is a target once.
+A window repeats the leading system turn and a limited history, then has new
+turns; all three together stay within the budget.  Windows are cut greedily:
+the prefix sums of turn tokens say which turn is the first that the window has
+no room for, and the next window begins there.  Loss is on the new assistant
+turns only, so every assistant text is a target once.
 
 Turns are marked by control strings; where a text contains one (or an escaped
 one), a backslash goes in after its first character, and reading back takes it
 out again, so formatting is reversible for any text.  Built-in functions only.
 
-Prefix sums are made in two levels (within blocks of ``BLOCK`` turns, then
-over block sums) and windows are grouped by (conversation, window), so a
-conversation of any length is spread over tasks.
+Cutting starts anew with every block of at most ``BLOCK`` turns, so a
+conversation of any length is cut by many tasks: prefix sums and window numbers
+are made within blocks, then over block sums.  Only the last window of a block
+can be left with room for the next turn.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Tokens of new turns per window, repeated history, and turns per prefix block.
+#: Tokens of a whole window, of the history in it at most, and turns per block.
 SPAN, HISTORY, BLOCK = 1024, 256, 128
 
 # The template's control strings.
@@ -67,60 +69,100 @@ def prepared_turns(turns: DataFrame, conv_id: str, turn: str, role: str, text: s
                         F.coalesce(turns[text].cast("string"), F.lit("")).alias("text"))
 
 
-def with_prefix(turns: DataFrame) -> DataFrame:
-    """Add ``at``, the tokens of the conversation's earlier turns; ``lead``: is
-    this the leading system turn; ``block`` and ``pos``, the turn's place."""
-    order = ["turn", "role", "text"]
-    block = F.floor(F.coalesce(F.col("turn"), F.lit(-1)) / BLOCK)
-    t = turns.withColumn("block", block).withColumn("tokens", turn_tokens(F.col("text")))
-    w = Window.partitionBy("conv", "block").orderBy(*order)
-    t = t.withColumn("pos", F.row_number().over(w)) \
-        .withColumn("within", F.sum("tokens").over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    sums = turns.groupBy("conv", block.alias("block")).agg(F.sum(turn_tokens(F.col("text"))).alias("sum"))
-    before = sums.withColumn("before", F.sum("sum").over(
-        Window.partitionBy("conv").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))) \
-        .select(F.col("conv").alias("bc"), F.col("block").alias("bb"), "before")
-    t = t.join(before, t["conv"].eqNullSafe(before["bc"]) & (t["block"] == before["bb"]))
-    lead = (F.col("role") == "system") & F.col("before").isNull() & F.col("within").isNull()
-    return t.select("conv", "turn", "block", "pos", "role", "text", lead.alias("lead"),
-                    (F.coalesce("before", F.lit(0)) + F.coalesce("within", F.lit(0))).cast("bigint").alias("at"))
+def with_blocks(turns: DataFrame) -> DataFrame:
+    """Add ``tokens``; ``block`` (of turn numbers), ``pos`` in it and ``part``,
+    the piece of at most ``BLOCK`` turns: many turns of one number (or none)
+    are one block, but many parts."""
+    t = turns.withColumn("block", F.floor(F.coalesce(F.col("turn"), F.lit(-1)) / BLOCK)) \
+        .withColumn("tokens", turn_tokens(F.col("text")))
+    t = t.withColumn("pos", F.row_number().over(Window.partitionBy("conv", "block").orderBy("turn", "role", "text")))
+    return t.withColumn("part", F.floor((F.col("pos") - 1) / BLOCK))
+
+
+def cut(tokens, first, other):
+    """Greedy cuts of an array of (pos, tokens): per turn its window ``w`` from
+    0 and ``at``, the tokens before it.  Window 0 has room for ``first``
+    tokens, the others for ``other``; one turn always fits."""
+    def step(acc, x):
+        room = F.when(acc["w"] == 0, first).otherwise(other)
+        fits = (acc["used"] == 0) | (acc["used"] + x["tokens"] <= room)
+        w = F.when(fits, acc["w"]).otherwise(acc["w"] + 1)
+        return F.struct(w.alias("w"), (F.when(fits, acc["used"]).otherwise(F.lit(0)) + x["tokens"]).alias("used"),
+                        (acc["at"] + x["tokens"]).alias("at"),
+                        F.concat(acc["out"], F.array(F.struct(x["pos"].alias("pos"), w.alias("w"),
+                                                              acc["at"].alias("at"), x["tokens"].alias("tokens"))))
+                        .alias("out"))
+    big = lambda: F.lit(0).cast("bigint")
+    empty = F.array().cast("array<struct<pos:int,w:int,at:bigint,tokens:bigint>>")
+    return F.aggregate(tokens, F.struct(F.lit(0).alias("w"), big().alias("used"), big().alias("at"),
+                                        empty.alias("out")), step, lambda acc: acc["out"])
+
+
+def placed_turns(t: DataFrame, leads: DataFrame, span: int, history: int) -> DataFrame:
+    """(conv, block, pos, window, at, tokens) of turns with blocks; ``leads``
+    has (lead_conv, lead_block, lead_tokens) of conversations that begin with
+    a system turn."""
+    parts = t.groupBy("conv", "block", "part").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "tokens"))).alias("x"), F.sum("tokens").alias("sum"))
+    parts = parts.join(leads, parts["conv"].eqNullSafe(leads["lead_conv"]), "left")
+    other = F.lit(span - history) - F.coalesce("lead_tokens", F.lit(0))
+    begins = (F.col("block") == F.col("lead_block")) & (F.col("part") == 0)
+    # the conversation's first window has the system turn as a new one, and no history
+    first = F.when(F.coalesce(begins, F.lit(False)), F.lit(span)).otherwise(other)
+    parts = parts.select("conv", "block", "part", "sum", cut(F.col("x"), first, other).alias("x"))
+    earlier = Window.partitionBy("conv").orderBy("block", "part").rowsBetween(Window.unboundedPreceding, -1)
+    windows = F.element_at("x", -1)["w"] + 1
+    parts = parts.select("conv", "block", "x", F.coalesce(F.sum("sum").over(earlier), F.lit(0)).alias("tokens_before"),
+                         F.coalesce(F.sum(windows).over(earlier), F.lit(0)).alias("windows_before"))
+    return parts.select("conv", "block", "tokens_before", "windows_before", F.explode("x").alias("x")).select(
+        "conv", "block", "x.pos", (F.col("windows_before") + F.col("x.w")).alias("window"),
+        (F.col("tokens_before") + F.col("x.at")).alias("at"), "x.tokens")
 
 
 def format_windows(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role",
                    text: str = "text", span: int = SPAN, history: int = HISTORY) -> DataFrame:
-    """One row per window: conversation, window number, ``formatted``, the
-    number of turns repeated at its head, and ``loss`` (code-point offset and
-    length of each target in ``formatted``).
-
-    Turns are ordered by (turn, role, text); null roles and texts are ''; a
-    null conversation id is one conversation.  A turn is never cut: one longer
-    than the span has a window beyond the budget.  Empty input gives no rows.
+    """One row per window: conversation, window number from 0, ``formatted``,
+    the number of turns repeated at its head, and ``loss`` (code-point offset
+    and length of each target in ``formatted``).
+
+    A window's system turn, history and new turns have at most ``span`` tokens.
+    Later windows leave ``history`` tokens of room; the history is the turns
+    right before the window that start within what is left of the budget, but
+    within ``history`` tokens.  A turn is never cut: only where the system turn
+    and one new turn exceed the budget by themselves, a window does.
+
+    Turns are ordered by (turn, role, text); null roles and texts are '', null
+    turn numbers come first; a null conversation id is one conversation.
+    Repeated rows are turns of their own.  Empty input gives no rows.
     """
     if history > span:
         raise ValueError("history must not exceed the span")
-    t = with_prefix(prepared_turns(turns, conv_id, turn, role, text))
+    t = with_blocks(prepared_turns(turns, conv_id, turn, role, text))
     body = escape(F.col("text"))
     before, after = _marked(F.col("role"), body)
-    t = t.select("conv", "block", "pos", "turn", "role", "at", "lead",
-                 before.alias("a"), body.alias("b"), after.alias("z"))
-    own = F.floor(F.col("at") / span)
-    # a turn is new in its own window and may be history in the next
-    t = t.withColumn("own", own).withColumn(
-        "window", F.explode(F.sequence(own, F.when(F.col("lead"), own).otherwise(
-            F.floor((F.col("at") + history) / span)))))
-    part = F.struct("block", "turn", "pos", (F.col("own") == F.col("window")).alias("new"), "lead", "at", "role",
-                    "a", "b", "z")
-    g = t.groupBy("conv", "window").agg(F.array_sort(F.collect_list(part)).alias("turns"),
-                                        F.min(F.when(F.col("own") == F.col("window"), F.col("at"))).alias("start")) \
-        .where("start is not null")
-    # the leading system turn, for the windows after the first
-    system = t.where("lead").select(F.col("conv").alias("c"), F.col("a").alias("sa"), F.col("b").alias("sb"),
-                                    F.col("z").alias("sz"), F.col("own").alias("sw"))
-    g = g.join(system, g["conv"].eqNullSafe(system["c"]), "left")
-    kept = F.filter("turns", lambda x: x["new"] | (x["at"] >= F.col("start") - history))
-    head = F.when(F.col("sa").isNotNull() & (F.col("sw") < F.col("window")), F.concat("sa", "sb", "sz")) \
-        .otherwise(F.lit(""))
-    g = g.select("conv", "window", kept.alias("turns"), head.alias("head"))
+    turn_text = F.struct("role", before.alias("a"), body.alias("b"), after.alias("z"))
+    t = t.withColumn("m", turn_text)
+    begin = t.where("pos = 1").groupBy("conv").agg(F.min("block").alias("lead_block"),
+                                                   F.min_by(F.struct("m", "tokens"), "block").alias("lead"))
+    leads = begin.where("lead.m.role = 'system'").select(
+        F.col("conv").alias("lead_conv"), "lead_block", F.col("lead.tokens").alias("lead_tokens"),
+        F.col("lead.m").alias("system"))
+    # a first part without a system turn has the whole budget too
+    rooms = begin.select(F.col("conv").alias("lead_conv"), "lead_block", F.when(
+        F.col("lead.m.role") == "system", F.col("lead.tokens")).otherwise(0).alias("lead_tokens"))
+    at = placed_turns(t.select("conv", "block", "part", "pos", "tokens"), rooms, span, history)
+    placed = at.join(t.select(F.col("conv").alias("tc"), F.col("block").alias("tb"), F.col("pos").alias("tp"), "m"),
+                     at["conv"].eqNullSafe(F.col("tc")) & (at["block"] == F.col("tb")) & (at["pos"] == F.col("tp"))) \
+        .select("conv", "window", "at", "tokens", "m")
+    starts = at.groupBy("conv", "window").agg(F.min("at").alias("start"), F.sum("tokens").alias("new_tokens"))
+    new = placed.select("conv", "window", F.lit(True).alias("new"), "at", "m")
+    rows = new.unionByName(_history(placed, starts, rooms, span, history)) if history else new
+    part = F.struct("at", "new", "m.*")
+    g = rows.groupBy("conv", "window").agg(F.array_sort(F.collect_list(part)).alias("turns"))
+    g = g.join(leads, g["conv"].eqNullSafe(leads["lead_conv"]), "left")
+    head = F.when((F.col("window") > 0) & F.col("system").isNotNull(),
+                  F.concat("system.a", "system.b", "system.z")).otherwise(F.lit(""))
+    g = g.select("conv", "window", "turns", head.alias("head"))
     old = F.size(F.filter("turns", lambda x: ~x["new"])) + F.when(F.col("head") != "", 1).otherwise(0)
     pieces = F.transform("turns", lambda x: F.concat(x["a"], x["b"], x["z"]))
     formatted = F.concat(F.col("head"), F.array_join(pieces, ""))
@@ -138,6 +180,25 @@ def format_windows(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn
                     walk.alias("loss"))
 
 
+def _history(placed: DataFrame, starts: DataFrame, rooms: DataFrame, span: int, history: int) -> DataFrame:
+    """The turns that windows repeat, as rows like those of new turns.  Turns
+    and windows meet by the conversation and ``history`` tokens of it, so a
+    window sees few turns besides its own history."""
+    room = F.least(F.lit(history), F.lit(span) - F.col("lead_tokens") - F.col("new_tokens"))
+    w = starts.where("start > 0").join(rooms, starts["conv"].eqNullSafe(rooms["lead_conv"])) \
+        .select(F.col("conv").alias("wc"), F.col("window").alias("ww"), "start", room.alias("room"),
+                F.when(F.col("lead_tokens") > 0, 0).otherwise(-1).alias("after")) \
+        .where("room > 0") \
+        .withColumn("near", F.explode(F.sequence(F.floor((F.col("start") - F.col("room")) / history),
+                                                 F.floor((F.col("start") - 1) / history))))
+    t = placed.withColumn("cell", F.floor(F.col("at") / history))
+    # the leading system turn (it begins at 0) is repeated anyway
+    return t.join(w, t["conv"].eqNullSafe(w["wc"]) & (t["cell"] == w["near"])) \
+        .where((F.col("at") < F.col("start")) & (F.col("at") >= F.col("start") - F.col("room"))
+               & (F.col("at") > F.col("after"))) \
+        .select("conv", F.col("ww").alias("window"), F.lit(False).alias("new"), "at", "m")
+
+
 # ------------------------------------------------------------- reading it back
 
 def read_turns(formatted):

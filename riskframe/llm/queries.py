@@ -97,7 +97,8 @@ def _reputation_sql() -> str:
     h = host_reputation
     two = ", ".join(f"'{x}'" for x in h.TWO_LABEL_SUFFIXES)
     pattern = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-    last = lambda k: f"array_to_string(list_reverse(list_reverse(string_split(host, '.'))[1:{k}]), '.')"
+    last = lambda k: f"array_to_string(list_reverse(list_reverse(string_split(bare, '.'))[1:{k}]), '.')"
+    address = "regexp_matches(bare, '^[0-9.]+$') or starts_with(bare, '[')"
     fits = [f"when (host = '{r.split('/')[0]}' or host like '%.{r.split('/')[0]}') "
             f"and starts_with(path, '{r[r.index('/'):]}') then '{r}'"
             for r, _ in sorted(h.RULES, key=lambda r: -len(r[0]))]
@@ -119,31 +120,35 @@ def _reputation_sql() -> str:
 with parts as (
   select page_id, translate(coalesce(regexp_extract(url, '{pattern}', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz') as host, coalesce(regexp_extract(url, '{pattern}', 2), '') as path from pages),
+hosts as (select distinct host, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') as bare from parts),
 named as (
-  select *, case when {last(2)} in ({two}) then {last(3)} else {last(2)} end as domain,
-    case when {last(2)} in ({two}) then {last(2)} else {last(1)} end as suffix from parts),
-seen as (select named.*, case when quality = 0 or toxic = 1 then 1 else 0 end as bad
-  from named join labels on doc_id = page_id),
-host as (select host, domain, count(*) as n, sum(bad) as bad from seen group by all),
-domain as (select domain, suffix, count(*) as n, sum(bad) as bad from seen group by all),
-suffix as (select suffix, '' as root, count(*) as n, sum(bad) as bad from seen group by all),
+  select host, case when {address} then bare when {last(2)} in ({two}) then {last(3)} else {last(2)} end as domain,
+    case when {address} then bare when {last(2)} in ({two}) then {last(2)} else {last(1)} end as suffix from hosts),
+marked as (select host, case when quality = 0 or toxic = 1 then 1 else 0 end as bad
+  from parts join labels on doc_id = page_id),
+seen as (select named.*, m.host is not null as labelled, coalesce(bad, 0) as bad
+  from named left join marked m using (host)),
+host as (select host, domain, count_if(labelled) as n, sum(bad) as bad from seen group by all),
+domain as (select domain, suffix, count_if(labelled) as n, sum(bad) as bad from seen group by all),
+suffix as (select suffix, '' as root, count_if(labelled) as n, sum(bad) as bad from seen group by all),
 root as (select *, mean * (1 - mean) / (n + 3) as var from (
-  select '' as root, (coalesce(sum(bad), 0) + 1) / (count(*) + 2) as mean, count(*) as n from seen)),
+  select '' as root, (coalesce(sum(bad), 0) + 1) / (count_if(labelled) + 2) as mean, count_if(labelled) as n from seen)),
 {level('suffix', 'suffix', 'root', 'root')},
 {level('domain', 'domain', 'suffix', 'suffix_p')},
 {level('host', 'host', 'domain', 'domain_p')},
 known as (select host, n, mean - {h.BOUND_Z} * sqrt(var) as lower from host_p),
+bound as (select mean + {h.MARGIN} * (1 - mean) as least from root),
 ruled as (select *, case {' '.join(fits)} end as rule from parts)
 select page_id, host, path, rule,
-  coalesce(case rule {says} end, case when lower > {h.MAX_BAD} then 'block' else 'allow' end) as verdict,
-  cast(coalesce(n, 0) as bigint) as n_labelled
-from ruled left join known using (host)
+  coalesce(case rule {says} end, case when lower > least then 'block' else 'allow' end) as verdict,
+  cast(n as bigint) as n_labelled
+from ruled join known using (host), bound
 """
 
 
 @query("op5_host_reputation", _reputation_sql())
 def op5_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return host_reputation.url_filter(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    return host_reputation.url_filter(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")).drop("lower")
 
 
 # ------------------------------------------------------------ near-duplicates
@@ -170,12 +175,14 @@ r as (select source, weight * ((select sum(n) from n) / (select sum(weight) from
 steps as (select source, rate, k, exp(-rate + k * ln(rate) - lgamma(k + 1)) as p
   from r, unnest(range(0, cast(ceil(rate + 10 * sqrt(rate) + 20) as bigint) + 1)) as t(k)),
 cdf as (select source, k, sum(p) over (partition by source order by k) as c from steps),
-drawn as (select d.*, ('0x' || substr(md5('{MIX_SEED}|' || coalesce(cast(doc_id as varchar), 'null')), 1, 13))::bigint
-    / 4503599627370496.0 as u from documents d),
-times as (select d.doc_id, d.text, d.lang, d.source, d.n_chars, u,
-    (select count(*) from cdf where cdf.source is not distinct from d.source and c <= u) as t from drawn d)
+keyed as (select *, coalesce(cast(doc_id as varchar), 'null|' || digest || '|' || row_number() over (
+    partition by doc_id is null, digest)) as key from (
+  select *, md5(concat_ws('|', coalesce(cast(doc_id as varchar), ''), coalesce(text, ''), coalesce(lang, ''),
+    coalesce(source, ''), coalesce(cast(n_chars as varchar), ''))) as digest from documents) d),
+drawn as (select d.*, ('0x' || substr(md5('{MIX_SEED}|' || key), 1, 13))::bigint / 4503599627370496.0 as u from keyed d),
+times as (select d.*, (select count(*) from cdf where cdf.source is not distinct from d.source and c <= u) as t from drawn d)
 select doc_id, text, lang, source, n_chars, cast(k as int) as copy,
-  md5('{MIX_SEED}|shuffle|' || coalesce(cast(doc_id as varchar), 'null') || '|' || k) as shuffle_key
+  md5('{MIX_SEED}|shuffle|' || key || '|' || k) as shuffle_key
 from times, unnest(range(1, t + 1)) as x(k)
 """
 
@@ -205,27 +212,47 @@ def _escaped_length(text: str) -> str:
 def _chat_sql() -> str:
     c = chat_windows
     return f"""
-with turns as (
+with recursive turns as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
   union all select -1, 0, 'user', '{ATTACK}' union all select -1, 1, 'assistant', '{ATTACK}'),
-counted as (
-  select *, row_number() over o as place,
-    coalesce(sum(len(regexp_extract_all(text, '{c.PIECE}')) + {c.TURN_TOKENS}) over
-      (o rows between unbounded preceding and 1 preceding), 0) as pre,
+numbered as (
+  select *, row_number() over (partition by conv_id, block order by turn nulls first, role, text) as pos,
+    row_number() over o as place,
+    len(regexp_extract_all(text, '{c.PIECE}')) + {c.TURN_TOKENS} as tokens,
     {_escaped_length('text')} + case role when 'system' then 15 when 'user' then 13 when 'assistant' then 7
       else 15 + 2 * octet_length(encode(role)) end as chars
-  from turns window o as (partition by conv_id order by turn, role, text)),
-placed as (select *, floor(pre / {c.SPAN}) as own, role = 'system' and place = 1 as lead from counted),
-windows as (select conv_id, own, min(pre) as start from placed group by conv_id, own),
+  from (select *, floor(coalesce(turn, -1) / {c.BLOCK}) as block from turns) t
+  window o as (partition by conv_id order by turn nulls first, role, text)),
+leads as (select conv_id, block as lead_block, case when role = 'system' then tokens else 0 end as lead
+  from numbered where place = 1),
+counted as (
+  select n.*, (pos - 1) // {c.BLOCK} as part, (pos - 1) % {c.BLOCK} as i, lead,
+    coalesce(sum(tokens) over (partition by n.conv_id order by place rows between unbounded preceding and 1 preceding),
+      0) as pre, block = lead_block and pos <= {c.BLOCK} as begins
+  from numbered n join leads l on n.conv_id is not distinct from l.conv_id),
+walk(conv_id, block, part, i, w, used) as (
+  select conv_id, block, part, i, cast(0 as bigint), cast(tokens as bigint) from counted where i = 0
+  union all
+  select n.conv_id, n.block, n.part, n.i, case when fits then w else w + 1 end,
+    cast(case when fits then used + tokens else tokens end as bigint)
+  from (select n.*, k.w, k.used, k.used + n.tokens <= case when begins and k.w = 0 then {c.SPAN}
+      else {c.SPAN - c.HISTORY} - lead end as fits
+    from walk k join counted n on n.conv_id is not distinct from k.conv_id and n.block = k.block and n.part = k.part
+      and n.i = k.i + 1) n),
+placed as (select c.*, w from counted c join walk k on c.conv_id is not distinct from k.conv_id
+  and c.block = k.block and c.part = k.part and c.i = k.i),
+windows as (
+  select conv_id, block, part, w, min(pre) as start, any_value(lead) as lead,
+    least({c.HISTORY}, {c.SPAN} - any_value(lead) - sum(tokens)) as room from placed group by conv_id, block, part, w),
 shown as (
   select p.conv_id, p.chars from placed p join windows w on w.conv_id is not distinct from p.conv_id
-  where p.own = w.own or (p.lead and p.own < w.own)
-    or (not p.lead and p.own < w.own and floor((p.pre + {c.HISTORY}) / {c.SPAN}) >= w.own and p.pre >= w.start - {c.HISTORY})),
+  where (p.block = w.block and p.part = w.part and p.w = w.w)
+    or (w.start > 0 and p.pre < w.start and (p.pre >= w.start - w.room or (p.pre = 0 and p.lead > 0)))),
 chars as (select conv_id, sum(chars) as formatted_chars from shown group by conv_id),
 plain as (
   select conv_id, count(*) as n_turns,
-    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
-    sha256(coalesce(string_agg(case when role = 'assistant' then text end, '' order by turn, role, text), ''))
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+    sha256(coalesce(string_agg(case when role = 'assistant' then text end, '' order by turn nulls first, role, text), ''))
       as loss_sha256,
     coalesce(sum(case when role = 'assistant' then length(text) end), 0) as loss_chars
   from turns group by conv_id)

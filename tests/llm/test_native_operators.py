@@ -3,6 +3,7 @@ import math
 import random
 
 import pytest
+import regex as re
 from pyspark.sql import functions as F
 
 from riskframe.llm import chat_windows as cw
@@ -76,6 +77,22 @@ def test_mixing_odd_rows(spark, odd):
     assert mixing.mix_sources(odd.limit(0)).count() == 0
 
 
+def test_rows_without_id_are_drawn_one_by_one(spark, monkeypatch):
+    """Equal rows and different ones keep their expected number."""
+    monkeypatch.setattr(mixing, "NUMBERED_AT_ONCE", 64)
+    n = 5000
+    for text in (F.lit("same"), F.col("id").cast("string")):
+        docs = spark.range(n).select(F.lit(None).cast("long").alias("doc_id"), text.alias("text"), F.lit("s").alias("source"))
+        for seed in (1, 2, 3):
+            got = mixing.mix_sources(docs, seed=seed)
+            k = got.count()
+            assert abs(k - n) < 5 * math.sqrt(n)
+            assert got.select("shuffle_key").distinct().count() == k
+        docs = docs.unionByName(spark.range(100).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.lit("s").alias("source")))
+        a, b = (sorted(map(tuple, mixing.mix_sources(d, seed=7).collect()), key=repr) for d in (docs, docs.repartition(7)))
+        assert a == b
+
+
 # ------------------------------------------------------------------ reputation
 
 URLS = [(1, "http://WWW.Spam.Example.com/de/x?y#z"), (2, "https://a.example.net/en/1"), (3, "https://a.example.net/fr/1"),
@@ -121,6 +138,52 @@ def test_bad_hosts_are_blocked_and_small_ones_shrunk(spark):
     assert "Python" not in plan_of(got)
 
 
+def test_hosts_without_pages_back_off_to_domain_suffix_and_root(spark):
+    """At a rate of bad pages of 0.26: good hosts stay, bad ones go, new ones
+    are judged by what is known of their domain and suffix."""
+    pages, labels, k = [], [], 0
+    def add(host, n, bad):
+        nonlocal k
+        for i in range(max(n, 1)):
+            pages.append((k, f"http://{host}/p{i}"))
+            if n:
+                labels.append((k, 0 if i < bad else 1, 0))
+            k += 1
+    for i in range(30):
+        add(f"h{i}.site{i}.com", 40, 8 if i % 2 else 9)
+    for i in range(4):
+        add(f"w{i}.evil.com", 40, 38)
+    add("fine.com", 60, 15)
+    for host in ("new.evil.com", "user@new2.evil.com:8080", "new.fine.com", "new.site3.com", "unknown.org", "10.0.0.7", "a.co.uk"):
+        add(host, 0, 0)
+    got = hr.url_filter(spark.createDataFrame(pages, "page_id long, url string"),
+                        spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    by = {r["host"]: r for r in got.collect()}
+    root = (sum(1 for _, q, _ in labels if q == 0) + 1) / (len(labels) + 2)
+    assert 0.25 < root < 0.32
+    assert all(r["lower"] is not None for r in by.values())
+    blocked = {h for h, r in by.items() if r["verdict"] == "block"}
+    assert blocked == {"w0.evil.com", "w1.evil.com", "w2.evil.com", "w3.evil.com", "new.evil.com",
+                       "user@new2.evil.com:8080"}
+
+
+def test_names_and_addresses(spark):
+    rows = ["a.b.example.com", "u:p@a.b.example.com:443", "x.co.uk", "co.uk", "10.1.2.3:80", "[::1]", "com", ""]
+    df = spark.createDataFrame([(h,) for h in rows], "host string")
+    got = [tuple(r) for r in df.select(hr.domain_of(F.col("host")), hr.suffix_of(F.col("host"))).collect()]
+    assert got == [("example.com", "com")] * 2 + [("x.co.uk", "co.uk"), ("co.uk", "co.uk"), ("10.1.2.3", "10.1.2.3"),
+                                                  ("[::1]", "[::1]"), ("com", "com"), ("", "")]
+
+
+def test_empty_labels_and_clashing_names(spark):
+    pages = spark.createDataFrame([(1, "http://a.b/c", "z", 1.0, 5), (2, None, "z", 2.0, 5)],
+                                  "page_id long, url string, host string, lower double, bad int")
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int, host string")
+    assert {r["verdict"] for r in hr.url_filter(pages, none).collect()} == {"allow"}
+    marked = spark.createDataFrame([(1, 0, 0, "q"), (1, 1, 0, "q")], "doc_id long, quality int, toxic int, host string")
+    assert {r["page_id"]: r["n_labelled"] for r in hr.url_filter(pages, marked).collect()} == {1: 2, 2: 0}
+
+
 def test_reputation_odd_rows(spark):
     pages = spark.createDataFrame([(None, "http://a.b/c", "z"), (1, None, "z"), (1, None, "z")], "page_id long, url string, host string")
     labels = spark.createDataFrame([(1, None, None), (None, 0, 1)], "doc_id long, quality int, toxic int")
@@ -176,6 +239,64 @@ def test_windows_keep_system_and_limited_history(spark):
     assert new == [x for _, _, _, x in rows]
 
 
+PIECES = re.compile(cw.PIECE)
+
+
+def tokens(text):
+    return len(PIECES.findall(text)) + cw.TURN_TOKENS
+
+
+def brute_windows(rows, span, history, block):
+    """(windows of one conversation as (repeated turns, new turns)) by a plain loop."""
+    rows = sorted(((-1 if t is None else t // block, t is not None, t or 0, r or "", x or "") for t, r, x in rows))
+    system = rows[0][3:] if rows[0][3] == "system" else None
+    room = span - history - (tokens(system[1]) if system else 0)
+    windows, used, last = [], 0, None
+    for i, row in enumerate(rows):
+        place = sum(1 for o in rows[:i] if o[0] == row[0]) // block
+        n = tokens(row[4])
+        first = row[0] == rows[0][0] and place == 0 and len(windows) == 1
+        if not windows or (row[0], place) != last or used + n > (span if first else room):
+            windows.append([])
+            used = 0
+        windows[-1].append(i)
+        used += n
+        last = row[0], place
+    out = []
+    for w in windows:
+        new = [rows[i][3:] for i in w]
+        head = [] if system is None or not w[0] else [system]
+        left = min(history, span - sum(tokens(x) for _, x in [*head, *new]))
+        old, k = [], w[0] - 1
+        while k >= (1 if system else 0) and (left := left - tokens(rows[k][4])) >= 0:
+            old.insert(0, rows[k][3:])
+            k -= 1
+        out.append((head + old, new))
+    return out
+
+
+@pytest.mark.parametrize("span, history, block", [(60, 20, 128), (100, 0, 4), (90, 60, 5), (40, 40, 3), (1024, 256, 128)])
+def test_windows_match_a_plain_loop_and_keep_the_budget(spark, monkeypatch, span, history, block):
+    monkeypatch.setattr(cw, "BLOCK", block)
+    rng = random.Random(span + block)
+    rows = conversations(rng) + [(99, rng.choice([None, 3, 4]), "user", f"text {i} " * 3) for i in range(40)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = cw.format_windows(df, span=span, history=history).withColumn("read", cw.read_turns(F.col("formatted"))).collect()
+    several = 0
+    for c in {r[0] for r in rows}:
+        want = brute_windows([r[1:] for r in rows if r[0] == c], span, history, block)
+        mine = sorted((r for r in got if r["conv_id"] == c), key=lambda r: r["window"])
+        assert [r["window"] for r in mine] == list(range(len(want)))
+        for r, (old, new) in zip(mine, want):
+            read = [(t["role"], t["text"]) for t in r["read"]]
+            assert read == old + new and r["n_repeated"] == len(old)
+            size = sum(tokens(x) for _, x in read)
+            system = tokens(old[0][1]) if old and old[0][0] == "system" and r["window"] else 0
+            assert size <= span or len(new) == 1 and system + tokens(new[0][1]) > span
+        several += len(want) > 1
+    assert several or span == 1024
+
+
 def test_chat_odd_rows(spark):
     df = spark.createDataFrame([(None, None, None, None, 1), (1, 5, "user", "a", 1), (1, 5, "user", "a", 1), (1, None, "assistant", "b", 1)],
                                "conv_id long, turn long, role string, text string, window int")
