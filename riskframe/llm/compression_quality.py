@@ -2,13 +2,13 @@
 
 One zstandard dictionary is built from text labelled good and one from text
 labelled bad.  A text that shrinks more with the good one is likely good: the
-difference of the compressed sizes, per byte and per compressed byte, together
-with how far the text shrinks on its own, becomes a probability by logistic
-calibration on labelled rows that the dictionaries have not seen.
+difference of the compressed sizes per byte of text becomes a probability by
+logistic calibration on labelled rows that the dictionaries have not seen.
+Nothing else of the text enters the score.
 
-Fitting reads a bounded sample (``DICTIONARY_ROWS`` per class, one piece of at
-most ``PIECE`` bytes of each; ``CALIBRATION_ROWS``); scoring reads every whole
-text.  Rows of the held-out fold never take part in fitting.
+Fitting reads a bounded sample (``DICTIONARY_ROWS`` ids per class, one piece of
+at most ``PIECE`` bytes of each; ``CALIBRATION_ROWS`` ids) in one scan; scoring
+reads every whole text.  Rows of the held-out fold never take part in fitting.
 """
 
 from __future__ import annotations
@@ -18,56 +18,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskframe.llm.common import map_texts
+from riskframe.llm.common import map_texts, scratch_table
 
-DICTIONARY_ROWS, PIECE, DICTIONARY_BYTES = 3000, 2048, 112_640
-CALIBRATION_ROWS, LEVEL, CUT = 12_000, 3, 0.7
+DICTIONARY_ROWS, PIECE = 1024, 1024         # a dictionary of at most 1 MB per class
+CALIBRATION_ROWS, LEVEL, CUT = 12_000, 6, 0.7
 FOLDS, HELD_OUT, CALIBRATION = 4, 2, 3
-SIZES = [T.StructField(c, T.LongType()) for c in ("__n", "__plain", "__good", "__bad")]
+#: Bytes added to a text's length, so that few bytes do not make a large difference.
+SMOOTHING = 64
+SIZES = [T.StructField(c, T.LongType()) for c in ("__n", "__good", "__bad")]
 
 
 def fold(id_col):
     return F.pmod(F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS))
 
 
-def build_dictionary(pieces: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
-    """A trained dictionary, or the pieces themselves where they are too few."""
-    import zstandard
-    if sum(map(len, pieces)) >= 8 * size:
-        try:
-            return zstandard.train_dictionary(size, pieces, level=LEVEL).as_bytes()
-        except zstandard.ZstdError:
-            pass
-    return b"".join(pieces)[-size:]
-
-
 def compressed_sizes(dictionaries: tuple[bytes, bytes]):
-    """texts -> (bytes, compressed alone, with the good, with the bad one)."""
+    """texts -> (bytes, compressed with the good dictionary, with the bad one)."""
     state: list = []
 
-    def make(d: bytes | None):
+    def make(d: bytes):
         import zstandard
-        given = {"dict_data": zstandard.ZstdCompressionDict(d)} if d else {}
+        given = {"dict_data": zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT)} if d else {}
         return zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False,
                                         write_dict_id=False, **given).compress
 
     def fn(texts):
         if not state:
-            state.extend(make(d) for d in (None, *dictionaries))
+            state.extend(make(d) for d in dictionaries)
         return [[len(t or b"") for t in texts], *[[len(c(t or b"")) for t in texts] for c in state]]
     return fn
 
 
-def features(n, plain, good, bad) -> np.ndarray:
-    """Intercept, the difference in both normalisations, and the text's own
-    ratio with its bends."""
-    n, plain, good, bad = (np.asarray(x, np.float64) for x in (n, plain, good, bad))
-    diff, rel = (bad - good) / (n + 16), (bad - good) / (bad + good + 16)
-    own = np.minimum(plain / (n + 16), 1.0)
-    dense = np.maximum(0.35 - own, 0)
-    size = np.log1p(n) / 10
-    return np.stack([np.ones_like(n), 10 * diff, 10 * rel, np.clip(100 * diff, -3, 3), own, 10 * dense, size,
-                     10 * diff * size], axis=1)
+def features(n, good, bad) -> np.ndarray:
+    """Intercept and the difference of the compressed sizes per 100 bytes."""
+    n, good, bad = (np.asarray(x, np.float64) for x in (n, good, bad))
+    return np.stack([np.ones_like(n), 100 * (bad - good) / (n + SMOOTHING)], axis=1)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 50) -> np.ndarray:
@@ -91,30 +76,42 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality"):
-    """((good, bad) dictionaries, weights) from the folds that are not held out."""
-    marks = labels.select(labels[id_col].alias("__id"), labels[label_col].cast("int").alias("__y")) \
-        .where("__y in (0, 1) and __id is not null").withColumn("__fold", fold(F.col("__id"))) \
-        .where(F.col("__fold") != HELD_OUT).withColumn("__order", F.xxhash64(F.lit(17), "__id")) \
-        .dropDuplicates(["__id"])
-
-    def chosen(which, rows):
-        # at most ``rows`` ids: bounded by the parameter, so they are broadcast
-        ids = marks.where(which).orderBy("__order", "__id").limit(rows)
-        base = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-        return base.join(F.broadcast(ids), base["id"] == ids["__id"]).where("text is not null")
-
-    def pieces(y):
-        got = chosen((F.col("__y") == y) & (F.col("__fold") != CALIBRATION), DICTIONARY_ROWS)
-        raw = got.select("id", F.col("text").cast("binary").alias("b"))
-        start = F.pmod(F.xxhash64(F.lit(23), "id"), F.greatest(F.octet_length("b") - PIECE + 1, F.lit(1)))
-        rows = raw.select("id", F.substring("b", start.cast("int") + 1, F.lit(PIECE)).alias("p")).collect()
-        return [bytes(r["p"]) for r in sorted(rows, key=lambda r: (r["id"], bytes(r["p"])))]
-
-    dictionaries = build_dictionary(pieces(1)), build_dictionary(pieces(0))
-    seen = map_texts(chosen(F.col("__fold") == CALIBRATION, CALIBRATION_ROWS), compressed_sizes(dictionaries), SIZES,
-                     "text", ["id", "__y"])
+    """((good, bad) dictionaries, weights) from the folds that are not held out.
+
+    An id with labels of both kinds is left out; of several texts of one id
+    the least is taken, so that the fit is the same in every run and reads at
+    most one text of each chosen id.
+    """
+    y = labels[label_col].cast("int")
+    marks = labels.where(y.isin(0, 1) & labels[id_col].isNotNull()).groupBy(labels[id_col].alias("__id")) \
+        .agg(F.min(y).alias("__y"), F.max(y).alias("__most")).where("__y = __most") \
+        .withColumn("__fold", fold(F.col("__id"))).where(F.col("__fold") != HELD_OUT) \
+        .withColumn("__order", F.xxhash64(F.lit(17), "__id"))
+
+    def chosen(part, where, rows):
+        return marks.where(where).orderBy("__order", "__id").limit(rows) \
+            .select("__id", "__y", F.lit(part).alias("__part"))
+
+    calibration = F.col("__fold") == CALIBRATION
+    # at most 2 * DICTIONARY_ROWS + CALIBRATION_ROWS ids: broadcast, so the texts are scanned once
+    ids = chosen(1, ~calibration & (F.col("__y") == 1), DICTIONARY_ROWS) \
+        .unionByName(chosen(0, ~calibration & (F.col("__y") == 0), DICTIONARY_ROWS)) \
+        .unionByName(chosen(2, calibration, CALIBRATION_ROWS))
+    base = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
+    texts = scratch_table(base.join(F.broadcast(ids), base["id"] == ids["__id"]).where("text is not null")
+                          .groupBy("id", "__y", "__part").agg(F.min("text").alias("text")), "quality-sample")
+    raw = texts.where(F.col("__part") != 2).select("id", "__part", F.col("text").cast("binary").alias("b"))
+    start = F.pmod(F.xxhash64(F.lit(23), "id"), F.greatest(F.octet_length("b") - PIECE + 1, F.lit(1)))
+    pieces = raw.select("__part", "id", F.substring("b", start.cast("int") + 1, F.lit(PIECE)).alias("p")).collect()
+
+    def dictionary(part):
+        rows = sorted(((r["id"], bytes(r["p"])) for r in pieces if r["__part"] == part))
+        return b"\n".join(p for _, p in rows)
+
+    dictionaries = dictionary(1), dictionary(0)
+    seen = map_texts(texts.where(F.col("__part") == 2), compressed_sizes(dictionaries), SIZES, "text", ["id", "__y"])
     rows = sorted(tuple(r) for r in seen.collect())
-    table = np.array([r[1:] for r in rows], np.float64).reshape(-1, 5)
+    table = np.array([r[1:] for r in rows], np.float64).reshape(-1, 4)
     return dictionaries, fit_logistic(features(*table[:, 1:].T), table[:, 0])
 
 
@@ -126,7 +123,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     A null text is an empty one, and an empty text gets the score of its
     (empty) compressed sizes.  Without labels of both kinds every score is the
     same.  A null id is in the fold of the empty string.  Repeated rows are
-    scored each.
+    scored each; an id with labels of both kinds teaches nothing.
     """
     dictionaries, weights = fit(docs, labels, id_col, text_col, label_col)
     sizes = compressed_sizes(dictionaries)

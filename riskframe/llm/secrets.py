@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.llm.bpe import VOCABULARY, encoding
+from riskframe.llm.decontaminate import merge_spans
 from riskframe.llm.common import map_texts, sha_of
 from riskframe.llm.words import char_starts
 
@@ -116,13 +117,17 @@ def find_secrets(text: bytes | None, path: str = VOCABULARY, most: float = MAX_E
     if not text:
         return []
     spans = base_spans(text)
-    covered = sorted((s, e) for s, _, e in spans)
-    for m in _RUN.finditer(text):
+    covered, at = merge_spans((s, e) for s, _, e in spans), 0
+    for m in _RUN.finditer(text):             # both lists rise, so each is walked once
         s, end = m.span()
-        for a, b in [*(x for x in covered if x[0] < end and s < x[1]), (end, end)]:
+        while at < len(covered) and covered[at][1] <= s:
+            at += 1
+        k = at
+        while s < end:
+            a, b = covered[k] if k < len(covered) and covered[k][0] < end else (end, end)
             if s < a:
                 spans += [(x, 3, y) for x, y in _random_parts(text[s:a], s, path, most)]
-            s = max(s, b)
+            s, k = b, k + 1
     if not spans:
         return []
     if not text.isascii():

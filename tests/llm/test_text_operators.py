@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -204,3 +205,86 @@ def test_classifier_odd_rows(spark, odd):
     assert len(rows) == 9 and all(0 <= r["score"] <= 1 for r in rows)
     assert len({r["score"] for r in cq.score_quality(odd, spark.createDataFrame([], schema)).collect()}) == 1
     assert cq.score_quality(odd.limit(0), spark.createDataFrame([], schema)).count() == 0
+
+
+def plain_scores(rows, labels):
+    """op3 by a direct zstandard loop, for texts of at most one piece."""
+    import zlib
+    import zstandard
+    fold = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 4
+    kinds = {}
+    for i, y in labels:
+        if i is not None and y in (0, 1):
+            kinds.setdefault(i, set()).add(y)
+    marks = {i: y.pop() for i, y in kinds.items() if len(y) == 1 and fold(i) != 2}
+    text = {}
+    for i, t in rows:
+        if t is not None and i in marks:
+            text[i] = min(text.get(i, t), t)
+    shrink = []
+    for y in (1, 0):
+        d = b"\n".join(text[i].encode() for i in sorted(text) if marks[i] == y and fold(i) != 3)
+        d = zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        shrink.append(zstandard.ZstdCompressor(level=6, dict_data=d, write_content_size=False, write_checksum=False,
+                                               write_dict_id=False).compress)
+
+    def difference(t):
+        b = (t or "").encode()
+        return 100 * (len(shrink[1](b)) - len(shrink[0](b))) / (len(b) + 64)
+    x = np.array([difference(text[i]) for i in sorted(text) if fold(i) == 3])
+    y = np.array([marks[i] for i in sorted(text) if fold(i) == 3], float)
+    a = b = 0.0
+    for _ in range(20_000):                         # plain gradient steps
+        p = 1 / (1 + np.exp(-(a + b * x)))
+        a, b = a - 0.05 * (p - y).mean(), b - 0.05 * (((p - y) @ x + 0.01 * b) / len(y)) / max(1, (x * x).mean())
+    return [1 / (1 + math.exp(-min(max(a + b * difference(t), -30), 30))) for _, t in rows]
+
+
+def test_scores_match_a_direct_loop(spark, docs_of):
+    rng = random.Random(8)
+    good, bad = ("river stone morning letter garden window music".split(), "buy click free win $$$ now!!! http".split())
+    rows = []
+    for i in range(400):
+        kind = good if rng.random() < 0.6 else bad
+        mixed = kind if rng.random() < 0.8 else good + bad
+        rows.append((i, " ".join(rng.choice(mixed) for _ in range(rng.randrange(3, 40)))))
+    labels = [(i, int(t.split()[0] in good)) for i, t in rows] + [(7, 0), (7, 1), (None, 1), (8, None), (9, 5)]
+    rows += [(1000, ""), (1001, None), (5, "a second text of id 5"), (None, "no id")]
+    df = spark.createDataFrame([(i, y, 0) for i, y in labels], "doc_id long, quality int, toxic int")
+    got = cq.score_quality(docs_of(rows), df).collect()
+    want = sorted(zip([i is None for i, _ in rows], [i or 0 for i, _ in rows], plain_scores(rows, labels)))
+    mine = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["score"]) for r in got)
+    assert len(mine) == len(want)
+    assert all(a[:2] == b[:2] and abs(a[2] - b[2]) < 2e-3 for a, b in zip(mine, want))
+    # the order of the rows and conflicting labels make no difference
+    again = cq.score_quality(docs_of(rows[::-1]), df.orderBy(F.rand(3))).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["score"]) for r in again) == mine
+
+
+def test_spans_are_walked_once():
+    import time
+    rng = random.Random(9)
+    key = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    text = " ".join(key(32) + rng.choice(["", "-x", "/token=" + key(9)]) for _ in range(20_000))
+    begin = time.monotonic()
+    spans = sec.find_secrets(text.encode())
+    assert len(spans) >= 20_000 and time.monotonic() - begin < 5
+
+
+def test_random_spans_match_runs_cut_at_base_spans():
+    """Every random span lies in a run outside of base spans and is found again
+    when its uncovered stretch is scanned alone."""
+    rng = random.Random(10)
+    for text in secret_texts(rng):
+        text = (text or "") + " " + "".join(rng.choice("abcdefXYZ0189+/_=-") for _ in range(60))
+        spans = sec.find_secrets(text.encode())
+        base = sorted((s, e) for k, s, e in spans if k != "random")
+        want = []
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{16,}", text):
+            free = [i for i in range(*m.span()) if not any(s <= i < e for s, e in base)]
+            while free:
+                n = next((k for k in range(1, len(free)) if free[k] != free[k - 1] + 1), len(free))
+                part = text[free[0]:free[0] + n]
+                want += [(free[0] + s, free[0] + e) for k, s, e in sec.find_secrets(part.encode()) if k == "random"]
+                free = free[n:]
+        assert [(s, e) for k, s, e in spans if k == "random"] == want
