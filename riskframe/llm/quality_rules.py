@@ -2,7 +2,10 @@
 
 One pass over the texts gives the rule statistics.  The forest grows random
 splits over a bounded sample of them; a text that few splits set apart has a
-short path and a high anomaly score.  The cut is calibrated on labelled rows of
+short path and a high anomaly score.  Statistics vary among good texts too, so
+forests are also grown over how far a statistic lies outside of the range that
+all but a small share of the rows labelled good keep to (``SHARES_OUTSIDE``);
+the forest that tells the labelled rows apart best is taken.  The cut is calibrated on labelled rows of
 both kinds: the best balanced accuracy at which at most ``balanced_loss`` of
 the rows labelled good are lost.  Without rows labelled bad it is the lowest
 score above which at most ``max_good_loss`` of the good ones would be lost.
@@ -28,6 +31,11 @@ MAX_GOOD_LOSS = 0.002
 #: Bound on the good rows lost where labelled bad rows show what the cut catches.
 BALANCED_LOSS = 0.05
 BINS = 10_000
+#: Shares of the good rows below and above the ranges that are tried (None: the
+#: statistics themselves, first of equals), steps of the statistics in which
+#: ranges are found, least width of a range, and most widths outside of one.
+SHARES_OUTSIDE = (None, 0.05, 0.005)
+RANGE_STEP, LEAST_WIDTH, MOST_WIDTHS = 1e-4, 0.01, 50.0
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 FEATURES = ["symbol_share", "dup_line_share", "repeat_share", "upper_share", "digit_share",
             "punct_share", "word_length", "type_share"]
@@ -155,8 +163,29 @@ def anomaly(forest: dict, x: np.ndarray) -> np.ndarray:
     return 2.0 ** (-forest["path"][at].mean(1) / forest["norm"])
 
 
+def ranges_of(counts: list[dict[int, int]], share: float) -> tuple[np.ndarray, np.ndarray]:
+    """Per statistic, the steps between which all rows but ``share`` at either
+    end lie; ``counts`` has the rows of every step."""
+    low, high = [], []
+    for steps in counts:
+        at = sorted(steps)
+        n = np.cumsum([steps[b] for b in at])
+        low.append(at[int(np.searchsorted(n, share * n[-1], side="right"))] * RANGE_STEP)
+        high.append((at[int(np.searchsorted(n, (1 - share) * n[-1], side="left"))] + 1) * RANGE_STEP)
+    return np.array(low), np.array(high)
+
+
+def outside(x: np.ndarray, ranges: tuple[np.ndarray, np.ndarray] | None) -> np.ndarray:
+    """Logarithm of 1 + the widths of the range that a statistic lies outside of it."""
+    if ranges is None or not len(x):
+        return x
+    low, high = ranges
+    far = np.maximum(np.maximum(low - x, x - high), 0) / np.maximum(high - low, LEAST_WIDTH)
+    return np.log1p(np.minimum(far, MOST_WIDTHS))
+
+
 def _scores(forest: dict, values, block: int = 2048) -> np.ndarray:
-    x = np.array(values, np.float64).reshape(-1, len(FEATURES))
+    x = outside(np.array(values, np.float64).reshape(-1, len(FEATURES)), forest.get("ranges"))
     return np.concatenate([anomaly(forest, x[i:i + block]) for i in range(0, len(x), block)] or [np.zeros(0)])
 
 
@@ -165,10 +194,12 @@ def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
         balanced_loss: float = BALANCED_LOSS, seed: int = 7):
     """(forest, threshold) from a table of rule statistics.
 
-    The forest sees the ``sample_rows`` rows of lowest id hash that pass the
-    base rules; the threshold sees every labelled row, through a histogram of
-    ``BINS`` scores for each label.  Without rows labelled good nothing is
-    rejected (threshold 1); a row with both labels counts for both.
+    The forests see the ``sample_rows`` rows of lowest id hash that pass the
+    base rules; ranges and threshold see every labelled row, through counts of
+    steps and a histogram of ``BINS`` scores for each label.  Without rows
+    labelled good nothing is rejected (threshold 1); without rows labelled bad
+    the forest is that of the statistics themselves; a row with both labels
+    counts for both.
     """
     fine = stats.where(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
     # twice the rows wanted lie below this hash, so each task sends its few of them, not a full sample
@@ -182,16 +213,31 @@ def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
     sample = lowest(fine.where(order <= below))
     if len(sample) < min(n, sample_rows):        # ids that repeat can leave fewer there
         sample = lowest(fine)
-    forest = grow_forest(np.array([r[0] for r in sample], np.float64).reshape(-1, len(FEATURES)), seed=seed)
+    x = np.array([r[0] for r in sample], np.float64).reshape(-1, len(FEATURES))
     marks = labels.where(F.col(label_col).isin(0, 1)).select(
         F.col(id_col).alias("__id"), (F.col(label_col) == 1).alias("__good")).distinct()
-    known = fine.select(id_col, "features").join(marks, F.col(id_col) == F.col("__id"))
-    hist = score_rows(known, forest, ["__good"]).groupBy(
-        "__good", F.floor(F.col("anomaly") * BINS).cast("int").alias("bin")).count().collect()
-    good, bad = ({r["bin"]: r["count"] for r in hist if r["__good"] == k} for k in (True, False))
-    if bad:
-        return forest, balanced_threshold(good, bad, balanced_loss)
-    return forest, threshold_of(good, max_good_loss)
+    known = fine.select(id_col, "features").join(marks, F.col(id_col) == F.col("__id")).select("__good", "features")
+    if labels.limit(1).count():
+        known = scratch_table(known, "labelled-rules")
+    seen = {r["__good"] for r in known.select("__good").distinct().collect()}
+    tried = [None]
+    if len(seen) == 2:
+        rows = known.where("__good").select(F.posexplode("features").alias("i", "v")) \
+            .groupBy("i", F.floor(F.col("v") / RANGE_STEP).alias("step")).count().collect()
+        counts = [{r["step"]: r["count"] for r in rows if r["i"] == i} for i in range(len(FEATURES))]
+        tried = [None if share is None else ranges_of(counts, share) for share in SHARES_OUTSIDE]
+    forests = [grow_forest(outside(x, r), seed=seed) | {"ranges": r} for r in tried]
+    hist = score_rows(known, forests, ["__good"]).select("__good", F.posexplode("anomaly").alias("forest", "score")) \
+        .groupBy("__good", "forest", F.floor(F.col("score") * BINS).cast("int").alias("bin")).count().collect()
+
+    def bins(k, is_good):
+        return {r["bin"]: r["count"] for r in hist if r["forest"] == k and r["__good"] == is_good}
+
+    if len(seen) < 2:
+        return forests[0], threshold_of(bins(0, True), max_good_loss)
+    judged = [balanced_threshold(bins(k, True), bins(k, False), balanced_loss) for k in range(len(forests))]
+    best = max(range(len(forests)), key=lambda k: judged[k][1])
+    return forests[best], judged[best][0]
 
 
 def threshold_of(hist: dict[int, int], max_good_loss: float) -> float:
@@ -206,14 +252,14 @@ def threshold_of(hist: dict[int, int], max_good_loss: float) -> float:
     return 0.0
 
 
-def balanced_threshold(good: dict[int, int], bad: dict[int, int], max_good_loss: float) -> float:
-    """Upper edge of the bin above which the share of bad rows most exceeds
-    that of good ones, of the edges above which at most the given share of
-    good rows lies; of equals the highest."""
+def balanced_threshold(good: dict[int, int], bad: dict[int, int], max_good_loss: float) -> tuple[float, float]:
+    """(upper edge of the bin above which the share of bad rows most exceeds
+    that of good ones, by how much), of the edges above which at most the given
+    share of good rows lies; of equals the highest."""
     n_good, n_bad = sum(good.values()), sum(bad.values())
     best, cut, lost, caught = 0.0, 1.0, 0, 0
     if not n_good:
-        return cut
+        return cut, best
     for b in sorted(good.keys() | bad.keys(), reverse=True):
         if lost > max_good_loss * n_good:
             break
@@ -221,22 +267,25 @@ def balanced_threshold(good: dict[int, int], bad: dict[int, int], max_good_loss:
             best, cut = caught / n_bad - lost / n_good, (b + 1) / BINS
         lost += good.get(b, 0)
         caught += bad.get(b, 0)
-    return cut
+    return cut, best
 
 
-def score_rows(stats: DataFrame, forest: dict, carry: list[str]) -> DataFrame:
-    """Add ``anomaly`` to rows with ``features`` (Arrow batches, no shuffle)."""
+def score_rows(stats: DataFrame, forests: list[dict], carry: list[str]) -> DataFrame:
+    """Add ``anomaly``, one score for each of the forests, to rows with
+    ``features`` (Arrow batches, no shuffle)."""
     src = stats.select(*[stats[c] for c in carry], "features")
-    schema = T.StructType(list(src.schema.fields[:-1]) + [T.StructField("anomaly", T.DoubleType())])
+    kind = T.ArrayType(T.DoubleType())
+    schema = T.StructType(list(src.schema.fields[:-1]) + [T.StructField("anomaly", kind)])
 
     def run(batches):
         import pyarrow as pa
         for b in batches:
-            s = _scores(forest, b.column(b.num_columns - 1).flatten().to_numpy(zero_copy_only=False))
+            values = b.column(b.num_columns - 1).flatten().to_numpy(zero_copy_only=False)
+            scores = np.stack([_scores(f, values) for f in forests], axis=1)
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], pa.array(s)],
+                [*b.columns[:-1], pa.array(list(scores), pa.list_(pa.float64()))],
                 schema=pa.schema([b.schema.field(i) for i in range(b.num_columns - 1)]
-                                 + [pa.field("anomaly", pa.float64())]))
+                                 + [pa.field("anomaly", pa.list_(pa.float64()))]))
     return src.mapInArrow(run, schema)
 
 
@@ -250,7 +299,7 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     """
     stats = scratch_table(rule_statistics(docs, [id_col], text_col), "rules")
     forest, cut = fit(stats, labels, id_col, **options)
-    got = score_rows(stats, forest, [id_col, *COUNTS])
+    got = score_rows(stats, [forest], [id_col, *COUNTS]).withColumn("anomaly", F.col("anomaly")[0])
     return got.withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words"))) \
         .withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") <= cut))
 

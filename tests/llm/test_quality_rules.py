@@ -72,11 +72,11 @@ def test_threshold_loses_at_most_the_given_share():
 
 def test_balanced_cut_weighs_both_labels():
     good, bad = {100: 900, 200: 60, 300: 40}, {150: 2, 250: 50, 350: 10}
-    assert q.balanced_threshold(good, bad, 0.05) == 201 / q.BINS      # 60 of 62 for 40 of 1000
-    assert q.balanced_threshold(good, bad, 0.2) == 201 / q.BINS       # the last 2 are not worth 60 more
-    assert q.balanced_threshold(good, bad, 0.03) == 301 / q.BINS
-    assert q.balanced_threshold({300: 9}, {100: 9}, 0.05) == 1.0      # nothing gained, nothing rejected
-    assert q.balanced_threshold({}, bad, 0.05) == 1.0
+    assert q.balanced_threshold(good, bad, 0.05)[0] == 201 / q.BINS      # 60 of 62 for 40 of 1000
+    assert q.balanced_threshold(good, bad, 0.2)[0] == 201 / q.BINS       # the last 2 are not worth 60 more
+    assert q.balanced_threshold(good, bad, 0.03)[0] == 301 / q.BINS
+    assert q.balanced_threshold({300: 9}, {100: 9}, 0.05)[0] == 1.0      # nothing gained, nothing rejected
+    assert q.balanced_threshold({}, bad, 0.05)[0] == 1.0
 
 
 def prose(rng, n):
@@ -111,6 +111,34 @@ def test_most_labelled_bad_rows_go_at_the_production_values(spark, docs_of):
     assert sum(got[i] for i in range(400, 430)) <= 0.2 * 30
 
 
+def test_ranges_hold_all_but_the_share():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=2000).round(4) + 5
+    steps = {}
+    for v in x:
+        k = int(np.floor(v / q.RANGE_STEP))
+        steps[k] = steps.get(k, 0) + 1
+    low, high = q.ranges_of([steps], 0.01)
+    assert (x < low[0]).sum() <= 20 and (x > high[0]).sum() <= 20
+    assert (x < low[0] + 2 * q.RANGE_STEP).sum() + 5 >= 20
+    far = q.outside(np.array([[low[0]], [high[0]], [high[0] + 1], [1e9]]), (low, high)).ravel()
+    assert far[0] == far[1] == 0 < far[2] < far[3] == np.log1p(q.MOST_WIDTHS)
+    assert q.outside(x[:, None], None) is not None and np.array_equal(q.outside(x[:, None], None), x[:, None])
+
+
+def test_few_good_rows_are_lost_where_statistics_vary(spark, docs_of):
+    """Good rows of varying style stay; bad ones break one rule only."""
+    rng = random.Random(12)
+    good = [prose(rng, rng.randrange(60, 500)) + rng.choice(["", " A. B, c!", " 123 45", "\nx\nx"]) for _ in range(600)]
+    junk = [prose(rng, 100) + " #%" * rng.randrange(20, 60) + prose(rng, 50) for _ in range(60)]
+    rows = [(i, 1, 0) for i in range(0, 600, 2)] + [(i, 0, 0) for i in range(600, 660, 2)]
+    got = {r["doc_id"]: r for r in q.quality_rules(
+        docs_of(good + junk), spark.createDataFrame(rows, "doc_id long, quality int, toxic int")).collect()}
+    kept = lambda ids: [got[i]["kept"] for i in ids if not got[i]["base_failed"]]
+    assert sum(kept(range(600))) >= 0.97 * len(kept(range(600)))
+    assert sum(kept(range(600, 660))) <= 0.1 * len(kept(range(600, 660))) + 1
+
+
 def test_the_sample_is_the_rows_of_lowest_hash(spark):
     from pyspark.sql import functions as F
     for ids in (F.col("id"), F.lit(3)):
