@@ -129,3 +129,47 @@ def drift_alerts(spark, sf_dir):
     cur = scored(spark, sf_dir).where(drift_side() == "cur")
     perf = M.auc(cur, "label", "score")
     return D.alerts(summary, perf)
+
+
+_MONTH_CTES = [
+    "ML as (" + " union all ".join(
+        f"select cast(month(admit_ts) as int) as month, '{f}' as feature, cast({f} as double) as value, "
+        f"case when year(admit_ts) = 1998 then 1 else 0 end as cur from E where year(admit_ts) in (1997, 1998)"
+        for f in FEATURES) + ")",
+    "MV as (select month, feature, value, sum(1 - cur) as a, sum(cur) as b from ML "
+    "where value is not null and not isnan(value) group by 1, 2, 3)",
+    "MC as (select *, sum(a) over w as ca, sum(b) over w as cb, sum(a) over (partition by month, feature) as n, "
+    "sum(b) over (partition by month, feature) as m from MV "
+    "window w as (partition by month, feature order by value rows between unbounded preceding and current row))",
+    "MD as (select month, feature, cast(any_value(n) as bigint) as n, cast(any_value(m) as bigint) as m, "
+    "cast(max(abs(ca * m - cb * n)) as bigint) as bound, max(abs(ca / n - cb / m)) as d from MC group by 1, 2 "
+    "having count_if(a > 0) > 1 and count_if(b > 0) > 1)",
+    # the walk: probability per i of having met nothing after s steps, and of having met the bound
+    "WK as (select month, feature, n, m, bound, cast(0 as bigint) as s, [1.0::double] || "
+    "list_transform(range(0, n), lambda i: 0.0::double) as q, 0.0::double as met from MD where greatest(n, m) <= 10000 union all "
+    "select month, feature, n, m, bound, s + 1, list_transform(range(0, n + 1), lambda i: "
+    "case when s + 1 - i not between 0 and m or abs(i * m - (s + 1 - i) * n) >= bound then 0.0 else z[i + 1] end), "
+    "met + list_sum(list_transform(range(0, n + 1), lambda i: "
+    "case when s + 1 - i between 0 and m and abs(i * m - (s + 1 - i) * n) >= bound then z[i + 1] else 0.0 end)) from "
+    "(select *, list_transform(range(0, n + 1), lambda i: (q[i + 1] * greatest(m - s + i, 0) + "
+    "case when i = 0 then 0.0 else q[i] * (n - i + 1) end) / (n + m - s)) as z from WK where s < n + m) w)",
+    "MP as (select MD.*, case when greatest(MD.n, MD.m) <= 10000 then case when MD.bound = 0 then 1.0 else least(met, 1.0) end "
+    "when lam < 0.2 then 1.0 else least(greatest(2 * list_sum(list_transform(range(1, 101), lambda k: "
+    "(case when k % 2 = 1 then 1.0 else -1.0 end) * exp(-2.0 * k * k * lam * lam))), 0.0), 1.0) end as p_value from "
+    "(select *, sqrt(cast(n as double) * m / (n + m)) * d as lam from MD) MD "
+    "left join WK on WK.month = MD.month and WK.feature = MD.feature and WK.s = MD.n + MD.m)"]
+
+
+@R.add("drift_monthly", ["AGG20", "AGG21", "FLT3"], sql_e(
+    "select month, feature, round(d, 6) as ks_statistic, round(p_value, 6) as p_value, p_value < 0.05 as is_drift from MP",
+    _MONTH_CTES).replace("with ", "with recursive ", 1))
+def drift_monthly(spark, sf_dir):
+    """Every month of 1998 against the same month of 1997, with exact p-values
+    up to 10,000 admissions a month."""
+    e = encounters(spark, sf_dir).where(F.year("admit_ts").isin(1997, 1998))
+    long = (e.select(F.month("admit_ts").alias("month"),
+                     F.when(F.year("admit_ts") == 1998, "cur").otherwise("ref").alias("side"),
+                     *[F.col(c).cast("double").alias(c) for c in FEATURES])
+             .unpivot(["month", "side"], FEATURES, "feature", "value"))
+    pf = D.ks_drift(long, by=["month"], method="auto")
+    return pf.select("month", "feature", r6("ks_statistic").alias("ks_statistic"), r6("p_value").alias("p_value"), "is_drift")
