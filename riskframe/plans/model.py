@@ -124,6 +124,41 @@ def top_k_features(spark, sf_dir):
     return SEL.k_best(_mi(spark, sf_dir), 40).select("feature", r6("mi").alias("mi"))
 
 
+_KMI_SQL = [
+    "LN as (" + " union all ".join(
+        f"select '{f}' as feature, cast({f} as double) as value, label as y from TRN" for f in MI_FEATURES) + ")",
+    "UC as (select feature, y, cast(round(value / 1e-6) as bigint) as u, count(*) as n from LN "
+    "where value is not null group by 1, 2, 3)",
+    "UR as (select *, row_number() over (partition by feature, y order by u) as rn, "
+    "sum(n) over (partition by feature, y) as nc from UC)",
+    # the k-th other row among the k distinct values on either side
+    "ND as (select a.feature, a.y, a.u, a.n, a.nc, least(3, a.nc - 1) as k, abs(b.u - a.u) as d, "
+    "sum(b.n) over (partition by a.feature, a.y, a.u order by abs(b.u - a.u)) - 1 as seen from UR a join UR b "
+    "on a.feature = b.feature and a.y = b.y and b.rn between a.rn - 3 and a.rn + 3 where a.nc > 1)",
+    "RD as (select feature, y, u, any_value(n) as n, any_value(nc) as nc, any_value(k) as k, min(d) as r from ND "
+    "where seen >= k group by 1, 2, 3)",
+    "IN1 as (select x.feature, x.y, x.u, any_value(x.n) as n, any_value(x.nc) as nc, any_value(x.k) as k, sum(p.n) as m "
+    "from RD x join RD p on p.feature = x.feature and p.u >= x.u - x.r and p.u <= x.u + x.r "
+    "where p.u = x.u or abs(p.u - x.u) < x.r group by 1, 2, 3)"]
+
+
+def _psi(x):
+    """digamma of a whole number, as SQL."""
+    y = f"({x} + 6.0::double)"
+    return (f"(ln({y}) - 0.5 / {y} - 1.0 / (12.0 * pow({y}, 2)) + 1.0 / (120.0 * pow({y}, 4)) - 1.0 / (252.0 * pow({y}, 6)) "
+            f"+ 1.0 / (240.0 * pow({y}, 8)) - " + " - ".join(f"1.0::double / ({x} + {i})" for i in range(6)) + ")")
+
+
+@R.add("knn_mutual_info", ["AGG26"], sql_e(
+    f"select feature, round(greatest(0.0, {_psi('sum(n)')} + sum(n * {_psi('k')}) / sum(n) - sum(n * {_psi('nc')}) / sum(n) "
+    f"- sum(n * {_psi('m')}) / sum(n)), 6) as mi from IN1 group by feature", ctes=_SPLIT_CTES + _TRN + _KMI_SQL))
+def knn_mutual_info(spark, sf_dir):
+    """Information of each feature about the label on the train rows, by
+    nearest neighbours."""
+    tr = _train_labelled(spark, sf_dir)
+    return SEL.knn_mutual_info(tr, MI_FEATURES, "label").select("feature", r6("mi").alias("mi"))
+
+
 @R.add("class_weight_grid", ["ML2", "AGG8"], sql_e(
     "select option, round(pos_weight, 6) as pos_weight from (select 'one' as option, 1.0 as pos_weight "
     "union all select 'half_ratio', r / 2 from RT union all select 'ratio', r from RT "

@@ -78,3 +78,49 @@ def test_ks_methods_by_group(spark):
     assert all("flat" not in rows for rows in got.values())
     with pytest.raises(ValueError):
         drift.ks_drift(long, method="other")
+
+
+def _psi(n):
+    return -0.5772156649015329 + sum(1.0 / i for i in range(1, int(n)))
+
+
+def _knn_mi(x, y, k):
+    keep = np.zeros(len(x), bool)
+    total, n = 0.0, 0
+    for c in np.unique(y):
+        keep |= (y == c) & ((y == c).sum() > 1)
+    xs, ys = x[keep], y[keep]
+    for a, c in zip(xs, ys):
+        near = np.sort(np.abs(xs[ys == c] - a))          # the row itself comes first
+        kc = min(k, len(near) - 1)
+        d = np.abs(xs - a)
+        m = (d == 0).sum() if near[kc] == 0 else (d < near[kc]).sum()
+        total += _psi(kc) - _psi(len(near)) - _psi(m)
+        n += 1
+    return max(0.0, _psi(n) + total / n)
+
+
+@pytest.mark.parametrize("k, run_rows", [(3, 100_000), (3, 7), (1, 3), (5, 11)])
+def test_knn_mutual_info_matches_a_loop(spark, k, run_rows):
+    rng = np.random.RandomState(k)
+    n = 240
+    y = np.concatenate([rng.randint(0, 3, n - 1), [9]])             # class 9 has one row
+    pdf = pd.DataFrame({"y": y, "tied": rng.poisson(3 + 2 * (y == 1)), "cont": np.round(rng.randn(n) + y % 3, 6),
+                        "flat": 1, "gap": np.where(rng.rand(n) < 0.5, 0, rng.randint(0, 1000, n) * 1000)})
+    from riskframe.operators import select
+    got = {r["feature"]: r["mi"] for r in select.knn_mutual_info(
+        spark.createDataFrame(pdf), ["tied", "cont", "flat", "gap"], "y", k=k, run_rows=run_rows, slices=4).collect()}
+    for f, mi in got.items():
+        units = np.round(pdf[f].to_numpy() * 1e6).astype(np.int64)
+        assert mi == pytest.approx(_knn_mi(units, y, k), abs=1e-8), f
+    assert got["flat"] == 0.0 and len(got) == 4
+
+
+def test_knn_mutual_info_odd_rows(spark):
+    from riskframe.operators import select
+    rows = [(0, 1.0, None), (1, 1.0, None), (0, None, None), (1, float("nan"), None), (None, 5.0, None),
+            (0, 2.0, None), (1, 4.0, None), (1, 4.0, None)]
+    got = select.knn_mutual_info(spark.createDataFrame(rows, "y int, v double, gone double"), ["v", "gone"], "y", slices=3)
+    mi = {r["feature"]: r["mi"] for r in got.collect()}
+    x, y = np.array([1, 1, 2, 4, 4]), np.array([0, 1, 0, 1, 1])
+    assert set(mi) == {"v"} and mi["v"] == pytest.approx(_knn_mi(x, y, 3), abs=1e-8)
