@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegralType, NumericType, StringType
 
-from riskframe.operators.common import sized_broadcast
 from riskframe.operators.prefix import rank_within, running_sum
 
 SENTINEL = "?"          # fixed value: the reference's missing marker
@@ -200,14 +199,17 @@ def code_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def encode_categories(df: DataFrame, cols: Sequence[str], codes: DataFrame | None = None,
                       missing_code: int = -1) -> DataFrame:
     """FN14: replace each string column with its alphabetical code (null -> -1).
-    A code table is broadcast only after a limit+count check shows at most
-    ``BROADCAST_CODES`` rows; a larger one is left to a shuffle join."""
+    One count of the codes per column (one row per column returned) tells which
+    tables have at most ``BROADCAST_CODES`` rows and are broadcast; a larger one
+    is left to a shuffle join."""
     codes = codes if codes is not None else code_table(df, cols)
+    sizes = {r["col_name"]: r["count"] for r in codes.groupBy("col_name").count().collect()}
     out = df
     for c in cols:
         t = (codes.where(F.col("col_name") == c)
                   .select(F.col("value").alias(f"__v_{c}"), F.col("code").alias(f"__c_{c}")))
-        t = sized_broadcast(t, BROADCAST_CODES)   # broadcast only below a checked row count
+        if sizes.get(c, 0) <= BROADCAST_CODES:
+            t = F.broadcast(t)
         out = out.join(t, out[c].cast("string") == t[f"__v_{c}"], "left")
     return out.select(*[F.coalesce(F.col(f"__c_{c}"), F.lit(missing_code)).alias(c)
                         if c in set(cols) else F.col(c) for c in df.columns])

@@ -138,9 +138,10 @@ def bin_index(p: Column, edges: Sequence[float]) -> Column:
 
 
 def calibration_curve(df: DataFrame, label: str, prob: str, n_bins: int = 10) -> DataFrame:
-    """AGG17: per non-empty uniform bin: n, mean probability, positive share."""
+    """AGG17: per non-empty uniform bin: n, mean probability, positive share.
+    Rows without a probability (null or NaN) are in no bin."""
     b = bin_index(F.col(prob), _edges(n_bins)).alias("bin")
-    return df.groupBy(b).agg(F.count(F.lit(1)).alias("n"),
+    return df.where(F.col(prob).isNotNull() & ~F.isnan(prob)).groupBy(b).agg(F.count(F.lit(1)).alias("n"),
                              F.avg(prob).alias("prob_pred"),
                              F.avg(F.col(label).cast("double")).alias("prob_true"))
 

@@ -9,7 +9,8 @@ min_child_weight -> minInstancesPerNode (approx.), gamma -> minInfoGain
 featureSubsetStrategy; reg_alpha / reg_lambda have no counterpart and are
 dropped; scale_pos_weight -> a per-row ``weightCol``.  n_estimators is an upper
 bound: boosting stops when a tree no longer lowers the validation loss by
-``STOP_GAIN`` times the learning rate (Spark has no patience in rounds).
+``STOP_GAIN`` times the learning rate, or, with ``patience``, after that many
+rounds without a lower validation loss, back at the best round.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -52,6 +54,7 @@ PIPELINE_GRID = {"n_estimators": [1000, 1500], "learning_rate": [0.01, 0.05], "m
 FALLBACK = {"n_estimators": 500, "learning_rate": 0.1, "max_depth": 3, "scale_pos_weight": "ratio"}
 RANDOM_DRAWS = 30
 GRID_FOLDS, RANDOM_FOLDS = 3, 5
+PATIENCE, SEARCH_PATIENCE = 10, 20
 STOP_GAIN = 0.01
 ROWS_PER_TASK = 25_000
 WEIGHT_FACTORS = {"one": None, "half_ratio": 0.5, "ratio": 1.0, "ratio_x1_5": 1.5}
@@ -178,14 +181,17 @@ class Search(NamedTuple):
 
 
 def stopped_search(train: DataFrame, validation: DataFrame, stages: list, booster: GBTClassifier, maps: list,
-                   evaluator: Evaluator, fold_col: str = "fold", k: int = 3, parallelism: int = 8) -> Search:
+                   evaluator: Evaluator, fold_col: str = "fold", k: int = 3, parallelism: int = 8,
+                   patience: int | None = None) -> Search:
     """ML4/ML5/ML7 with early stopping: like ``search``, but every fit stops on
     the ``validation`` rows, and the preprocessing ``stages`` are fitted once
     per fold instead of once per fold and map.  Maps that differ in maxIter
     only share a fit that stopped before the lower bound.  The best map is
-    fitted again on all train rows, with its preprocessing."""
+    fitted again on all train rows, with its preprocessing.  With ``patience``
+    every fit waits that many rounds instead of using Spark's tolerance."""
     if not maps:
         raise ValueError("a search needs at least one map")
+    plain = booster
     booster = booster.copy({booster.validationIndicatorCol: "is_val"})
     held = validation.withColumn(fold_col, F.lit(-1)).withColumn("is_val", F.lit(True))
     rows = train.withColumn("is_val", F.lit(False)).unionByName(held)
@@ -202,11 +208,16 @@ def stopped_search(train: DataFrame, validation: DataFrame, stages: list, booste
     for i in sorted(range(len(maps)), key=lambda i: -maps[i].get(booster.maxIter, 0)):
         alike.setdefault(tuple(sorted((p.name, v) for p, v in maps[i].items() if p != booster.maxIter)), []).append(i)
 
+    def boosted(fit_rows, m):
+        if patience is None:
+            return booster.fit(fit_rows, m)
+        return fit_patient(plain.copy(m), fit_rows.where("not is_val"), fit_rows.where("is_val"), patience).model
+
     def scores(group, fit_rows, test_rows):
         found, model = {}, None
         for i in group:
             if model is None or model.getNumTrees >= maps[i].get(booster.maxIter, 0):
-                model = booster.fit(fit_rows, maps[i])
+                model = boosted(fit_rows, maps[i])
                 value = evaluator.evaluate(model.transform(test_rows))
             found[i] = value
         return found
@@ -223,7 +234,78 @@ def stopped_search(train: DataFrame, validation: DataFrame, stages: list, booste
     avg = [t / k for t in totals]
     best = maps[(max if evaluator.isLargerBetter() else min)(range(len(maps)), key=avg.__getitem__)]
     pre, apply = prepared(rows)
-    return Search(avg, PipelineModel([*pre.stages, booster.fit(apply(rows), best)]), best)
+    return Search(avg, PipelineModel([*pre.stages, boosted(apply(rows), best)]), best)
+
+
+class Patient(NamedTuple):
+    """A booster cut at its best round, and the validation loss of every round
+    up to the one that ended the wait."""
+    model: GBTClassificationModel
+    best_round: int
+    losses: list[float]
+
+
+def best_round(losses: Sequence[float], patience: int) -> tuple[int, int]:
+    """(best round, rounds seen), from 1: the wait ends ``patience`` rounds
+    after the last strictly lower loss."""
+    best, low = 0, math.inf
+    for i, loss in enumerate(losses, 1):
+        if loss < low:
+            best, low = i, loss
+        elif i - best >= patience:
+            return best, i
+    return best, len(losses)
+
+
+def staged_losses(model: GBTClassificationModel, rows: DataFrame) -> list[float]:
+    """Mean logistic loss of the first 1, 2, ... trees on ``rows``, each row
+    counted once, in one pass over them."""
+    weight = model.getOrDefault("weightCol") if model.isDefined("weightCol") else ""
+    return list(model.evaluateEachIteration(rows.withColumn(weight, F.lit(1.0)) if weight else rows))
+
+
+def first_trees(model: GBTClassificationModel, n: int) -> GBTClassificationModel:
+    """The model of the first ``n`` trees, with the parameters of the whole."""
+    java = model._java_obj
+    jvm = SparkContext._active_spark_context._jvm       # threads of a search have no active session
+    cut = GBTClassificationModel(jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        java.uid(), java.trees()[0:n], java.treeWeights()[0:n], java.numFeatures(), java.numClasses()))
+    return model._copyValues(cut)
+
+
+def fit_patient(booster: GBTClassifier, rows: DataFrame, stopping: DataFrame, patience: int = PATIENCE) -> Patient:
+    """ML3: boost until the loss on ``stopping`` has not fallen for
+    ``patience`` rounds, and keep the trees up to the best round.
+
+    Spark boosts a fixed number of rounds and cannot go on from a model, so
+    the number is doubled from ``2 * patience`` until the wait ends; trees
+    follow from the data and the seed, so a longer fit begins with the trees
+    of the shorter one, and all fits together cost less than twice the last.
+    ``rows`` should be checkpointed, as every tree level passes over them."""
+    if patience < 1:
+        raise ValueError("patience must be one round or more")
+    limit = booster.getMaxIter()
+    rounds = min(limit, 2 * patience)
+    while True:
+        model = booster.fit(rows, {booster.maxIter: rounds})
+        losses = staged_losses(model, stopping)
+        best, seen = best_round(losses, patience)
+        if seen - best >= patience or rounds >= limit:
+            return Patient(first_trees(model, max(best, 1)), max(best, 1), losses[:seen])
+        rounds = min(limit, 2 * rounds)
+
+
+def with_threshold(model: PipelineModel, threshold: float) -> PipelineModel:
+    """ML10: a copy of the pipeline whose classifier keeps the tuned threshold
+    among its parameters, saved and loaded with it."""
+    last = model.stages[-1].copy()
+    last.setThresholds([1.0 - threshold, float(threshold)])
+    return PipelineModel([*model.stages[:-1], last])
+
+
+def stored_threshold(model: PipelineModel, default: float = 0.5) -> float:
+    last = model.stages[-1]
+    return float(last.getThresholds()[1]) if last.isSet("thresholds") else default
 
 
 def fit_with_fallback(train: DataFrame, estimator, maps: list, evaluator: Evaluator,

@@ -9,7 +9,7 @@ from riskframe.operators import explain as X
 from riskframe.operators import model as ML
 from riskframe.operators import score as SC
 from riskframe.plans.base import R, r6, sql_e
-from riskframe.plans.model import fitted
+from riskframe.plans.model import fitted, tuned
 from riskframe.session import scratch_path
 from riskframe.sources.encounters import drift_side, encounters, scored
 
@@ -91,27 +91,27 @@ def live_performance(spark, sf_dir):
 
 
 def _deployed(spark, sf_dir):
-    """(frame scored by the promoted pipeline, its trees, its slot names): the
-    fitted pipeline is promoted, and the copy in ``prod`` is read back."""
-    frame, model, _ = fitted(spark, sf_dir)
-    ML.save_model(model, spark, "readmission_gbt", promote=True)
+    """(frame scored by the promoted pipeline, its trees, its slot names, its
+    threshold): the tuned pipeline is promoted, and the copy in ``prod`` is read back."""
+    frame, _, _ = fitted(spark, sf_dir)
+    ML.save_model(tuned(spark, sf_dir), spark, "readmission_gbt", promote=True)
     prod = ML.load_pipeline(scratch_path(spark, "prod/readmission_gbt"))
     trees = X.tree_tables(spark, ML.save_model(prod.stages[-1], spark, "readmission_gbt_trees"))
     scored_frame = ML.positive_probability(prod.transform(frame))
-    return scored_frame, trees, X.vector_slot_names(scored_frame)
+    return scored_frame, trees, X.vector_slot_names(scored_frame), ML.stored_threshold(prod)
 
 
 @R.add("tree_contributions", ["ML14", "TOP4"])
 def tree_contributions(spark, sf_dir):
-    df, trees, names = _deployed(spark, sf_dir)
+    df, trees, names, _ = _deployed(spark, sf_dir)
     t = X.tree_contributions(df, trees, names, "encounter_id")
     return t.select("encounter_id", "rank", "feature", r6("contribution").alias("contribution"), r6("bias").alias("bias"))
 
 
 @R.add("scored_table", ["ML16", "FN23", "FN24", "FN26", "SNK4", "SNK9"])
 def scored_table(spark, sf_dir):
-    df, trees, names = _deployed(spark, sf_dir)
+    df, trees, names, threshold = _deployed(spark, sf_dir)
     why = X.tree_explanations(df, trees, names, ["encounter_id", "p1"])
     run_ts = F.lit("2024-02-01 00:00:00").cast("timestamp")
-    rec = SC.scored_record(why, "encounter_id", "p1", 0.5, "readmission_gbt", run_ts, "explanation")
+    rec = SC.scored_record(why, "encounter_id", "p1", threshold, "readmission_gbt", run_ts, "explanation")
     return rec.withColumn("json", F.to_json(F.struct(*rec.columns)))

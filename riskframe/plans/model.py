@@ -3,9 +3,10 @@ checks for anything that depends on a fitted booster)."""
 
 from __future__ import annotations
 
+import math
 import os
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -31,6 +32,7 @@ MODEL_FEATURES = MI_FEATURES + ["age_numeric", "age_med_interaction", "med_per_d
                                 "is_elderly", "high_diag_complexity"]
 CATEGORICAL = ["race", "insulin", "payer_code"]
 SINGLE = dict(ML.FALLBACK, max_depth=4)     # the model of the scoring queries
+PATIENT = {k: v for k, v in SINGLE.items() if k != "scale_pos_weight"}
 
 
 def model_frame(spark, sf_dir):
@@ -88,6 +90,34 @@ def scored_split(spark, sf_dir, which):
     return ML.positive_probability(model.transform(frame.where(F.col("split") == which)))
 
 
+def tuned(spark, sf_dir):
+    """The fitted pipeline with the threshold of best F1 on the validation
+    rows among its parameters."""
+    key = ("tuned", source_key(spark, sf_dir))
+    if key not in _CACHE:
+        _, model, _ = fitted(spark, sf_dir)
+        sweep = M.threshold_sweep(scored_split(spark, sf_dir, "val"), "label", "p1", M.threshold_grid(10, 90, 5))
+        _CACHE[key] = ML.with_threshold(model, M.best_threshold(sweep).first()["threshold"])        # one number
+    return _CACHE[key]
+
+
+def fitted_patient(spark, sf_dir):
+    """Up to 500 rounds with a patience of 10 on the validation rows, cut at
+    the best round; once per state of the input files.  Without class weights,
+    so that the fit lowers the same loss that the wait looks at."""
+    key = ("patient", source_key(spark, sf_dir))
+    if key not in _CACHE:
+        frame = model_frame(spark, sf_dir)
+        rows, _ = _stopping_rows(frame)
+        pre = Pipeline(stages=ML.preprocess_stages(MODEL_FEATURES, CATEGORICAL, drop_first=True,
+                                                   fit_where="not is_val")).fit(rows)
+        tasks = max(1, math.ceil(rows.count() / ML.ROWS_PER_TASK))
+        ready = cut_lineage(pre.transform(rows).select("label", "is_val", "features").repartition(tasks))
+        got = ML.fit_patient(ML.gbt(**PATIENT), ready.where("not is_val"), ready.where("is_val"), ML.PATIENCE)
+        _CACHE[key] = frame, PipelineModel([*pre.stages, got.model]), got
+    return _CACHE[key]
+
+
 _MI_SQL = [
     "LG as (" + " union all ".join(
         f"select '{f}' as feature, cast({f} as double) as value, label from TRN" for f in MI_FEATURES) + ")",
@@ -213,7 +243,7 @@ def _chain(spark, sf_dir):
         fit = cut_lineage(split.kfold(tr.where("part = 'fit'"), "label", "encounter_id", k=CH.FOLDS)
                           .select(*cols, "fold"))
         stop = cut_lineage(tr.where("part = 'holdout'").select(*cols))
-        booster = ML.gbt(**{k: v for k, v in SINGLE.items() if k != "scale_pos_weight"})
+        booster = ML.gbt(**PATIENT)
         counts, metrics = [], []
         for f in CH.cross_fit(CH.TrainingChain(MODEL_FEATURES, CATEGORICAL, booster), fit, stop):
             counts += [(f.fold, r["label"], r["synthetic"], r["count"])
@@ -251,14 +281,33 @@ def training_chain_scores(spark, sf_dir):
 
 @R.add("gbt_test_scores", ["ML1", "ML2", "ML3", "ML10", "ML11", "FN16", "FN17"])
 def gbt_test_scores(spark, sf_dir):
-    val = scored_split(spark, sf_dir, "val")
-    sw = M.threshold_sweep(val, "label", "p1", M.threshold_grid(10, 90, 5))
-    t = M.best_threshold(sw).first()["threshold"]          # one number
+    t = ML.stored_threshold(tuned(spark, sf_dir))
     test = ML.apply_threshold(scored_split(spark, sf_dir, "test"), "p1", t)
     return test.select("encounter_id", "label", r6("p1").alias("probability"), "decision",
                        F.lit(t).alias("threshold"), fx.risk_band("p1").alias("risk_level"))
 
 
+@R.add("patient_rounds", ["ML3", "SNK6"])
+def patient_rounds(spark, sf_dir):
+    """Ledger of the booster with patience: validation loss per round, the
+    round that it was cut at and its metrics on the test rows."""
+    frame, model, got = fitted_patient(spark, sf_dir)
+    test = ML.positive_probability(model.transform(frame.where(F.col("split") == "test")))
+    ev = M.evaluation(test, "label", "p1", 0.5).first().asDict()
+    run = "patient-" + os.path.basename(sf_dir.rstrip("/"))
+    rows = ML.ledger_rows(run, "params", {**PATIENT, "patience": ML.PATIENCE})
+    rows += ML.ledger_rows(run, "round", {f"{i:04d}": v for i, v in enumerate(got.losses, 1)})
+    rows += ML.ledger_rows(run, "metrics", {"best_round": got.best_round, "best_loss": got.losses[got.best_round - 1], **ev})
+    led = scratch_path(spark, f"ledger/{run}-{spark.sparkContext.applicationId}")
+    return ML.append_ledger(spark, led, rows).where(F.col("run_id") == run)
+
+
+@R.add("patient_scores", ["ML1", "ML3"])
+def patient_scores(spark, sf_dir):
+    frame, model, _ = fitted_patient(spark, sf_dir)
+    return _test_scores(model, frame)
+
+
 @R.add("gbt_feature_importance", ["ML13", "TOP3"])
 def gbt_feature_importance(spark, sf_dir):
     frame, model, _ = fitted(spark, sf_dir)
@@ -330,12 +379,13 @@ def isotonic_calibrated(spark, sf_dir):
 @R.add("model_ledger", ["SNK3", "SNK4", "SNK5", "SNK6", "SNK7", "FN28"])
 def model_ledger(spark, sf_dir):
     frame, model, ratio = fitted(spark, sf_dir)
-    path = ML.save_model(model, spark, "readmission_gbt", promote=True)
+    path = ML.save_model(tuned(spark, sf_dir), spark, "readmission_gbt", promote=True)
     test = scored_split(spark, sf_dir, "test")
     ev = M.evaluation(test, "label", "p1", 0.5).first().asDict()
     run = "gbt-" + os.path.basename(sf_dir.rstrip("/"))
     rows = ML.ledger_rows(run, "params", {**SINGLE, "scale_pos_weight": ratio,
-                                          "trees": model.stages[-1].getNumTrees})
+                                          "trees": model.stages[-1].getNumTrees,
+                                          "threshold": ML.stored_threshold(tuned(spark, sf_dir))})
     rows += ML.ledger_rows(run, "metrics", {k: v for k, v in ev.items()})
     names = X.vector_slot_names(model.transform(frame.limit(1)))
     n = {r["split"]: r["count"] for r in frame.groupBy("split").count().collect()}      # three rows

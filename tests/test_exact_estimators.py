@@ -124,3 +124,91 @@ def test_knn_mutual_info_odd_rows(spark):
     mi = {r["feature"]: r["mi"] for r in got.collect()}
     x, y = np.array([1, 1, 2, 4, 4]), np.array([0, 1, 0, 1, 1])
     assert set(mi) == {"v"} and mi["v"] == pytest.approx(_knn_mi(x, y, 3), abs=1e-8)
+
+
+def test_best_round():
+    from riskframe.operators.model import best_round
+    assert best_round([3, 2, 2, 2, 2, 1], 3) == (2, 5)       # equal is not lower
+    assert best_round([3, 2, 2, 1, 2, 2, 2, 0], 3) == (4, 7)
+    assert best_round([1, 2], 1) == (1, 2)
+    assert best_round([3, 2, 1], 5) == (3, 3)
+    assert best_round([], 5) == (0, 0)
+
+
+def _boost_rows(spark, seed, n=500, noise=0.35):
+    rng = np.random.RandomState(seed)
+    x = rng.rand(n, 3)
+    y = ((x[:, 0] > 0.5) ^ (rng.rand(n) < noise)).astype(int)
+    from pyspark.ml.feature import VectorAssembler
+    df = spark.createDataFrame(pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "label": y, "w": 1.0 + 2 * y,
+                                             "held": rng.rand(n) < 0.4})).repartition(1)
+    from riskframe.session import cut_lineage
+    df = cut_lineage(VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(df))
+    return df.where("not held"), df.where("held")
+
+
+@pytest.mark.parametrize("seed, patience, weighted", [(1, 2, False), (2, 3, True), (3, 5, False)])
+def test_patience_equals_a_plain_loop(spark, seed, patience, weighted):
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+
+    from riskframe.operators import model as ML
+    rows, held = _boost_rows(spark, seed)
+    booster = ML.gbt(n_estimators=24, learning_rate=0.4, max_depth=3)
+    if weighted:
+        booster = booster.setWeightCol("w")
+    got = ML.fit_patient(booster, rows, held, patience)
+
+    # one fit per number of rounds, its loss taken from its own raw scores, until the wait ends
+    best, low, losses = 0, math.inf, []
+    for t in range(1, 25):
+        m = booster.fit(rows, {booster.maxIter: t})
+        margin = m.transform(held).select("label", (vector_to_array("rawPrediction")[1]).alias("f"))
+        losses.append(margin.agg(F.avg(2 * F.log1p(F.exp(-2 * (2 * F.col("label") - 1) * F.col("f"))))).first()[0])
+        if losses[-1] < low:
+            best, low, kept = t, losses[-1], m
+        elif t - best >= patience:
+            break
+    assert got.best_round == best and got.model.getNumTrees == best
+    assert got.losses == pytest.approx(losses, abs=1e-9)
+    a = got.model.transform(held).select(vector_to_array("probability")[1]).toPandas().iloc[:, 0]
+    b = kept.transform(held).select(vector_to_array("probability")[1]).toPandas().iloc[:, 0]
+    assert np.allclose(a, b, atol=1e-12)
+    assert got.model.featureImportances.size == 3
+
+
+def test_cut_model_and_threshold_are_saved(spark):
+    from pyspark.ml import PipelineModel
+
+    from riskframe.operators import model as ML
+    rows, held = _boost_rows(spark, 4)
+    got = ML.fit_patient(ML.gbt(n_estimators=6, max_depth=2), rows, held, 2)
+    pipe = PipelineModel([got.model])
+    assert ML.stored_threshold(pipe) == 0.5
+    tuned = ML.with_threshold(pipe, 0.35)
+    assert ML.stored_threshold(pipe) == 0.5                     # the original is left alone
+    back = ML.load_pipeline(ML.save_model(tuned, spark, "patient_toy"))
+    assert ML.stored_threshold(back) == 0.35 and back.stages[-1].getNumTrees == got.best_round
+    p = ML.positive_probability(back.transform(held)).toPandas()
+    assert ((p.p1 > 0.35).astype(int) == p.prediction.astype(int)).all()
+    with pytest.raises(ValueError):
+        ML.fit_patient(ML.gbt(n_estimators=2), rows, held, 0)
+
+
+def test_search_with_patience(spark):
+    from riskframe.operators import model as ML
+    rows, held = _boost_rows(spark, 6, 300)
+    rows = rows.drop("features").withColumn("fold", (rows.a * 1000).cast("int") % 2)
+    g = ML.gbt()
+    maps = ML.grid_maps(g, {"n_estimators": [3, 8], "learning_rate": [0.4], "max_depth": [2]})
+    got = ML.stopped_search(rows, held.drop("features"), ML.preprocess_stages(["a", "b", "c"]), g, maps,
+                            ML.RiskEvaluator("auc"), k=2, patience=2)
+    assert len(got.avgMetrics) == 2 and got.best in maps
+    assert 1 <= got.bestModel.stages[-1].getNumTrees <= 8
+
+
+def test_calibration_leaves_out_rows_without_a_probability(spark):
+    from riskframe.operators import metrics
+    df = spark.createDataFrame([(0.05, 0), (0.95, 1), (None, 1), (float("nan"), 0)], "p double, y int")
+    got = {r["bin"]: r["n"] for r in metrics.calibration_curve(df, "y", "p").collect()}
+    assert got == {0: 1, 9: 1}
