@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import drift as D
 from riskframe.operators import metrics as M
+from riskframe.operators import sketch as SK
 from riskframe.plans.base import R, r6, sql_e
 from riskframe.sources.encounters import drift_side, encounters, scored
 
@@ -173,3 +174,13 @@ def drift_monthly(spark, sf_dir):
              .unpivot(["month", "side"], FEATURES, "feature", "value"))
     pf = D.ks_drift(long, by=["month"], method="auto")
     return pf.select("month", "feature", r6("ks_statistic").alias("ks_statistic"), r6("p_value").alias("p_value"), "is_drift")
+
+
+@R.add("sketch_profile", ["AGG4", "AGG7"])
+def sketch_profile(spark, sf_dir):
+    """Rows, distinct values and quartiles of the features, from sketches per
+    admission year merged into one."""
+    e = encounters(spark, sf_dir)
+    long = (e.select(F.year("admit_ts").alias("year"), *[F.col(c).cast("double").alias(c) for c in FEATURES])
+            .unpivot(["year"], FEATURES, "feature", "value"))
+    return SK.sketch_profile(SK.merge_sketches(SK.column_sketches(long, ["year"])))

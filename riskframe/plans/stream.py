@@ -109,3 +109,26 @@ def stream_drift(spark, sf_dir):
     J.run_available(cur.writeStream.foreachBatch(
         J.drift_batch_writer(ref, os.path.join(d, "out"), "2024-02-01 00:00:00")), os.path.join(d, "chk"))
     return spark.read.parquet(os.path.join(d, "out"))
+
+
+FILES_PER_BATCH = 8
+
+
+@R.add("stream_drift_running", ["STR4", "AGG20", "AGG21"])
+def stream_drift_running(spark, sf_dir):
+    """Drift of all events after the cut, day files arriving in several
+    micro-batches, from merged sketches; the state after the last one."""
+    cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
+    ev = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("feature"), F.col("value").cast("double").alias("value"), "ts")
+    d = J.run_dir(spark, "drift_running")
+    days, out = os.path.join(d, "in"), os.path.join(d, "out")
+    cur = ev.where(F.col("ts") >= cut).select("feature", "value", F.to_date("ts").alias("day"))
+    cur.write.partitionBy("day").parquet(days)
+    arriving = spark.readStream.schema(cur.schema).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(days)
+    J.run_available(arriving.writeStream.foreachBatch(J.running_drift_writer(ev.where(F.col("ts") < cut), out)),
+                    os.path.join(d, "chk"))
+    res = spark.read.parquet(os.path.join(out, "drift"))
+    last = res.agg(F.max("batch_id").alias("batch_id"))
+    return res.join(F.broadcast(last), "batch_id").select(          # one row
+        "feature", "n_ref", "n_cur", r6("ks_statistic").alias("ks_statistic"), r6("p_value").alias("p_value"), "is_drift")

@@ -8,7 +8,8 @@
   mode emits a window once the watermark passes its end, rows later than the
   watermark are dropped.
 * STR4 -- drift + alerts per micro-batch against a fixed reference, written by
-  ``foreachBatch`` keyed by batch id (a replayed batch overwrites itself).
+  ``foreachBatch`` keyed by batch id (a replayed batch overwrites itself); or
+  over all batches so far, from mergeable sketches.
 * STR5 -- validation with quarantine: ``foreachBatch`` routes each batch to a
   valid and a quarantine sink.
 
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 
 from riskframe.operators import clean
 from riskframe.operators import drift as D
+from riskframe.operators import sketch as SK
 from riskframe.session import materialize, scratch_path
 from riskframe.sources.tables import table
 
@@ -126,6 +128,36 @@ def drift_batch_writer(reference_long: DataFrame, out: str, run_ts: str):
     return fn
 
 
+def _written(spark, path: str) -> bool:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_SUCCESS"))
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+
+
+def running_drift_writer(reference_long: DataFrame, out: str):
+    """STR4 over the stream so far: a foreachBatch function that merges the
+    sketches of the batch with those of all batches before it and compares
+    the whole with the reference.
+
+    ``state/batch_id=<n>`` holds the merged sketches up to batch n, so a batch
+    costs its own rows and one row per feature; a replayed batch finds its
+    state written, leaves it and writes the same result again."""
+    ref = materialize(SK.merge_sketches(SK.column_sketches(reference_long)), "drift_reference")
+
+    def fn(batch: DataFrame, batch_id: int):
+        spark = batch.sparkSession
+
+        def state(n):
+            return os.path.join(out, "state", f"batch_id={n}")
+        if not _written(spark, state(batch_id)):
+            both = SK.column_sketches(batch.select("feature", "value"))
+            if batch_id > 0:
+                both = both.unionByName(spark.read.parquet(state(batch_id - 1)))
+            SK.merge_sketches(both).write.mode("overwrite").parquet(state(batch_id))
+        drift = SK.sketch_drift(ref, spark.read.parquet(state(batch_id)))
+        drift.write.mode("overwrite").parquet(os.path.join(out, "drift", f"batch_id={batch_id}"))
+    return fn
+
+
 def validation_batch_writer(out: str):
     """STR5: route each micro-batch to ``valid`` and ``quarantine`` sinks
     (quarantined rows keep their violation list); keyed by batch id."""
