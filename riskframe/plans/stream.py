@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from riskframe.functions import scalar as fx
 from riskframe.operators import explain as X
 from riskframe.plans.base import R, r6, sql_e
+from riskframe.plans.drift import _KS_CTES, _SUM
 from riskframe.plans.explain import LIN, _LC, _LW
 from riskframe.session import materialize
 from riskframe.sources.encounters import encounter_features, encounters
@@ -96,8 +97,21 @@ def stream_validation(spark, sf_dir):
     return out.select("encounter_id", "route", "n_violations")
 
 
-@R.add("stream_drift", ["STR4", "FN27", "SNK8"])
+_EV_LG = ("LG as (select case when ts < timestamp '2024-01-16 00:00:00' then 'ref' else 'cur' end as side, "
+          "event_type as feature, cast(value as double) as value from events)")
+_EV_SM = ("RS as (select SM.*, n, score_sum / n as score, drifted > n * 0.1 as overall from SM, "
+          "(select count(distinct feature) as n from LG where side = 'ref') f)")
+
+
+@R.add("stream_drift", ["STR4", "FN27", "SNK8"], sql_e(
+    "select 'feature' as record, feature, round(ks_statistic, 6) as ks_statistic, round(p_value, 6) as p_value, "
+    "round(1.0 - p_value, 6) as drift_score, p_value < 0.05 as is_drift, cast(null as varchar) as message from KS union all "
+    "select 'summary', null, null, null, round(score, 6), overall, null from RS union all "
+    "select 'alert', null, null, null, null, null, format('DATA DRIFT ALERT: Significant data drift detected with score {:.4f}. "
+    "{:d} features have drifted.', score, drifted) from RS where overall",
+    [_EV_LG, *_KS_CTES[1:], _SUM, _EV_SM], views=()))
 def stream_drift(spark, sf_dir):
+    """One micro-batch per arrival: the twin holds for a table that arrives at once."""
     ev = table(spark, sf_dir, "events")
     cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     ref = (ev.where(F.col("ts") < cut)
@@ -108,7 +122,8 @@ def stream_drift(spark, sf_dir):
              .select(F.col("event_type").alias("feature"), F.col("value").cast("double").alias("value")))
     J.run_available(cur.writeStream.foreachBatch(
         J.drift_batch_writer(ref, os.path.join(d, "out"), "2024-02-01 00:00:00")), os.path.join(d, "chk"))
-    return spark.read.parquet(os.path.join(d, "out"))
+    return spark.read.parquet(os.path.join(d, "out")).select(
+        "record", "feature", *[r6(c).alias(c) for c in ("ks_statistic", "p_value", "drift_score")], "is_drift", "message")
 
 
 FILES_PER_BATCH = 8
