@@ -115,9 +115,10 @@ def value_counts_by_side(long: DataFrame, by: Sequence[str] = ()) -> DataFrame:
                      F.count_if(F.col("side") == "cur").alias("n_cur")))
 
 
-def ecdf(long: DataFrame, slices: int | None = None) -> DataFrame:
-    """WIN2: both empirical CDFs at every distinct value of every feature."""
-    return ecdf_of_counts(value_counts_by_side(long), slices)
+def ecdf(long: DataFrame, slices: int | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """WIN2: both empirical CDFs at every distinct value of every feature, per
+    group of ``by``; groups may be many, so their offsets are not broadcast."""
+    return ecdf_of_counts(value_counts_by_side(long, by), slices, by, not by)
 
 
 def ecdf_of_counts(counts: DataFrame, slices: int | None = None, by: Sequence[str] = (),
@@ -137,12 +138,12 @@ def ks_drift(long: DataFrame, slices: int | None = None, by: Sequence[str] = (),
     drift score 1 - p and flag p < 0.05.  Features with <= 1 distinct value
     on either side are skipped (no row).
 
-    ``by`` compares the sides once per group of these columns; groups may be
-    many, so their offsets are joined and not broadcast.  ``method`` is
+    ``by`` compares the sides once per group of these columns.  ``method`` is
     "asymptotic" (Kolmogorov series), "exact" (lattice walk) or "auto": exact
     where neither side has more than ``exact_rows`` values, as a walk of
     n + m steps is one row's work in one task, and the series beyond."""
-    return _ks(ecdf_of_counts(value_counts_by_side(long, by), slices, by, not by), by, method, exact_rows)
+    points = ecdf(long, slices, by) if by else ecdf(long, slices)
+    return _ks(points, by, method, exact_rows)
 
 
 def ks_of_counts(counts: DataFrame, slices: int | None = None) -> DataFrame:
