@@ -4,15 +4,17 @@
 the same customer the return visit.  The DataFrame form is what queries use;
 ``E_SQL`` / ``S_SQL`` are the same definitions as text, for the SQL twins.
 
-Plan shape: lineitem is pre-aggregated per order (partial + final hash
-aggregate) and joined to orders on the order key; the next visit comes from a
-skew-safe ``lead`` over range slices of (customer, date, order); the customer
-table and the per-user event aggregates are then joined on the customer key
-(AQE broadcasts them when small, sort-merge otherwise).
+Plan shape: lineitem is summed per (order, supplier) and then per order, in
+tasks of a bounded number of lines, and joined to orders on the order key; the
+next visit comes from a skew-safe ``lead`` over range slices of (customer, date,
+order); the customer table and the per-user event aggregates are then joined on
+the customer key (AQE broadcasts them when small, sort-merge otherwise).
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,13 +26,31 @@ from riskframe.sources.tables import table, table_path
 DRIFT_CUTOFF = "1998-01-01 00:00:00"   # reference side = admit_ts before this
 SCORE_LEVELS = 1000                    # distinct deterministic scores
 
+LINES_PER_TASK = 500_000               # line items whose sums one task holds
+
+
+def line_totals(lines: DataFrame, rows_per_task: int = LINES_PER_TASK) -> DataFrame:
+    """Per order: its items, distinct suppliers and quantity.  Nearly every
+    (order, supplier) is a row of its own, so summing before the shuffle only
+    fills a hash table with all rows of an input split, and a shuffle of a fixed
+    number of partitions gives each task a share that grows with the table.
+    The lines are dealt by (order, supplier) instead, which spreads a hot order
+    over its suppliers, and the sums by order, each to as many partitions as
+    the lines fill: a task holds about ``rows_per_task`` of them at any size."""
+    n = max(lines.sparkSession.sparkContext.defaultParallelism, math.ceil(lines.count() / rows_per_task))
+    pairs = (lines.select("l_orderkey", "l_suppkey", "l_quantity")
+             .repartition(n, "l_orderkey", "l_suppkey")
+             .groupBy("l_orderkey", "l_suppkey")
+             .agg(F.count(F.lit(1)).alias("n_items"), F.sum("l_quantity").alias("qty")))
+    return (pairs.repartition(n, "l_orderkey")
+            .groupBy("l_orderkey")
+            .agg(F.sum("n_items").alias("n_items"),
+                 F.count("l_suppkey").alias("n_supp"),
+                 F.sum("qty").alias("qty")))
+
 
 def _side_tables(spark: SparkSession, sf_dir: str):
-    li = (table(spark, sf_dir, "lineitem")
-          .groupBy("l_orderkey")
-          .agg(F.count(F.lit(1)).alias("n_items"),
-               F.countDistinct("l_suppkey").alias("n_supp"),
-               F.sum("l_quantity").alias("qty")))
+    li = line_totals(table(spark, sf_dir, "lineitem"))
     ev = (table(spark, sf_dir, "events")
           .groupBy("user_id")
           .agg(F.sum(F.when(F.col("event_type") == "click", 1).otherwise(0)).alias("n_click"),

@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from riskframe.operators import balance, model, text
+from riskframe.sources import encounters
 
 
 def _plan(df):
@@ -76,3 +77,36 @@ def test_nearest_keys_by_products_equal_the_exact_sums():
                 near = sorted((d[j], k) for j in range(len(points)) if d[j] <= limit[i] for k in keys[j])[:4]
                 want += [(i, k, e) for e, k in near]
             assert list(zip(row.tolist(), key.tolist(), d2.tolist())) == want
+
+
+LINES = "l_orderkey long, l_suppkey long, l_quantity double"
+
+
+def test_line_items_are_summed_by_as_many_tasks_as_they_fill(spark):
+    cores = spark.sparkContext.defaultParallelism
+    for k in (20, 40):              # partitions follow the rows, not a setting
+        rows = spark.range(k * cores * 10).select(
+            (F.col("id") % 97).alias("l_orderkey"), (F.col("id") % 7).alias("l_suppkey"), F.lit(1.0).alias("l_quantity"))
+        assert encounters.line_totals(rows, 10).rdd.getNumPartitions() == k * cores
+    few = spark.createDataFrame([(1, 1, 1.0)], LINES)
+    assert encounters.line_totals(few).rdd.getNumPartitions() == cores
+
+
+def test_encounters_hold_no_sums_of_a_whole_input_split(spark):
+    plan = _plan(encounters._side_tables(spark, "/root/testdata/sf0.001")[0])
+    scan = plan[:plan.index("FileScan")]
+    below = scan[scan.rindex("Exchange"):]          # between the scan and its shuffle
+    assert "REPARTITION_BY_NUM" in below and "Aggregate" not in below
+
+
+def test_line_totals_equal_counts_and_distinct_counts(spark):
+    rows = [(1, 1, 2.0), (1, 1, 2.0), (1, 2, None), (1, None, 3.0), (2, None, None), (2, None, None), (3, 5, 1.5),
+            (None, 1, 4.0), (None, 1, 4.0), (None, None, 1.0), *[(4, i % 9, 1.0) for i in range(100)]]
+    lines = spark.createDataFrame(rows, LINES)
+    want = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_items"),
+                                           F.countDistinct("l_suppkey").alias("n_supp"),
+                                           F.sum("l_quantity").alias("qty"))
+    for most in (1, 1000):
+        got = encounters.line_totals(lines, most)
+        assert got.dtypes == want.dtypes
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
